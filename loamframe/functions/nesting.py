@@ -1,0 +1,54 @@
+"""Nesting child rows into arrays without ever building an unbounded array."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_ITEMS = 50_000
+
+
+def nest_rows(
+    df: DataFrame,
+    keys: list[str],
+    item: Column,
+    name: str,
+    max_items: int = MAX_ITEMS,
+    weight: Column | None = None,
+) -> DataFrame:
+    """One row per key with a sorted array ``name`` of ``item`` structs.
+
+    Ordinary keys give one row with ``part`` 0. A key with more than
+    ``max_items`` items (or more total ``weight``) is split over several parts
+    by the hash of the item, so no task holds more than about that many; exact
+    copies of an item are first counted and then re-expanded in bounded chunks.
+    No item is dropped. The common case costs one counting pass plus the
+    grouping, and the branch for hot keys reads nothing when there are none.
+    """
+    rows = df.select(*keys, item.alias("_item"), (weight if weight is not None else F.lit(1)).alias("_weight"))
+    hot = (
+        rows.groupBy(*keys)
+        .agg(F.sum("_weight").alias("_total"))
+        .where(F.col("_total") > max_items)
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(F.col("_total") / max_items).alias("_parts"))
+    )
+    same_key = [rows[k].eqNullSafe(hot[f"_hot_{k}"]) for k in keys]
+    normal = (
+        rows.join(hot, same_key, "left_anti")
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("_item")).alias(name))
+        .select(*keys, F.lit(0).cast("long").alias("part"), name)
+    )
+    split = (
+        rows.join(hot, same_key, "inner")
+        .groupBy(*keys, "_item", "_parts")
+        .agg(F.count(F.lit(1)).alias("_copies"), F.first("_weight").alias("_weight"))
+        .withColumn("_room", F.greatest(F.lit(1), F.floor(F.lit(max_items) / F.col("_weight"))))
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / F.col("_room")))))
+        .withColumn("_n", F.least(F.col("_room"), F.col("_copies") - F.col("_chunk") * F.col("_room")))
+        .withColumn("part", F.pmod(F.xxhash64("_item", "_chunk"), F.col("_parts")))
+        .groupBy(*keys, "part")
+        .agg(F.collect_list(F.array_repeat("_item", F.col("_n").cast("int"))).alias("_lists"))
+        .select(*keys, "part", F.sort_array(F.flatten("_lists")).alias(name))
+    )
+    return normal.unionByName(split)
