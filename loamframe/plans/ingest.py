@@ -323,7 +323,7 @@ _COMPONENT_NULLS = "count(*) FILTER (lower(taxclname) = 'null') + count(*) FILTE
     c AS (SELECT n_rows, n_nulls, 7 AS n_columns, 1 - n_nulls / (n_rows * 7) AS completeness FROM q)
     SELECT n_rows, n_nulls, n_columns, round(completeness, 6) AS completeness, CASE WHEN completeness < 0.8 THEN 1 ELSE 0 END AS n_errors,
     CASE WHEN completeness >= 0.8 AND completeness < 0.95 THEN 1 ELSE 0 END AS n_warnings,
-    round(1 - 0.2 * CASE WHEN completeness < 0.8 THEN 1 ELSE 0 END - 0.05 * CASE WHEN completeness >= 0.8 AND completeness < 0.95 THEN 1 ELSE 0 END, 6) AS score FROM c""",
+    CAST(round(1 - 0.2 * CASE WHEN completeness < 0.8 THEN 1 ELSE 0 END - 0.05 * CASE WHEN completeness >= 0.8 AND completeness < 0.95 THEN 1 ELSE 0 END, 6) AS DOUBLE) AS score FROM c""",
 )
 def _(t):
     report = quality.profile_quality(t.component)
