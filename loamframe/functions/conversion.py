@@ -57,7 +57,8 @@ def to_string(raw: Column, empty_string: bool = True) -> Column:
 
 def to_datetime(raw: Column) -> Column:
     parsed = F.coalesce(*[F.try_to_timestamp(raw, F.lit(fmt)) for fmt in DATETIME_FORMATS])
-    return F.when(~is_missing(raw), parsed).cast("timestamp_ntz")
+    # All formats start with three numbers; other text skips the attempts.
+    return F.when(raw.rlike(r"^[0-9]{1,4}[-/][0-9]{1,2}[-/][0-9]{1,4}"), parsed).cast("timestamp_ntz")
 
 
 def to_bytes(raw: Column) -> Column:

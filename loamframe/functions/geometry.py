@@ -7,7 +7,7 @@ the even-odd rule.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RING = "array<struct<x:double,y:double>>"
@@ -16,33 +16,46 @@ AUTHALIC_RADIUS_M = 6371007.181
 MEAN_RADIUS_M = 6371008.8
 ECCENTRICITY = 0.0818191908426215
 
-_NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-_POINT = rf"\s*{_NUMBER}\s+{_NUMBER}(?:\s+{_NUMBER})?\s*"
-_LIST = rf"\({_POINT}(?:,{_POINT})*\)"
-_NESTED = rf"\(\s*{_LIST}(?:\s*,\s*{_LIST})*\s*\)"
-_DOUBLE = rf"\(\s*{_NESTED}(?:\s*,\s*{_NESTED})*\s*\)"
-_MULTIPOINT = rf"(?:{_LIST}|{_NESTED})"
-WKT = (
-    rf"(?i)^\s*(?:POINT\s*\({_POINT}\)|LINESTRING\s*{_LIST}|MULTIPOINT\s*{_MULTIPOINT}"
-    rf"|(?:POLYGON|MULTILINESTRING)\s*{_NESTED}|MULTIPOLYGON\s*{_DOUBLE})\s*$"
-)
+# Nesting of each kind once coordinates are gone: R is a coordinate list, P a
+# polygon. Checked in steps, since one pattern over a long outline would recurse.
+_SHAPES = {
+    "POINT": "R", "LINESTRING": "R", "MULTIPOINT": "(R)", "POLYGON": "(R)", "MULTILINESTRING": "(R)", "MULTIPOLYGON": "(P)",
+}
+
+
+def _well_formed(wkt: Column, kind: Column) -> Column:
+    body = F.regexp_extract(wkt, r"(?s)^\s*[A-Za-z]+\s*(\(.*\))\s*$", 1)
+    skeleton = F.translate(body, "0123456789.+-eE \t\r\n", "")
+    lists = F.regexp_replace(skeleton, r"\(,*\)", "R")
+    polygons = F.when(kind == "MULTIPOLYGON", F.regexp_replace(lists, r"\(R[R,]*\)", "P")).otherwise(lists)
+    # Members are separated by single commas.
+    shape = F.regexp_replace(F.regexp_replace(polygons, ",(?=[RP])", ""), "([RP])[RP]*", "$1")
+    apart = ~lists.contains("(,") & ~lists.contains("RR") & ~polygons.contains("PP")
+    known = F.create_map(*[F.lit(x) for pair in _SHAPES.items() for x in pair])
+    single_point = (kind == "MULTIPOINT") & (shape == "R")
+    return F.coalesce((shape == F.try_element_at(known, kind)) | single_point, F.lit(False)) & apart & ((kind != "POINT") | ~body.contains(","))
 
 
 def wkt_kind(wkt: Column) -> Column:
-    """POINT, POLYGON, ... in upper case, null unless the text is well formed."""
-    return F.when(wkt.rlike(WKT), F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1)))
+    """POINT, POLYGON, ... in upper case ("" when there is no such word)."""
+    return F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
 
 
 def parse_rings(wkt: Column) -> Column:
     """All coordinate lists of a shape, null for malformed or blank text."""
 
     def point(text: Column) -> Column:
-        parts = F.split(F.trim(text), r"\s+")
-        return F.struct(F.get(parts, F.lit(0)).try_cast("double").alias("x"), F.get(parts, F.lit(1)).try_cast("double").alias("y"))
+        parts = F.split(F.btrim(text, F.lit(" \t\r\n")), r"\s+")
+        number = lambda i: F.get(parts, F.lit(i)).try_cast("double")
+        return F.when(
+            F.size(parts).between(2, 3) & number(0).isNotNull() & number(1).isNotNull(),
+            F.struct(number(0).alias("x"), number(1).alias("y")),
+        )
 
     lists = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
     rings = F.transform(lists, lambda text: F.transform(F.split(text, ","), point))
-    return F.when(wkt.rlike(WKT), rings)
+    complete = lambda parsed: F.forall(parsed, lambda ring: F.forall(ring, lambda p: p.isNotNull()))
+    return F.when(_well_formed(wkt, wkt_kind(wkt)), F.get(F.filter(F.array(rings), complete), F.lit(0)))
 
 
 def valid_polygon(rings: Column) -> Column:
@@ -56,6 +69,29 @@ def valid_polygon(rings: Column) -> Column:
     return F.coalesce((F.size(rings) > 0) & F.forall(rings, good), F.lit(False))
 
 
+def with_shape(df: DataFrame, wkt: str, polygons_only: bool = False) -> DataFrame:
+    """Rows with a usable outline: adds ``_kind`` and ``_shape`` (rings, box, edges).
+
+    Parsed once per row; malformed text and invalid polygons drop out.
+    """
+    text = F.col(wkt)
+    polygon = wkt_kind(text).contains("POLYGON")
+
+    def usable(rings: Column) -> Column:
+        valid = valid_polygon(rings)
+        return rings.isNotNull() & (polygon & valid if polygons_only else (~polygon | valid))
+
+    def shape(rings: Column) -> Column:
+        return F.struct(rings.alias("rings"), bounding_box(rings).alias("box"), edges(rings).alias("edges"))
+
+    good = F.filter(F.array(parse_rings(text)), usable)
+    return (
+        df.select("*", F.explode_outer(F.transform(good, shape)).alias("_shape"))
+        .where(F.col("_shape").isNotNull())
+        .withColumn("_kind", wkt_kind(text))
+    )
+
+
 def bounding_box(rings: Column) -> Column:
     """struct(xmin, ymin, xmax, ymax)."""
     points = F.flatten(rings)

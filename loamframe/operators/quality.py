@@ -17,6 +17,7 @@ from loamframe.constants import (
     SQL_TYPES,
 )
 from loamframe.functions import conversion
+from loamframe.functions.rows import compute_once
 from loamframe.functions.conversion import plain_number
 from loamframe.operators.aggregates import depth_measures
 from loamframe.operators.selection import match_columns
@@ -76,7 +77,7 @@ def profile_payloads(df: DataFrame, body: str, keep: Sequence[str]) -> DataFrame
     blank = lambda v: conversion.is_missing(v)
     table = F.from_json(F.col(body), "Table array<array<string>>")["Table"]
     parsed = (
-        df.select(*keep, table.alias("_t"))
+        compute_once(df, "_t", table)
         .where(F.size("_t") > 0)
         .select(
             *keep,

@@ -24,21 +24,14 @@ def box_wkt(box: Mapping[str, float] | Box) -> str:
 
 
 def _polygons(df: DataFrame, wkt: str, margin: float = 0.0) -> DataFrame:
-    """Valid polygons with their edges ``_edges`` and (widened) box ``_box``."""
-    shaped = (
-        df.withColumn("_rings", g.parse_rings(F.col(wkt)))
-        .where(F.col("_rings").isNotNull() & g.valid_polygon(F.col("_rings")))
-        .withColumn("_box", g.bounding_box(F.col("_rings")))
-        .withColumn("_edges", g.edges(F.col("_rings")))
-    )
-    if not margin:
-        return shaped
-    b = F.col("_box")
-    wide = F.struct(
+    """Valid polygons with ``_rings``, ``_edges`` and (widened) box ``_box``."""
+    shaped = g.with_shape(df, wkt, polygons_only=True).drop("_kind")
+    b = F.col("_shape.box")
+    box = F.struct(
         (b["xmin"] - margin).alias("xmin"), (b["ymin"] - margin).alias("ymin"),
         (b["xmax"] + margin).alias("xmax"), (b["ymax"] + margin).alias("ymax"),
     )
-    return shaped.withColumn("_box", wide)
+    return shaped.select("*", F.col("_shape.rings").alias("_rings"), F.col("_shape.edges").alias("_edges"), (box if margin else b).alias("_box")).drop("_shape")
 
 
 def _candidates(points: DataFrame, polys: DataFrame, lon: str, lat: str, keep: Sequence[str]) -> DataFrame:
@@ -132,23 +125,14 @@ def spatial_filter(shapes: DataFrame, query: str | Mapping[str, float] | Box, re
     def exact(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: relations.relate(relations.parse(t), target, relation)).astype(bool)
 
-    rings = g.parse_rings(F.col(wkt))
-    polygon = g.wkt_kind(F.col(wkt)).contains("POLYGON")
-    b = F.col("_box")
+    b = F.col("_shape.box")
     if relation == "contains":
         near = (b["xmin"] <= x0) & (b["xmax"] >= x1) & (b["ymin"] <= y0) & (b["ymax"] >= y1)
     elif relation == "within":
         near = (b["xmin"] >= x0) & (b["xmax"] <= x1) & (b["ymin"] >= y0) & (b["ymax"] <= y1)
     else:
         near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
-    return (
-        shapes.withColumn("_rings", rings)
-        .where(F.col("_rings").isNotNull() & (~polygon | g.valid_polygon(F.col("_rings"))))
-        .withColumn("_box", g.bounding_box(F.col("_rings")))
-        .where(near)
-        .drop("_rings", "_box")
-        .where(exact(F.col(wkt)))
-    )
+    return g.with_shape(shapes, wkt).where(near).drop("_shape", "_kind").where(exact(F.col(wkt)))
 
 
 # Default columns of each spatial table and whether map-unit names are joined.
@@ -260,10 +244,8 @@ def drop_invalid_geometry(df: DataFrame, column: str | None = None, crs: str | N
         if not column:
             raise ValueError(f"no geometry column among {df.columns}")
         crs = crs or detected
-    kind = g.wkt_kind(F.col(column))
-    rings = g.parse_rings(F.col(column))
-    usable = kind.isNotNull() & (~kind.contains("POLYGON") | g.valid_polygon(rings))
-    return df.where(usable).withColumns({"geometry": F.col(column), "geometry_type": kind, "crs": F.lit(crs or "EPSG:4326")})
+    shaped = g.with_shape(df, column).drop("_shape")
+    return shaped.withColumns({"geometry": F.col(column), "crs": F.lit(crs or "EPSG:4326")}).withColumnRenamed("_kind", "geometry_type")
 
 
 _GRIDS = 4  # search grids, each a quarter of the one before

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loamframe.functions.rows import spread
 from loamframe.session import configure
 
 
@@ -297,6 +298,12 @@ LOGICAL: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+# Tables whose rows take long to parse or test.
+PARSED = {
+    "mupolygon", "points", "payloads", "station_feed", "series_feed", "second_readings", "forecast_feed", "reference_feed", "survey_xml", "raw_values",
+}
+
+
 class Tables:
     """Logical tables by attribute; supplied tables through ``raw``."""
 
@@ -312,7 +319,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in LOGICAL:
             raise AttributeError(name)
-        return logical(self.raw(LOGICAL[name][0]), name)
+        source = self.raw(LOGICAL[name][0])
+        return logical(spread(source) if name in PARSED else source, name)
 
 
 def logical(source: DataFrame, name: str) -> DataFrame:

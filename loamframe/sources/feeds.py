@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamframe.constants import REFERENCE_LISTS, SECOND_NETWORK_VARIABLES
 from loamframe.functions.conversion import plain_number
+from loamframe.functions.rows import compute_once
 from loamframe.functions.readings import base_code, local_to_utc, parse_station_time, qc_flags
 
 STATION = """array<struct<stationTriplet string, name string, latitude string, longitude string,
@@ -40,7 +41,8 @@ def _coordinate(text: Column) -> Column:
 
 def _stations(df: DataFrame, body: str, keep: list[str]) -> DataFrame:
     return (
-        df.select(*keep, F.explode_outer(F.from_json(body, STATION)).alias("s"))
+        compute_once(df, "_feed", F.from_json(body, STATION))
+        .select(*keep, F.explode_outer("_feed").alias("s"))
         .withColumn("latitude", _coordinate(F.col("s.latitude")))
         .withColumn("longitude", _coordinate(F.col("s.longitude")))
         .withColumn("_good", F.col("s").isNotNull() & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -96,7 +98,7 @@ def _failed(feed: Column) -> Column:
 
 def rejected_series(df: DataFrame, body: str, keep: list[str]) -> DataFrame:
     """Batches that are not JSON or report an error."""
-    feed = df.withColumn("_feed", F.from_json(body, SERIES))
+    feed = compute_once(df, "_feed", F.from_json(body, SERIES))
     return feed.where(_failed(F.col("_feed"))).select(
         *keep, F.array_compact(F.transform("_feed", lambda s: s["error"])).alias("errors")
     )
@@ -108,7 +110,7 @@ def ingest_series_json(df: DataFrame, body: str, stations: DataFrame | None = No
     Rows without a date or with an unreadable one are left out. With
     ``stations`` the time-zone offset is applied to hourly local times.
     """
-    feed = df.withColumn("_feed", F.from_json(body, SERIES)).where(~F.coalesce(_failed(F.col("_feed")), F.lit(True)))
+    feed = compute_once(df, "_feed", F.from_json(body, SERIES)).where(~F.coalesce(_failed(F.col("_feed")), F.lit(True)))
     element = F.col("d.stationElement")
     values = (
         feed.select(F.explode("_feed").alias("s"))
@@ -132,7 +134,7 @@ def ingest_series_json(df: DataFrame, body: str, stations: DataFrame | None = No
     else:
         placed = values.join(stations.select("station_triplet", "data_time_zone"), "station_triplet", "left")
     return (
-        placed.withColumn("ts", parse_station_time(F.col("v.date")))
+        compute_once(placed, "ts", parse_station_time(F.col("v.date")))
         .where(F.col("ts").isNotNull())
         .select(
             "station_triplet",
@@ -164,7 +166,8 @@ def ingest_second_stations(df: DataFrame, body: str, order: str) -> DataFrame:
         F.try_to_timestamp(c, F.lit("yyyy-MM-dd")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
         F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
     ).cast("timestamp_ntz")
-    sensors = df.select(order, F.posexplode(F.from_json(body, SECOND_STATIONS)["sensors"]).alias("_pos", "s"))
+    feed = compute_once(df, "_feed", F.from_json(body, SECOND_STATIONS)["sensors"])
+    sensors = feed.select(order, F.posexplode("_feed").alias("_pos", "s"))
     first = F.row_number().over(Window.partitionBy("station_id").orderBy(order, "_pos"))
     return (
         sensors.where("s.sid <> ''")
@@ -190,12 +193,12 @@ def ingest_second_stations(df: DataFrame, body: str, order: str) -> DataFrame:
 
 def ingest_second_readings(df: DataFrame, body: str, station_id: str) -> DataFrame:
     """Points of the four variables, each labelled with its own element code."""
-    feed = df.select(F.col(station_id).alias("station_id"), F.from_json(body, SECOND_READINGS).alias("f"))
+    feed = compute_once(df, "f", F.from_json(body, SECOND_READINGS)).select(F.col(station_id).alias("station_id"), "f")
     groups = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"f.{v}").alias("records")) for v in SECOND_NETWORK_VARIABLES])
     return (
         feed.select("station_id", F.explode(groups).alias("g"))
         .select("station_id", "g.variable", F.explode("g.records").alias("r"))
-        .withColumn("ts", parse_station_time(F.col("r.date_time")))
+        .transform(compute_once, "ts", parse_station_time(F.col("r.date_time")))
         .where(F.col("ts").isNotNull())
         .select(
             "station_id",
@@ -214,7 +217,7 @@ def flatten_reference_lists(df: DataFrame, body: str) -> DataFrame:
     schema = "struct<" + ", ".join(f"{n} array<map<string, string>>" for n in REFERENCE_LISTS) + ">"
     lists = F.array(*[F.struct(F.lit(n).alias("list_name"), F.col(f"f.{n}").alias("entries")) for n in REFERENCE_LISTS])
     return (
-        df.select(F.from_json(body, schema).alias("f"))
+        compute_once(df, "f", F.from_json(body, schema))
         .select(F.inline(lists))
         .select("list_name", F.explode("entries").alias("attributes"))
         .select("list_name", F.col("attributes")["code"].alias("code"), F.col("attributes")["name"].alias("name"), "attributes")
@@ -235,7 +238,8 @@ def flatten_forecasts(
     ``periods`` keeps forecasts whose period starts or ends on one of the days.
     """
     rows = (
-        df.select(F.explode(F.from_json(body, FORECASTS)).alias("s"))
+        compute_once(df, "_feed", F.from_json(body, FORECASTS))
+        .select(F.explode("_feed").alias("s"))
         .select("s.stationTriplet", "s.forecastPointName", F.explode("s.data").alias("d"))
         .select(
             F.col("stationTriplet").alias("station_triplet"),

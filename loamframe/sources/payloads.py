@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamframe.functions import conversion
+from loamframe.functions.rows import compute_once
 
 PAYLOAD = "Table array<array<string>>"
 
 
 def _parsed(df: DataFrame, body: str) -> DataFrame:
-    return df.withColumn("_table", F.from_json(F.col(body), PAYLOAD)["Table"])
+    return compute_once(df, "_table", F.from_json(F.col(body), PAYLOAD)["Table"])
 
 
 def payload_status(df: DataFrame, body: str) -> DataFrame:

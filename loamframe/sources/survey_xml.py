@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from loamframe.constants import METADATA_BOUNDS, METADATA_TEXT_FIELDS
 from loamframe.functions.conversion import plain_number, strip
+from loamframe.functions.rows import compute_once
 
 
 def _schema() -> T.StructType:
@@ -44,7 +45,7 @@ def _words(groups: str, key: str) -> Column:
 def ingest_survey_xml(df: DataFrame, xml: str, keep: list[str]) -> DataFrame:
     """One row per document; ``is_valid`` is false for text that is not XML."""
     options = {"columnNameOfCorruptRecord": "_corrupt_record", "ignoreSurroundingSpaces": "true"}
-    parsed = df.withColumn("x", F.from_xml(F.col(xml), _schema(), options))
+    parsed = compute_once(df, "x", F.from_xml(F.col(xml), _schema(), options))
     date = F.col("publication_date")
     steps = F.transform(
         F.coalesce(F.col("x.dataqual.lineage.procstep"), F.array()),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from loamframe.constants import WKT_PREFIXES
 from loamframe.functions import conversion
+from loamframe.functions.rows import compute_once
 
 
 def read_table(
@@ -92,15 +93,16 @@ def convert_types(df: DataFrame, type_map: Mapping[str, str], empty_string: bool
 def conversion_errors(df: DataFrame, type_map: Mapping[str, str]) -> DataFrame:
     """Typed columns plus ``errors``: (column, value, error) per failed value."""
     columns = {c: t for c, t in type_map.items() if c in df.columns}
+    typed = F.struct(*[conversion.convert(F.col(c), t).alias(c) for c, t in columns.items()])
     failures = [
         F.when(
-            ~conversion.is_missing(F.col(c)) & conversion.convert(F.col(c), t).isNull(),
+            ~conversion.is_missing(F.col(c)) & F.col("_typed")[c].isNull(),
             F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.lit(f"not a {t}").alias("error")),
         )
         for c, t in columns.items()
     ]
-    flagged = df.withColumn("errors", F.array_compact(F.array(*failures)))
-    return flagged.withColumns({c: conversion.convert(F.col(c), t) for c, t in columns.items()})
+    flagged = compute_once(df, "_typed", typed).withColumn("errors", F.array_compact(F.array(*failures)))
+    return flagged.withColumns({c: F.col("_typed")[c] for c in columns}).drop("_typed")
 
 
 def quarantine(df: DataFrame, type_map: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
