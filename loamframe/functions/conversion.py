@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamframe.constants import DATETIME_FORMATS, FALSE_WORDS, NULL_WORDS, SQL_TYPES, TRUE_WORDS
 
@@ -31,6 +32,14 @@ def plain_number(text: Column) -> Column:
     return F.when(~F.abs(value).isin(float("inf")), value)
 
 
+def as_number(df: DataFrame, column: str) -> Column:
+    """Double of a column: numeric columns as they are, text if it is a number."""
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        value = F.col(column).cast("double")
+        return F.when(F.abs(value) < float("inf"), value)
+    return plain_number(F.col(column).cast("string"))
+
+
 def to_int(raw: Column) -> Column:
     """Truncate toward zero; on failure take the first number inside the text."""
     number = F.coalesce(plain_number(raw), F.regexp_extract(raw, FIRST_NUMBER, 0).try_cast("double"))

@@ -52,12 +52,12 @@ def element_string(code: Column, depth_cm: Column, ordinal: Column) -> Column:
 
 def parse_element(text: Column) -> Column:
     """struct(base_code, depth_inches, ordinal); malformed text is all base."""
-    parts = F.split(text, ":")
-    good = F.size(parts) == 3
+    part = lambda i: F.split_part(text, F.lit(":"), F.lit(i))
+    good = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit(""))) == 2
     return F.struct(
-        F.when(good, parts[0]).otherwise(text).alias("base_code"),
-        F.when(good, F.get(parts, F.lit(1)).try_cast("int")).alias("depth_inches"),
-        F.coalesce(F.when(good, F.get(parts, F.lit(2)).try_cast("int")), F.lit(1)).alias("ordinal"),
+        F.when(good, part(1)).otherwise(text).alias("base_code"),
+        F.when(good, part(2).try_cast("int")).alias("depth_inches"),
+        F.coalesce(F.when(good, part(3).try_cast("int")), F.lit(1)).alias("ordinal"),
     )
 
 

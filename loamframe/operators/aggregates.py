@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamframe.constants import SCHEMAS
-from loamframe.functions.conversion import plain_number
+from loamframe.functions.conversion import as_number
 
 # Depths are divided by this to report feet.
 _PER_FOOT = {"in": 12.0, "cm": 30.48}
@@ -51,9 +51,9 @@ def water_table_summary(df: DataFrame, by: list[str], depth_unit: str = "in") ->
     )
 
 
-def depth_measures(top: str = "hzdept_r", bottom: str = "hzdepb_r") -> list[Column]:
+def depth_measures(df: DataFrame, top: str = "hzdept_r", bottom: str = "hzdepb_r") -> list[Column]:
     """Aggregates over the depths that are numbers; rows that have both."""
-    t, b = plain_number(F.col(top).cast("string")), plain_number(F.col(bottom).cast("string"))
+    t, b = as_number(df, top), as_number(df, bottom)
     return [
         F.count_if(t.isNotNull() & b.isNotNull()).alias("horizons_with_valid_depths"),
         F.min(t).alias("top_depth_min"), F.max(t).alias("top_depth_max"), F.avg(t).alias("top_depth_mean"),
@@ -63,7 +63,7 @@ def depth_measures(top: str = "hzdept_r", bottom: str = "hzdepb_r") -> list[Colu
 
 def depth_statistics(df: DataFrame, top: str = "hzdept_r", bottom: str = "hzdepb_r", by: list[str] = []) -> DataFrame:
     """Horizon count and depth measures per group."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_horizons"), *depth_measures(top, bottom))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_horizons"), *depth_measures(df, top, bottom))
 
 
 def area_totals(df: DataFrame, by: list[str], acres: str = "muacres") -> DataFrame:

@@ -18,7 +18,7 @@ from loamframe.constants import (
 )
 from loamframe.functions import conversion
 from loamframe.functions.rows import compute_once
-from loamframe.functions.conversion import plain_number
+from loamframe.functions.conversion import as_number
 from loamframe.operators.aggregates import depth_measures
 from loamframe.operators.selection import match_columns
 
@@ -163,7 +163,7 @@ def validate_ranges(df: DataFrame, type_map: Mapping[str, str]) -> DataFrame:
         text = F.col(c).cast("string")
         if conversion.family(t) in ("int", "float", "bool"):
             wrong.append(F.count_if(~conversion.is_missing(text) & conversion.convert(text, t).isNull()))
-        test = _range_test(c, plain_number(text))
+        test = _range_test(c, as_number(df, c))
         if test is not None:
             outside.append(F.count_if(test))
     total = lambda parts: sum(parts, F.lit(0)).cast("long")
@@ -189,7 +189,7 @@ def validate_ranges(df: DataFrame, type_map: Mapping[str, str]) -> DataFrame:
 def flag_depths(df: DataFrame, top: str = "hzdept_r", bottom: str = "hzdepb_r", unit: str = "in") -> DataFrame:
     """``depth_invalid`` (not a number, null, negative, top >= bottom) and
     ``depth_unreasonable`` (beyond 240 in or 600 cm) per horizon."""
-    t, b = plain_number(F.col(top).cast("string")), plain_number(F.col(bottom).cast("string"))
+    t, b = as_number(df, top), as_number(df, bottom)
     invalid = t.isNull() | b.isNull() | (t < 0) | (b < 0) | (t >= b)
     limit = MAX_DEPTH[unit]
     return df.withColumn("depth_invalid", F.coalesce(invalid, F.lit(True))).withColumn(
@@ -220,7 +220,7 @@ def profile_report(df: DataFrame, columns: tuple[str, str, str, str], unit: str
     if columns[2] in match and columns[3] in match:
         top, bottom = match[columns[2]], match[columns[3]]
         flagged = flag_depths(df, top, bottom, unit)
-        measures = [F.count_if("depth_invalid").alias("n_invalid"), *depth_measures(top, bottom)]
+        measures = [F.count_if("depth_invalid").alias("n_invalid"), *depth_measures(df, top, bottom)]
     return flagged.agg(F.count(F.lit(1)).alias("n_rows"), *measures).withColumns(
         {
             "n_columns": F.lit(len(df.columns)),

@@ -132,7 +132,9 @@ def spatial_filter(shapes: DataFrame, query: str | Mapping[str, float] | Box, re
         near = (b["xmin"] >= x0) & (b["xmax"] <= x1) & (b["ymin"] >= y0) & (b["ymax"] <= y1)
     else:
         near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
-    return g.with_shape(shapes, wkt).where(near).drop("_shape", "_kind").where(exact(F.col(wkt)))
+    # The argument names the box too, which keeps the UDF above the box test.
+    candidate = F.when(b.isNotNull(), F.col(wkt))
+    return g.with_shape(shapes, wkt).where(near).where(exact(candidate)).drop("_shape", "_kind")
 
 
 # Default columns of each spatial table and whether map-unit names are joined.

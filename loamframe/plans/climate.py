@@ -357,7 +357,7 @@ def _(t):
     'SMS' AS base_code, -inches AS parsed_depth, 1 AS parsed_ordinal FROM s""",
 )
 def _(t):
-    rows = t.chorizon.select(
+    rows = t.dealt("chorizon").select(
         "chkey", F.lit("SMS").alias("element_code"), F.when(F.col("awc_r") > 0.05, F.col("hzdepb_r") + 0.37).alias("depth_cm"), F.lit(1).alias("ordinal")
     )
     return stations.normalize_elements(rows).select(

@@ -301,6 +301,7 @@ LOGICAL: dict[str, tuple[str, dict[str, str]]] = {
 # Tables whose rows take long to parse or test.
 PARSED = {
     "mupolygon", "points", "payloads", "station_feed", "series_feed", "second_readings", "forecast_feed", "reference_feed", "survey_xml", "raw_values",
+    "depth_texts", "long_readings",
 }
 
 
@@ -316,6 +317,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def dealt(self, name: str) -> DataFrame:
+        """A logical table dealt over all cores, for expensive work per row."""
+        return logical(spread(self.raw(LOGICAL[name][0])), name)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in LOGICAL:
             raise AttributeError(name)

@@ -364,7 +364,7 @@ def _(t):
     FROM mapunit m LEFT JOIN component c ON m.mukey = c.mukey LEFT JOIN h ON c.cokey = h.cokey GROUP BY m.mukey, m.muname""",
 )
 def _(t):
-    nested = profiles.nest_mapunits(t.mapunit.select("mukey", "muname"), t.component, t.chorizon)
+    nested = profiles.nest_mapunits(t.mapunit.select("mukey", "muname"), t.component, t.dealt("chorizon"))
     total = lambda per_item: F.aggregate("components", F.lit(0).cast("long"), lambda a, c: a + per_item(c))
     return nested.select(
         "mukey", "muname", F.col("part").cast("long").alias("part"), F.size("components").cast("long").alias("n_components"),
@@ -382,7 +382,7 @@ def _(t):
     UNION ALL SELECT chkey, 'ph', NULL, ph1to1h2o_r, NULL, 'pH' FROM chorizon WHERE ph1to1h2o_r IS NOT NULL""",
 )
 def _(t):
-    return profiles.horizon_properties_long(t.chorizon, ["chkey"])
+    return profiles.horizon_properties_long(t.dealt("chorizon"), ["chkey"])
 
 
 @query(

@@ -96,9 +96,14 @@ def _failed(feed: Column) -> Column:
     return feed.isNull() | F.exists(feed, lambda s: s["error"].isNotNull() & (F.size(s["data"]) > 0))
 
 
+def parse_series(df: DataFrame, body: str) -> DataFrame:
+    """The parsed feed as ``_feed``; the two readers below reuse it."""
+    return df if "_feed" in df.columns else compute_once(df, "_feed", F.from_json(body, SERIES))
+
+
 def rejected_series(df: DataFrame, body: str, keep: list[str]) -> DataFrame:
     """Batches that are not JSON or report an error."""
-    feed = compute_once(df, "_feed", F.from_json(body, SERIES))
+    feed = parse_series(df, body)
     return feed.where(_failed(F.col("_feed"))).select(
         *keep, F.array_compact(F.transform("_feed", lambda s: s["error"])).alias("errors")
     )
@@ -110,7 +115,7 @@ def ingest_series_json(df: DataFrame, body: str, stations: DataFrame | None = No
     Rows without a date or with an unreadable one are left out. With
     ``stations`` the time-zone offset is applied to hourly local times.
     """
-    feed = compute_once(df, "_feed", F.from_json(body, SERIES)).where(~F.coalesce(_failed(F.col("_feed")), F.lit(True)))
+    feed = parse_series(df, body).where(~F.coalesce(_failed(F.col("_feed")), F.lit(True)))
     element = F.col("d.stationElement")
     values = (
         feed.select(F.explode("_feed").alias("s"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loamframe.operators.stations import SERIES, upsert_readings
-from loamframe.sources.feeds import ingest_series_json, rejected_series
+from loamframe.sources.feeds import ingest_series_json, parse_series, rejected_series
 
 
 def _stream(spark: SparkSession, path: str, schema, fmt: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -25,10 +25,10 @@ def start_ingest(feed: DataFrame, body: str, keep: list[str], out: str, rejects:
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.persist()
-        ingest_series_json(batch, body).write.mode("overwrite").parquet(f"{out}/batch={number}")
-        rejected_series(batch, body, keep).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
-        batch.unpersist()
+        parsed = parse_series(batch, body).select(*keep, "_feed").persist()
+        ingest_series_json(parsed, body).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        rejected_series(parsed, body, keep).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        parsed.unpersist()
 
     return _start(feed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), once)
 
