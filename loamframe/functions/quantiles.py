@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median", accuracy: int = 2000) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median", accuracy: int = 100_000) -> DataFrame:
     """Exact median of ``value`` per key.
 
     A mergeable quantile sketch first brackets the median of each group; only
-    the distinct values inside the bracket (about 2/accuracy of the group) are
+    the distinct values inside the bracket (about 6/accuracy of the group) are
     then ranked, with their counts, and everything below it is one number. So
     no task sorts a whole group and repeated values cost one row.
     """

@@ -184,7 +184,7 @@ LOGICAL: dict[str, tuple[str, dict[str, str]]] = {
         "drainagecl": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END",
     }),
     "chorizon": ("lineitem", {
-        "chkey": "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING))",
+        "chkey": "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING), '-', CAST(l_extendedprice AS STRING))",
         "cokey": "l_orderkey", "hzname": "concat(l_returnflag, l_linestatus)",
         "hzdept_r": "CAST((l_linenumber - 1) * 10 AS DOUBLE)", "hzdepb_r": "CAST(l_linenumber * 10 AS DOUBLE)",
         "claytotal_r": "l_quantity", "claytotal_l": "l_quantity - 1", "claytotal_h": "l_quantity + 1",
