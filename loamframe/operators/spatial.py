@@ -250,7 +250,7 @@ def drop_invalid_geometry(df: DataFrame, column: str | None = None, crs: str | N
     return shaped.withColumns({"geometry": F.col(column), "crs": F.lit(crs or "EPSG:4326")}).withColumnRenamed("_kind", "geometry_type")
 
 
-_GRIDS = 4  # search grids, each a quarter of the one before
+_GRIDS = 3  # search grids, each an eighth of the one before
 
 
 def nearest_stations(
@@ -280,13 +280,12 @@ def nearest_stations(
         .where(F.col("_rank") <= k)
         .drop("_rank")
     )
-    radii = [max_km / 4**i for i in range(_GRIDS)]
+    radii = [max_km / 8**i for i in range(_GRIDS)]
     size = lambda c: F.element_at(F.array(*[F.lit(r) for r in radii]), c + 1)
 
     def cell_of(df: DataFrame, radius: Column) -> DataFrame:
-        return df.withColumn("band", grid.band(lat, radius)).withColumn(
-            "cell", grid.band_cell(lon, grid.band_cells(F.col("band"), radius))
-        )
+        b = grid.band(lat, radius)
+        return df.withColumns({"band": b, "cell": grid.band_cell(lon, grid.band_cells(b, radius))})
 
     reached = sites.where(valid).withColumn("_radius", F.lit(float(max_km)))
     for i, r in enumerate(radii[1:], start=1):
