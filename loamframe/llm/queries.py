@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat
+from loamframe.llm import chat, packing
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -53,3 +53,16 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.conversation_digests(chat.prefix_examples(rows))
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file on this machine and on the workers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packing.best_fit(pieces)
