@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, packing
+from loamframe.llm import chat, packing, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -66,3 +66,23 @@ def tokenizer_file(name: str) -> str:
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return packing.best_fit(pieces)
+
+
+TOP_SQL = """
+WITH v AS (
+    SELECT vec_id, min([floor(1024 * x::DOUBLE) FOR x IN embedding]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    GROUP BY vec_id),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op10_exact_top_k", TOP_SQL)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_products(vectors, F.col("vec_id") % 100 == 0)
