@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, packing, topk
+from loamframe.llm import chat, packing, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -86,3 +86,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_products(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op2_suffix_tree_scoring")
+def suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"), held_out)
