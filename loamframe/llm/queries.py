@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, packing, suffix_tree, topk
+from loamframe.llm import chat, html_text, packing, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -92,3 +92,9 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op9_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
