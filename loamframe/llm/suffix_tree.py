@@ -30,7 +30,8 @@ from loamframe.session import scratch_path
 
 LEAST = 4  # occurrences a context needs to be tested
 GAIN = 6.0  # nats a context must gain over its suffix
-PRIOR = 2.0  # weight of the suffix's distribution in a state's
+DISCOUNT = 0.75  # taken off each next token's count in a state, for the suffix's distribution
+PRIOR = 20.0  # weight of the suffix's distribution besides that
 COMMON = 64  # a context with 1/COMMON of all tokens is always a state
 BATCH_CHARS = 12_000_000
 END = b"\t"  # white space, so never a word
@@ -149,15 +150,18 @@ def _test_contexts(step: int, tokens: int):
             gains = np.where(sums >= 2, sums * (np.log(np.maximum(sums, 1) / all_times) + bits[order][first] * (np.log(2) / 6)), 0.0)
         of_context = np.cumsum(new_context)[first] - 1
         gain = np.bincount(of_context, gains)
-        state = (gain >= GAIN) | (all_times[np.flatnonzero(new_context[first])] * COMMON >= tokens)
+        total = all_times[np.flatnonzero(new_context[first])]
+        state = (gain >= GAIN) | (total * COMMON >= tokens)
+        # Distinct next tokens; those too rare to be asked about were seen once each.
+        kinds = np.bincount(of_context, sums > 0) + np.maximum(0, total - np.bincount(of_context, sums))
         back = np.empty(len(order), np.int64)
         back[order] = np.cumsum(new_pair) - 1
-        counts, flags = sums[back], state[of_context][back]
+        counts, flags = sums[back], np.where(state, np.maximum(kinds, 1), 0)[of_context][back]
         out, at = [], 0
         for b, s, r in zip(group["batch"], group["shard"], rows):
             size = len(r[3])
             heads = at + np.cumsum(r[2]) - r[2]
-            out.append((b, step, s, None, _pack(counts[at : at + size].astype(np.int32)), _pack(flags[heads].astype(np.uint8)), None))
+            out.append((b, step, s, None, _pack(counts[at : at + size].astype(np.int32)), _pack(flags[heads].astype(np.int32)), None))
             at += size
         return pd.DataFrame(out, columns=ANSWER)
 
@@ -227,16 +231,20 @@ class _Batch:
         """Takes the answers to ``ask`` and moves on to contexts one token longer."""
         usable, order, s, c, f, new = self.pairs()
         counts = np.concatenate([_unpack(x, np.int32) for x in told["counts"]]).astype(np.int64)
-        flags = np.concatenate([_unpack(x, np.uint8) for x in told["flags"]]).astype(bool)
+        kinds = np.concatenate([_unpack(x, np.int32) for x in told["flags"]])
         head = np.flatnonzero(new)
         new_context = np.append(True, (s[head][1:] != s[head][:-1]) | (c[head][1:] != c[head][:-1]))
         pair_count = np.zeros(len(self.codes), np.int64)
         pair_count[usable[order]] = counts[np.cumsum(new) - 1]
         # A context that is a state is one for every token after it, asked about or not.
-        states = np.unique(c[head][new_context][flags])
-        state = np.isin(self.context, states) & (self.context_times >= LEAST)
-        mixed = (pair_count + PRIOR * self.p) / (self.context_times + PRIOR)
-        self.p = np.where(state, mixed, self.p)
+        states, at = np.unique(c[head][new_context][kinds > 0], return_index=True)
+        if len(states):
+            kinds = kinds[kinds > 0][at]
+            at = np.minimum(np.searchsorted(states, self.context), len(states) - 1)
+            state = (states[at] == self.context) & (self.context_times >= LEAST)
+            rest = DISCOUNT * kinds[at] + PRIOR
+            mixed = (np.maximum(pair_count - DISCOUNT, 0) + rest * self.p) / (self.context_times + PRIOR)
+            self.p = np.where(state, mixed, self.p)
         # A longer context is tried only where its suffix is a state's pair seen often enough.
         longer, times = np.zeros_like(self.context), np.zeros_like(self.context)
         ahead = self.place > 0
