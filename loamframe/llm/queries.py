@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, html_text, packing, suffix_tree, topk
+from loamframe.llm import chat, html_text, packing, quality, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -98,3 +98,20 @@ def suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_text.extract_text(table(spark, sf_dir, "pages"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUALITY_KEPT = 0.3
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with ``held_out`` and ``score``, learned from the labelled rows that aren't held out."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold != 0)
+    return quality.score(docs.withColumn("held_out", F.coalesce(fold == 0, F.lit(False))), model)
+
+
+@query("op8_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_scores(spark, docs, sf_dir)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
