@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, html_text, packing, quality, suffix_tree, topk
+from loamframe.llm import chat, html_text, line_dedup, packing, quality, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -115,3 +115,33 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_scores(spark, docs, sf_dir)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
+
+
+LINES_SQL = """
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (
+    SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS said FROM d),
+u AS (
+    SELECT *, trim(regexp_replace(lower(said), '[\\x09-\\x0D ]+', ' ', 'g')) AS plain,
+        sum(length(said) + 1) OVER (PARTITION BY doc_id, text ORDER BY line) - length(said) - 1 AS start
+    FROM l),
+r AS (
+    SELECT *, len(string_split(plain, ' ')) >= 10 AND row_number() OVER (PARTITION BY plain ORDER BY doc_id NULLS FIRST, line) > 1 AS gone FROM u)
+SELECT doc_id, coalesce(string_agg(said, chr(10) ORDER BY line) FILTER (NOT gone), '') AS text,
+    count(*) FILTER (gone) AS n_removed, coalesce(sum(length(said)) FILTER (gone), 0)::BIGINT AS removed_chars,
+    coalesce(string_agg(start || ':' || length(said), ',' ORDER BY line) FILTER (gone), '') AS removed_spans
+FROM r GROUP BY doc_id, r.text
+"""
+
+
+@query("op1_substring_dedup", LINES_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["length"])), ",")
+    return docs.select(
+        "doc_id",
+        "text",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["length"]).alias("removed_chars"),
+        spans.alias("removed_spans"),
+    )
