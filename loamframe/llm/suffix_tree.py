@@ -29,10 +29,10 @@ from loamframe.llm.common import tasks, whole_text
 from loamframe.session import scratch_path
 
 LEAST = 4  # occurrences a context needs to be tested
-GAIN = 6.0  # nats a context must gain over its suffix
+GAIN = 0.0  # nats a context must gain over its suffix on its own occurrences, each predicted from the others
 DISCOUNT = 0.75  # taken off each next token's count in a state, for the suffix's distribution
 PRIOR = 20.0  # weight of the suffix's distribution besides that
-COMMON = 64  # a context with 1/COMMON of all tokens is always a state
+COMMON = 64  # a context with 1/COMMON of all tokens is common: its next tokens are dealt over all shards
 BATCH_CHARS = 12_000_000
 END = b"\t"  # white space, so never a word
 
@@ -126,13 +126,13 @@ def _count_words(shards: int):
     return run
 
 
-def _test_contexts(step: int, tokens: int):
+def _test_contexts(step: int, tokens: int, shards: int):
     """Adds up next-token counts of a shard's contexts, tests each context, and
     tells each batch the counts and which of its contexts are states."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         rows = [
-            (_unpack(r.context, np.int64), _unpack(r.times, np.int64), _unpack(r.runs, np.int32), _unpack(r.next, np.int64), _unpack(r.n, np.int32), _unpack(r.bits, np.uint8))
+            (np.cumsum(_unpack(r.context, np.int64)), _unpack(r.times, np.int64), _unpack(r.runs, np.int32), _unpack(r.next, np.int64), _unpack(r.n, np.int32), _unpack(r.bits, np.uint8))
             for r in group.itertuples()
         ]
         context = np.concatenate([np.repeat(r[0], r[2]) for r in rows])
@@ -145,15 +145,20 @@ def _test_contexts(step: int, tokens: int):
         first = np.flatnonzero(new_pair)
         sums = np.add.reduceat(n[order].astype(np.int64), first)
         all_times = times[order][first].astype(float)
-        # Symbols seen once are no evidence; the suffix's probability comes in sixths of a bit.
-        with np.errstate(divide="ignore"):
-            gains = np.where(sums >= 2, sums * (np.log(np.maximum(sums, 1) / all_times) + bits[order][first] * (np.log(2) / 6)), 0.0)
         of_context = np.cumsum(new_context)[first] - 1
-        gain = np.bincount(of_context, gains)
         total = all_times[np.flatnonzero(new_context[first])]
-        state = (gain >= GAIN) | (total * COMMON >= tokens)
-        # Distinct next tokens; those too rare to be asked about were seen once each.
-        kinds = np.bincount(of_context, sums > 0) + np.maximum(0, total - np.bincount(of_context, sums))
+        kinds = np.bincount(of_context, sums > 0)  # distinct next tokens
+        common = total * COMMON >= tokens
+        # Divergence test: each occurrence is predicted from the others, by the state
+        # and by its suffix (whose probability was sent in sixths of a bit).
+        p = np.exp2(bits[order][first] / -6.0)
+        known = np.where(common, kinds * shards, kinds)[of_context] - (sums == 1)
+        own = (np.maximum(sums - 1 - DISCOUNT, 0) + (DISCOUNT * known + PRIOR) * p) / (total[of_context] - 1 + PRIOR)
+        left_out = np.bincount(of_context, sums * np.log(own / p))
+        state = (left_out >= GAIN) | common
+        # A common context's next tokens lie in all shards: its kinds and this gain are added up later.
+        shared = np.flatnonzero(common)
+        stats = np.stack([c[new_context][shared], kinds[shared], np.rint(left_out[shared])], 1).astype(np.int64).ravel().tolist()
         back = np.empty(len(order), np.int64)
         back[order] = np.cumsum(new_pair) - 1
         counts, flags = sums[back], np.where(state, np.maximum(kinds, 1), 0)[of_context][back]
@@ -161,7 +166,7 @@ def _test_contexts(step: int, tokens: int):
         for b, s, r in zip(group["batch"], group["shard"], rows):
             size = len(r[3])
             heads = at + np.cumsum(r[2]) - r[2]
-            out.append((b, step, s, None, _pack(counts[at : at + size].astype(np.int32)), _pack(flags[heads].astype(np.int32)), None))
+            out.append((b, step, s, None, _pack(counts[at : at + size].astype(np.int32)), _pack(flags[heads].astype(np.int32)), stats if at == 0 else None))
             at += size
         return pd.DataFrame(out, columns=ANSWER)
 
@@ -175,7 +180,7 @@ KEYS = ["batch", "shard", "context", "times", "runs", "next", "n", "bits"]
 class _Batch:
     """A batch's tokens and what the shards have told about them so far."""
 
-    def __init__(self, row, told: pd.DataFrame, shards: int, tokens: int, distinct: int):
+    def __init__(self, row, told: pd.DataFrame, shards: int, tokens: int, distinct: int, common: dict[int, dict[int, int]]):
         self.shards, self.tokens = shards, tokens
         self.codes, self.sizes = _unpack(row.codes, np.int32).astype(np.int64), np.asarray(row.sizes)
         self.ids, self.held = list(row.ids), np.asarray(row.held, bool)
@@ -198,11 +203,11 @@ class _Batch:
         for step in (2, 3):
             mine = told[told["step"] == step]
             if len(mine):
-                self._hear(mine)
+                self._hear(mine, common[step])
 
     def pairs(self) -> tuple[np.ndarray, ...]:
         """Distinct (shard, context, next) of the tested contexts, in shard order."""
-        usable = np.flatnonzero((self.context_times >= LEAST) & (self.times[self.codes] >= 2))
+        usable = np.flatnonzero(self.context_times >= LEAST)
         context, follow = self.context[usable], self.word[self.codes[usable]] + 1
         shard = (context ^ (context >> 29)) * 0x9E3779B1 >> 12
         common = self.context_times[usable] * COMMON >= self.tokens
@@ -225,9 +230,9 @@ class _Batch:
         for a, b in zip(ends[:-1], ends[1:]):
             start = np.flatnonzero(np.append(True, c[a + 1 : b] != c[a : b - 1]))
             runs = np.diff(np.append(start, b - a)).astype(np.int32)
-            yield int(s[a]), _pack(c[a:b][start]), _pack(times[a:b][start]), _pack(runs), _pack(f[a:b]), _pack(n[a:b]), _pack(bits[a:b])
+            yield int(s[a]), _pack(np.diff(c[a:b][start], prepend=0)), _pack(times[a:b][start]), _pack(runs), _pack(f[a:b]), _pack(n[a:b]), _pack(bits[a:b])
 
-    def _hear(self, told: pd.DataFrame) -> None:
+    def _hear(self, told: pd.DataFrame, common: dict[int, int]) -> None:
         """Takes the answers to ``ask`` and moves on to contexts one token longer."""
         usable, order, s, c, f, new = self.pairs()
         counts = np.concatenate([_unpack(x, np.int32) for x in told["counts"]]).astype(np.int64)
@@ -236,8 +241,10 @@ class _Batch:
         new_context = np.append(True, (s[head][1:] != s[head][:-1]) | (c[head][1:] != c[head][:-1]))
         pair_count = np.zeros(len(self.codes), np.int64)
         pair_count[usable[order]] = counts[np.cumsum(new) - 1]
-        # A context that is a state is one for every token after it, asked about or not.
-        states, at = np.unique(c[head][new_context][kinds > 0], return_index=True)
+        contexts = c[head][new_context]
+        for context, number in common.items():
+            kinds[contexts == context] = number
+        states, at = np.unique(contexts[kinds > 0], return_index=True)
         if len(states):
             kinds = kinds[kinds > 0][at]
             at = np.minimum(np.searchsorted(states, self.context), len(states) - 1)
@@ -264,8 +271,8 @@ def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", tex
     other columns are ignored; an empty table gives no rows.
 
     No word or context is hot: a batch names each only once, however often it
-    occurs, and a context with 1/COMMON of all tokens is always a state and has
-    its next tokens dealt over all shards. Words are numbered below 2^31.
+    occurs, and a context with 1/COMMON of all tokens has its next tokens dealt
+    over all shards. Words are numbered below 2^31.
     """
     spark = documents.sparkSession
     shards = tasks(spark)
@@ -287,15 +294,17 @@ def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", tex
     sizes = answers.agg(F.sum(F.get("stats", F.lit(0))).alias("n"), F.sum(F.get("stats", F.lit(1))).alias("v")).first()
     tokens, distinct = int(sizes["n"] or 0), int(sizes["v"] or 0)
 
+    common: dict[int, dict[int, int]] = {}
+
     def ask(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(
-            [(r.batch, *k) for r in rows.itertuples() for k in _Batch(r, told, shards, tokens, distinct).ask()], columns=KEYS
+            [(r.batch, *k) for r in rows.itertuples() for k in _Batch(r, told, shards, tokens, distinct, common).ask()], columns=KEYS
         )
 
     def add_up(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in rows.itertuples():
-            b = _Batch(r, told, shards, tokens, distinct)
+            b = _Batch(r, told, shards, tokens, distinct, common)
             known = (b.times > 0)[b.codes].astype(np.int64)
             out.append(pd.DataFrame({
                 "doc_id": pd.array(b.ids, "Int64"), "held_out": b.held, "n_tokens": b.sizes.astype(np.int64),
@@ -306,6 +315,14 @@ def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", tex
 
     meet = lambda run, schema: texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(run, schema)
     for step in (2, 3):
-        asked = meet(ask, KEYS_SQL).groupBy("shard").applyInPandas(_test_contexts(step, tokens), ANSWER_SQL)
-        answers = answers.unionByName(kept(asked, ANSWER_SQL, f"contexts{step}"))
+        asked = meet(ask, KEYS_SQL).groupBy("shard").applyInPandas(_test_contexts(step, tokens, shards), ANSWER_SQL)
+        told = kept(asked, ANSWER_SQL, f"contexts{step}")
+        # At most COMMON contexts, and a row for each shard.
+        common[step] = {}
+        for row in told.where(F.size("stats") > 0).select("stats").collect():
+            for context, kinds, gain in zip(row["stats"][::3], row["stats"][1::3], row["stats"][2::3]):
+                before = common[step].get(context, (0, 0))
+                common[step][context] = (before[0] + kinds, before[1] + gain)
+        common[step] = {c: kinds if gain >= GAIN else 0 for c, (kinds, gain) in common[step].items()}
+        answers = answers.unionByName(told)
     return meet(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
