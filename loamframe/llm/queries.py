@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, html_text, line_dedup, packing, quality, suffix_tree, topk
+from loamframe.llm import chat, html_text, jaccard_join, line_dedup, packing, quality, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -145,3 +145,27 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["length"]).alias("removed_chars"),
         spans.alias("removed_spans"),
     )
+
+
+JOIN_SQL = """
+WITH RECURSIVE d AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[\\x09-\\x0D ]+') IF x <> ''] AS w FROM documents),
+k AS (SELECT min(doc_id) AS rep, count(*) AS copies, w FROM d GROUP BY w),
+s AS (
+    SELECT DISTINCT rep, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS g
+    FROM (SELECT rep, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM k WHERE len(w) > 0)),
+z AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+c AS (SELECT a.rep AS a, b.rep AS b, count(*) AS n FROM s AS a JOIN s AS b USING (g) WHERE a.rep <> b.rep GROUP BY a.rep, b.rep),
+l AS (
+    SELECT c.a, c.b FROM c JOIN z AS x ON x.rep = c.a JOIN z AS y ON y.rep = c.b WHERE c.n >= 0.8 * (x.n + y.n - c.n) - 1e-6),
+r AS (SELECT rep AS a, rep AS b FROM k UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT a AS rep, min(b) AS class_id FROM r GROUP BY a),
+n AS (SELECT l.a AS rep, sum(k.copies) AS n FROM l JOIN k ON k.rep = l.b GROUP BY l.a)
+SELECT d.doc_id, m.class_id, (coalesce(n.n, 0) + k.copies - 1)::BIGINT AS n_links
+FROM d JOIN k USING (w) JOIN m USING (rep) LEFT JOIN n USING (rep)
+"""
+
+
+@query("op6_ngram_jaccard_join", JOIN_SQL)
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_classes(table(spark, sf_dir, "documents"))
