@@ -1,12 +1,61 @@
-"""A corpus pipeline: stages over documents, each written before the next reads it."""
+"""A corpus pipeline over documents, from quality filter to packed sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+every stage's result and reads it again before the next, so a lost executor
+costs no earlier stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from loamframe.llm import jaccard_join, line_dedup, packing
+from loamframe.llm.common import table
+from loamframe.llm.queries import QUALITY_KEPT, quality_scores, tokenizer_file
+from loamframe.session import scratch_path
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    scored = quality_scores(spark, docs, sf_dir)
+    return scored.where(F.col("score") >= QUALITY_KEPT).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least key of every class of similar documents.
+
+    Rows that repeat that key stay once; documents without a key stay, as
+    nothing tells them apart.
+    """
+    least = jaccard_join.similar_classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    # A repeated key can only repeat within its class; one row of it stays.
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    kept = docs.join(least, "doc_id").withColumn("_first", first).where("_first = 1").select(*docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document has; n_chars follows the text."""
+    cleaned = line_dedup.drop_repeated_lines(docs)
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, each with its place in a sequence."""
+    return packing.best_fit(packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json")))
+
+
+STAGES = [("quality", keep_quality), ("near_copies", drop_near_copies), ("repeats", drop_repeats), ("packing", pack)]
 
-STAGES: list = []
+# The classifier and the packing have no SQL; tests compare with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
