@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, html_text, jaccard_join, line_dedup, packing, quality, suffix_tree, topk
+from loamframe.llm import chat, html_text, jaccard_join, line_dedup, packing, quality, sentencepiece_codec, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -169,3 +169,19 @@ FROM d JOIN k USING (w) JOIN m USING (rep) LEFT JOIN n USING (rep)
 @query("op6_ngram_jaccard_join", JOIN_SQL)
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op5_sentencepiece_codec")
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.ids_checksum(sentencepiece_codec.encode_texts(docs, model))
+    back = sentencepiece_codec.decode_ids(coded, model)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids_crc32",
+        F.length("decoded").cast("long").alias("n_chars"),
+        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+    )
