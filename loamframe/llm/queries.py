@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, html_text, jaccard_join, line_dedup, packing, quality, sentencepiece_codec, suffix_tree, topk
+from loamframe.llm import chat, fingerprint, html_text, jaccard_join, line_dedup, packing, quality, sentencepiece_codec, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -185,3 +185,8 @@ def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
     )
+
+
+@query("op3_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
