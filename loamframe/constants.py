@@ -291,6 +291,7 @@ LAB_LABSAMPNUM_TABLES = [
     "lab_xrd_and_thermal",
 ]
 LAB_LAYER_KEY_TABLES = ["lab_rosetta_key"]
+LAB_PEDON_TABLES = ["lab_combine_nasis_ncss", "lab_pedon"]
 LAB_PREP_TABLES = [
     "lab_physical_properties",
     "lab_chemical_properties",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamframe.functions.rows import join_on_keys
+
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median", accuracy: int = 100_000) -> DataFrame:
     """Exact median of ``value`` per key.
@@ -22,7 +24,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     )
     low, high = F.col("_b")[0], F.col("_b")[1]
     counts = (
-        rows.join(bracket, keys)
+        join_on_keys(rows, bracket, keys)
         .where(F.col(value) <= high)
         .groupBy(*keys, "_n", F.when(F.col(value) >= low, F.col(value)).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))

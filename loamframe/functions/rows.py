@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bytes one task reads from a splittable table by default.
-TASK_BYTES = 128 * 1024 * 1024
-
 
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add an expensive column that is evaluated once per row.
@@ -19,16 +16,8 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own upper estimate of a plan's size, without running it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table over all cores before expensive work per row.
-
-    A table of a few files would be parsed by a few tasks. Tables large enough
-    to give every core its own split are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if plan_bytes(df) < cores * TASK_BYTES else df
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins on equal keys, where null equals null, and keeps the left keys."""
+    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [left[k].eqNullSafe(named[f"_key_{k}"]) for k in keys]
+    return left.join(named, same, how).drop(*[f"_key_{k}" for k in keys])

@@ -74,14 +74,15 @@ def precip_total(df: DataFrame, by: list[str], value: str = "value", ts: str = "
     """Sum of non-null, non-zero values: for increments.
 
     An accumulated gauge (``accumulated=True``) is summed over its rises
-    between days instead, from the last value of each day.
+    between days instead, from the last value of each day (the largest, if
+    several share the last time).
     """
     rows = df.where(F.col(value).isNotNull())
     if not accumulated:
         return rows.groupBy(*by).agg(F.sum(F.when(F.col(value) != 0, F.col(value))).alias("total"), F.count(F.lit(1)).alias("n_observations"))
     # One row per series and day, so the window stays as small as the record is long.
     daily = rows.groupBy(*by, F.to_date(ts).alias("_day")).agg(
-        F.max_by(value, ts).alias("_last"), F.count(F.lit(1)).alias("_n")
+        F.max(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")))["v"].alias("_last"), F.count(F.lit(1)).alias("_n")
     )
     rise = F.col("_last") - F.lag("_last").over(Window.partitionBy(*by).orderBy("_day"))
     return daily.withColumn("_rise", rise).groupBy(*by).agg(

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamframe.functions.rows import join_on_keys
 from loamframe.operators.selection import filter_date_range
 from loamframe.operators.stations import SERIES, aggregate_period
 
@@ -23,8 +24,10 @@ def availability_by_year(readings: DataFrame, variables: Mapping[str, Sequence[s
     (365 per element-year with data) add up over all its elements.
     """
     owner = F.create_map(*[F.lit(x) for v, elements in variables.items() for e in elements for x in (e, v)])
-    rows = readings.withColumn("variable", F.try_element_at(owner, F.col("element_code"))).where("variable IS NOT NULL")
-    rows = rows.where(F.year("ts").between(first_year, last_year))
+    wanted = [e for elements in variables.values() for e in elements]
+    rows = readings.where(F.col("element_code").isin(*wanted)).withColumn("variable", F.try_element_at(owner, F.col("element_code")))
+    # Plain bounds and codes reach the scan.
+    rows = filter_date_range(rows, "ts", f"{first_year}-01-01", f"{last_year}-12-31")
     yearly = (
         _daily(rows, ["station_triplet", "variable", "element_code"])
         .groupBy("station_triplet", "variable", "element_code", F.year("day").alias("year"))
@@ -67,7 +70,7 @@ def availability_probe(readings: DataFrame, start: str, end: str, duration: str
         .agg(F.sort_array(F.collect_list(F.struct("period", F.col("average").alias("value")))).alias("sample_values"))
     )
     counts = periods.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("data_points"))
-    return counts.join(first, SERIES).withColumn("has_data", F.col("data_points") > 0)
+    return join_on_keys(counts, first, SERIES).withColumn("has_data", F.col("data_points") > 0)
 
 
 def series_coverage(readings: DataFrame, per_day: int = 1) -> DataFrame:

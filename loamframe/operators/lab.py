@@ -11,6 +11,7 @@ from loamframe.constants import (
     LAB_FRACTION_TABLES,
     LAB_LABSAMPNUM_TABLES,
     LAB_LAYER_KEY_TABLES,
+    LAB_PEDON_TABLES,
     LAB_PREP_TABLES,
     LAYER_TYPES,
     PREP_CODES,
@@ -24,7 +25,9 @@ def _join_key(table: str) -> str:
         return "layer_key"
     if table in LAB_LABSAMPNUM_TABLES:
         return "labsampnum"
-    return "pedon_key"
+    if table in LAB_PEDON_TABLES:
+        return "pedon_key"
+    raise ValueError(f"unknown property table: {table!r}")
 
 
 def lab_layers(layers: DataFrame, properties: Mapping[str, DataFrame]) -> DataFrame:

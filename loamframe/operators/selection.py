@@ -75,9 +75,6 @@ def where_all(df: DataFrame, *conditions: Column | str) -> DataFrame:
     return reduce(lambda out, c: out.where(c), conditions, df)
 
 
-SHORT_LIST = 1000  # longer key lists become a table
-
-
 def _key_table(df: DataFrame, column: str, keys: DataFrame | list) -> DataFrame:
     """Distinct keys as a one-column DataFrame named ``column``."""
     kind = df.schema[column].dataType
@@ -90,19 +87,15 @@ def _key_table(df: DataFrame, column: str, keys: DataFrame | list) -> DataFrame:
 def keep_keys(df: DataFrame, column: str, keys: Keys) -> DataFrame:
     """Rows whose ``column`` is among the keys.
 
-    A short list is a plain predicate that reaches the scan; a long list or a
-    table is a semi-join, broadcast only when its measured size is small.
+    Keys become a table and a semi-join, which Spark broadcasts only when its
+    measured size is small.
     """
     if isinstance(keys, (int, str)):
         keys = [keys]
-    if isinstance(keys, DataFrame):
-        return df.join(_key_table(df, column, keys), column, "left_semi")
-    keys = list(keys)
-    if not keys:
-        return df.where(F.lit(False))
-    if len(keys) <= SHORT_LIST:
-        kind = df.schema[column].dataType
-        return df.where(F.col(column).isin(*[F.lit(str(k)).try_cast(kind) for k in keys]))
+    if not isinstance(keys, DataFrame):
+        keys = list(keys)
+        if not keys:
+            return df.where(F.lit(False))
     return df.join(_key_table(df, column, keys), column, "left_semi")
 
 

@@ -14,9 +14,9 @@ from loamframe.constants import (
     SECOND_NETWORK_VARIABLES,
 )
 from loamframe.functions import readings as r
-from loamframe.functions.nesting import MAX_ITEMS, nest_rows
 from loamframe.functions.periods import period_end, period_start
 from loamframe.functions.quantiles import exact_median
+from loamframe.functions.rows import join_on_keys
 from loamframe.operators.aggregates import soil_summary, water_table_summary
 from loamframe.operators.selection import filter_date_range
 from loamframe.operators.spatial import nearest_stations
@@ -69,30 +69,31 @@ def sensor_depths(sensors: DataFrame, property_name: str, ordered: bool = False)
     return rows.orderBy("station_triplet", "height_depth_inches", "ordinal") if ordered else rows
 
 
-def sensor_inventory(sensors: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Per station and property the sorted list of sensors."""
+def sensor_inventory(sensors: DataFrame) -> DataFrame:
+    """The sensors of every station and property, one row each."""
     columns = {
         "height_depth_inches": F.col("height_depth"), "ordinal": F.coalesce("ordinal", F.lit(1)), "element_code": F.col("element_code"),
         "begin_date": F.col("begin_date"), "end_date": F.col("end_date"), "data_precision": F.col("data_precision"),
         "stored_unit_code": F.col("stored_unit_code"), "original_unit_code": F.col("original_unit_code"),
         "derived_data": F.coalesce("derived_data", F.lit(False)),
     }
-    item = F.struct(*[c.alias(n) for n, c in columns.items()])
-    named = sensors.withColumn("property_name", element_property(F.col("element_code")))
-    return nest_rows(named, ["station_triplet", "property_name"], item, "sensors", max_items)
+    return sensors.select(
+        "station_triplet", element_property(F.col("element_code")).alias("property_name"), *[c.alias(n) for n, c in columns.items()]
+    )
 
 
-def available_properties(sensors: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Measured properties per station with code, unit and description."""
+def available_properties(sensors: DataFrame) -> DataFrame:
+    """Measured properties per station with code, unit, description and number of sensors."""
     name = F.col("property_name")
     unknown = name.startswith("unknown_")
     code = F.coalesce(F.try_element_at(_literal_map([(n, c) for n, c, _ in PROPERTIES]), name), F.replace(name, F.lit("unknown_"), F.lit("")))
-    return sensor_inventory(sensors, max_items).select(
-        "station_triplet", "part", "property_name",
+    found = sensor_inventory(sensors).groupBy("station_triplet", "property_name").agg(F.count(F.lit(1)).alias("n_sensors"))
+    return found.select(
+        "station_triplet", "property_name",
         code.alias("element_code"),
         F.when(unknown, "").otherwise(property_unit(name)).alias("unit"),
         F.when(unknown, F.concat(F.lit("Unknown element "), code)).otherwise(F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))).alias("description"),
-        "sensors",
+        "n_sensors",
     )
 
 
@@ -120,7 +121,9 @@ def station_property_readings(
     """Readings of one property from one sensor per station.
 
     The sensor is the one at ``depth``, or the one with the lowest height/depth
-    value (the deepest); stations without listed sensors use the plain code.
+    value (the deepest). Where none is listed, and for properties without a
+    depth, it is the lowest ordinal that has readings, then the lowest depth,
+    under the plain code.
     """
     code = ELEMENT_OF[property_name]
     element = r.parse_element(F.col("element_code"))
@@ -131,7 +134,7 @@ def station_property_readings(
         .where(F.col("_e.base_code") == code)
     )
     if property_name not in HEIGHT_DEPTH_PROPERTIES:
-        chosen = rows.withColumn("element_string", F.lit(code))
+        chosen = _one_sensor(rows).withColumn("element_string", F.lit(code))
     elif depth is not None:
         chosen = rows.where((F.col("_e.depth_inches") == depth) & (F.col("_e.ordinal") == 1)).withColumn(
             "element_string", F.lit(f"{code}:{depth}:1")
@@ -145,16 +148,21 @@ def station_property_readings(
             .where("_rank = 1")
             .drop("_rank")
         )
-        same = F.col("height_depth_inches").isNull() | (
-            (F.col("_e.depth_inches") == F.col("height_depth_inches")) & (F.col("_e.ordinal") == F.col("_ordinal"))
-        )
-        chosen = (
-            rows.join(first, "station_triplet", "left").where(same).drop("height_depth_inches", "_ordinal")
-            .withColumn("element_string", F.coalesce("element_string", F.lit(code)))
-        )
+        same = (F.col("_e.depth_inches") == F.col("height_depth_inches")) & (F.col("_e.ordinal") == F.col("_ordinal"))
+        listed = rows.join(first, "station_triplet").where(same).drop("height_depth_inches", "_ordinal")
+        unlisted = _one_sensor(rows.join(first, "station_triplet", "left_anti")).withColumn("element_string", F.lit(code))
+        chosen = listed.unionByName(unlisted)
     return chosen.select("station_triplet", "element_string", "ts", "value", property_unit(F.lit(property_name)).alias("unit"))
 
 
+def _one_sensor(rows: DataFrame) -> DataFrame:
+    """Readings of one sensor per station: lowest ordinal, then lowest depth."""
+    sensor = F.struct(F.coalesce("_e.ordinal", F.lit(1)).alias("ordinal"), F.col("_e.depth_inches").alias("depth"))
+    marked = rows.withColumn("_sensor", sensor)
+    first = marked.groupBy("station_triplet").agg(F.min("_sensor").alias("_first"))
+    return marked.join(first, "station_triplet").where(F.col("_sensor").eqNullSafe(F.col("_first"))).drop("_sensor", "_first")
+
+
 def moisture_profile(sites, stations, sensors, readings, start, end, max_km=50.0, network="SCAN") -> DataFrame:
     """Soil moisture of the nearest station of one network."""
     return property_near(sites, stations, sensors, readings, "soil_moisture", start, end, None, max_km, [network])
@@ -220,7 +228,7 @@ def aggregate_period(
         F.count(F.lit(1)).alias("n"), *([F.avg("value").alias("average")] if tendency in ("AVERAGE", "ALL") else [])
     )
     if tendency in ("MEDIAN", "ALL"):
-        out = out.join(exact_median(rows, by, "value"), by)
+        out = join_on_keys(out, exact_median(rows, by, "value"), by)
     if period_ref == "END":
         out = out.withColumn("period", period_end(F.col("period"), duration))
     return out

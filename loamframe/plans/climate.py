@@ -79,15 +79,10 @@ def _(t):
 
 @query(
     "D11_sensor_inventory", "sensors",
-    f"""SELECT station_triplet, property_name, count(*) AS n_sensors,
-    string_agg(concat(element_code, ':', coalesce(CAST(height_depth AS VARCHAR), ''), ':', ordinal), ',' ORDER BY height_depth NULLS FIRST, ordinal) AS sensor_list
-    FROM (SELECT *, {_PROPERTY} AS property_name FROM sensors) GROUP BY station_triplet, property_name""",
+    f"""SELECT station_triplet, {_PROPERTY} AS property_name, element_code, height_depth AS height_depth_inches, coalesce(ordinal, 1) AS ordinal, data_precision FROM sensors""",
 )
 def _(t):
-    label = lambda s: F.concat(s["element_code"], F.lit(":"), F.coalesce(s["height_depth_inches"].cast("string"), F.lit("")), F.lit(":"), s["ordinal"])
-    return stations.sensor_inventory(t.sensors).select(
-        "station_triplet", "property_name", F.size("sensors").cast("long").alias("n_sensors"), F.array_join(F.transform("sensors", label), ",").alias("sensor_list")
-    )
+    return stations.sensor_inventory(t.sensors).select("station_triplet", "property_name", "element_code", "height_depth_inches", "ordinal", "data_precision")
 
 
 @query(
@@ -106,8 +101,7 @@ def _(t):
       ELSE concat('Unknown element ', element_code) END AS description, count(*) OVER (PARTITION BY station_triplet, element_code) AS n_sensors FROM sensors""",
 )
 def _(t):
-    rows = stations.available_properties(t.sensors)
-    return rows.withColumn("n_sensors", F.size("sensors").cast("long")).drop("part", "sensors")
+    return stations.available_properties(t.sensors)
 
 
 # --- D: station summaries ---------------------------------------------------------------
@@ -357,7 +351,7 @@ def _(t):
     'SMS' AS base_code, -inches AS parsed_depth, 1 AS parsed_ordinal FROM s""",
 )
 def _(t):
-    rows = t.dealt("chorizon").select(
+    rows = t.chorizon.select(
         "chkey", F.lit("SMS").alias("element_code"), F.when(F.col("awc_r") > 0.05, F.col("hzdepb_r") + 0.37).alias("depth_cm"), F.lit(1).alias("ordinal")
     )
     return stations.normalize_elements(rows).select(

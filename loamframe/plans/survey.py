@@ -358,19 +358,16 @@ def _(t):
     "F1_nest_mapunits", "mapunit component chorizon",
     """WITH h AS (SELECT cokey, count(*) AS n, sum(1 + CASE WHEN claytotal_r IS NULL THEN 0 ELSE 1 END + CASE WHEN om_r IS NULL THEN 0 ELSE 1 END + 1) AS p,
       max(hzdepb_r) AS deepest FROM chorizon GROUP BY cokey)
-    SELECT m.mukey, m.muname, CAST(0 AS BIGINT) AS part, count(c.cokey) AS n_components, CAST(coalesce(sum(h.n), 0) AS BIGINT) AS n_horizons,
-    CAST(coalesce(sum(h.p), 0) AS BIGINT) AS n_properties,
-    coalesce(string_agg(concat(c.cokey, ':', coalesce(h.n, 0)), ',' ORDER BY c.cokey), '') AS outline
-    FROM mapunit m LEFT JOIN component c ON m.mukey = c.mukey LEFT JOIN h ON c.cokey = h.cokey GROUP BY m.mukey, m.muname""",
+    SELECT m.mukey, m.muname, c.cokey AS component_key, c.compname AS component_name, CAST(coalesce(h.n, 0) AS BIGINT) AS n_horizons,
+    CAST(coalesce(h.p, 0) AS BIGINT) AS n_properties, h.deepest
+    FROM mapunit m LEFT JOIN component c ON m.mukey = c.mukey LEFT JOIN h ON c.cokey = h.cokey""",
 )
 def _(t):
-    nested = profiles.nest_mapunits(t.mapunit.select("mukey", "muname"), t.component, t.dealt("chorizon"))
-    total = lambda per_item: F.aggregate("components", F.lit(0).cast("long"), lambda a, c: a + per_item(c))
-    return nested.select(
-        "mukey", "muname", F.col("part").cast("long").alias("part"), F.size("components").cast("long").alias("n_components"),
-        total(lambda c: F.size(c["horizons"])).alias("n_horizons"),
-        total(lambda c: F.aggregate(c["horizons"], F.lit(0).cast("long"), lambda a, h: a + F.size(h["properties"]))).alias("n_properties"),
-        F.array_join(F.transform("components", lambda c: F.concat_ws(":", c["component_key"], F.size(c["horizons"]))), ",").alias("outline"),
+    nested = profiles.nest_mapunits(t.mapunit.select("mukey", "muname"), t.component, t.chorizon)
+    return nested.groupBy("mukey", "muname", "component_key", "component_name").agg(
+        F.count("horizon_key").alias("n_horizons"),
+        F.coalesce(F.sum(F.size("properties")), F.lit(0)).alias("n_properties"),
+        F.max("bottom_depth").alias("deepest"),
     )
 
 
@@ -382,21 +379,18 @@ def _(t):
     UNION ALL SELECT chkey, 'ph', NULL, ph1to1h2o_r, NULL, 'pH' FROM chorizon WHERE ph1to1h2o_r IS NOT NULL""",
 )
 def _(t):
-    return profiles.horizon_properties_long(t.dealt("chorizon"), ["chkey"])
+    return profiles.horizon_properties_long(t.chorizon, ["chkey"])
 
 
 @query(
     "F3_nest_pedons", "lab_sites lab_layer",
-    """SELECT s.pedon_key, s.upedonid, count(l.layer_key) AS n_layers, max(l.hzn_bot) AS deepest,
-    coalesce(string_agg(l.layer_key, ',' ORDER BY l.hzn_top, l.hzn_bot, l.layer_key), '') AS layer_keys
-    FROM lab_sites s LEFT JOIN lab_layer l ON s.pedon_key = l.pedon_key GROUP BY s.pedon_key, s.upedonid""",
+    """SELECT s.pedon_key, s.upedonid, l.layer_key, l.hzn_top AS top_depth, l.hzn_bot AS bottom_depth, CAST(l.total_carbon_ncs AS DOUBLE) AS total_carbon
+    FROM lab_sites s LEFT JOIN lab_layer l ON s.pedon_key = l.pedon_key""",
 )
 def _(t):
     nested = profiles.nest_pedons(t.lab_sites, t.lab_layer, extra=["total_carbon_ncs"])
     return nested.select(
-        "pedon_key", "upedonid", F.size("horizons").cast("long").alias("n_layers"),
-        F.array_max(F.transform("horizons", lambda h: h["bottom_depth"])).alias("deepest"),
-        F.array_join(F.transform("horizons", lambda h: h["layer_key"]), ",").alias("layer_keys"),
+        "pedon_key", "upedonid", "layer_key", "top_depth", "bottom_depth", F.get("extra_fields", F.lit(0))["value"].cast("double").alias("total_carbon")
     )
 
 

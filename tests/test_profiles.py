@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loamframe.functions.nesting import nest_rows
 from loamframe.operators import lab, profiles, quality, selection
 from loamframe.operators.aggregates import depth_statistics
 
@@ -56,34 +55,26 @@ def test_depth_statistics_counts_rows_with_both(spark):
     assert (row["total_horizons"], row["horizons_with_valid_depths"], row["top_depth_min"], row["bottom_depth_max"]) == (3, 1, 0.0, 30.0)
 
 
-def nested_keys(df):
-    out = {}
-    for row in df.collect():
-        for c in row["components"]:
-            out.setdefault((row["mukey"], c["component_key"]), []).extend(h["horizon_key"] for h in c["horizons"])
-        if not row["components"]:
-            out[(row["mukey"], None)] = []
-    return {k: sorted(v) for k, v in out.items()}
-
-
-@pytest.mark.parametrize("max_items", [1, 2, 50_000])
-def test_nested_map_units(spark, horizon, component, max_items):
+def test_nested_map_units(spark, horizon, component):
     units = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "mukey long, muname string")
     stray = horizon.withColumn("hzname", F.lit("A")).unionByName(spark.createDataFrame([(9, 999, 0.0, 1.0, 1.0, "Z")], "chkey long, cokey long, hzdept_r double, hzdepb_r double, claytotal_r double, hzname string"))
-    nested = profiles.nest_mapunits(units, component, stray, max_items)
-    assert nested_keys(nested) == {(1, 101): [1, 2], (1, 102): [3, 4], (2, 103): [], (2, 104): [], (3, None): []}
-    if max_items > 2:
-        assert nested.count() == 3
+    rows = profiles.nest_mapunits(units, component, stray, ["compname"], ["claytotal_r"]).collect()
+    found = sorted((r["mukey"], r["component_key"] or 0, r["horizon_key"] or 0) for r in rows)
+    assert found == [(1, 101, 1), (1, 101, 2), (1, 102, 3), (1, 102, 4), (2, 103, 0), (2, 104, 0), (3, 0, 0)]
+    assert {r["horizon_claytotal_r"] for r in rows if r["component_key"] == 101} == {25.0, 30.0}
+    assert profiles.nest_mapunits(units, component).count() == 5 and profiles.nest_mapunits(units).count() == 3
 
 
-def test_hot_key_is_split_and_nothing_is_lost(spark):
-    rows = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10).alias("k"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("v"))
-    nested = nest_rows(rows, ["k"], F.struct("v"), "items", max_items=500)
-    sizes = nested.select("k", F.size("items").alias("n")).collect()
-    hot = [r["n"] for r in sizes if r["k"] == 1]
-    assert len(hot) > 3 and max(hot) < 2500 and sum(hot) == rows.where("k = 1").count()
-    back = nested.select("k", F.explode("items").alias("i")).select("k", "i.v")
-    assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
+def test_hot_component_keeps_its_grain(spark, component):
+    n = 100_000
+    layers = spark.range(n).select(
+        F.col("id").alias("chkey"), F.when(F.col("id") % 3 == 0, 102).otherwise(101).alias("cokey"), F.lit("A").alias("hzname"),
+        F.lit(0.0).alias("hzdept_r"), F.lit(1.0).alias("hzdepb_r"), F.lit(5.0).alias("claytotal_r"),
+    )
+    units = spark.createDataFrame([(1, "A")], "mukey long, muname string")
+    nested = profiles.nest_mapunits(units, component, layers).groupBy("component_key").count().collect()
+    hot = (n + 2) // 3
+    assert {r["component_key"]: r["count"] for r in nested} == {101: n - hot, 102: hot}
 
 
 def test_properties_only_where_known(spark, horizon):
@@ -153,5 +144,11 @@ def test_pedons(spark, laboratory):
     assert sorted((r["wanted"], r["pedon_key"]) for r in lab.pedon_by_id(sites, ids).collect()) == [("1", "1"), ("40A3306", "2")]
     assert lab.sites_in_bbox(sites, (-100, 40, -90, 50)).count() == 1
     assert set(lab.pedon_site_and_horizons(sites, layers, tables, (-101, 39, -99, 41), "combined")) == {"site", "horizons"}
-    nested = {r["pedon_key"]: len(r["horizons"]) for r in profiles.nest_pedons(sites, layers, ["labsampnum"]).collect()}
+    nested = {r["pedon_key"]: r["n"] for r in profiles.nest_pedons(sites, layers, ["labsampnum"]).groupBy("pedon_key").agg(F.count("layer_key").alias("n")).collect()}
     assert nested == {"1": 2, "2": 1, "3": 0}
+
+
+def test_unknown_property_table(spark):
+    layers = spark.createDataFrame([("1", "a")], "pedon_key string, labsampnum string")
+    with pytest.raises(ValueError, match="lab_phisical"):
+        lab.lab_layers(layers, {"lab_phisical": layers})

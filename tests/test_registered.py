@@ -4,9 +4,9 @@ import pytest
 from compare import difference
 from conftest import SF
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from loamframe.plans import CHECKS, QUERIES
 
-QUERIES, CHECKS = queries(), oracle_sql()
 STREAMS = {"S1_stream_ingest", "S2_stream_period", "S3_stream_upsert"}
 EXACT_SHAPES = {"E4_spatial_filter", "E5_spatial_query", "E5_spatial_outlines", "E6_survey_areas_intersecting", "E13_watershed_units"}
 

@@ -156,3 +156,20 @@ def test_survey_xml(spark):
     assert ids(survey_xml.filter_bbox_overlap(found, -119.5, 38, -110, 40)) == []
     stats = survey_xml.metadata_statistics(found, "2024-01-01").first()
     assert (stats["count"], stats["avg_scale"], stats["n_publishers"], stats["recent_surveys"], stats["has_contact"], stats["avg_keywords"]) == (3, 24000, 1, 2, 0, 2.7)
+
+
+def test_null_keys_keep_their_groups(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('s', 'A', TIMESTAMP'2024-01-01', 1.0D), ('s', NULL, TIMESTAMP'2024-01-01', 3.0D) t(station_triplet, element_code, ts, value)")
+    for tendency in ("AVERAGE", "MEDIAN", "ALL"):
+        assert stations.aggregate_period(rows, "MONTHLY", tendency=tendency).count() == 2
+    assert coverage.availability_probe(rows, "2023-12-01", "2024-02-01").count() == 2
+
+
+def test_one_sensor_where_none_is_listed(spark):
+    rows = spark.sql(
+        "SELECT 's' AS station_triplet, code AS element_code, TIMESTAMP'2024-01-01' AS ts, v AS value FROM VALUES "
+        "('SMS:-2:1', 1.0D), ('SMS:-40:1', 2.0D), ('SMS:-80:2', 3.0D), ('PREC:0:1', 4.0D), ('PREC:0:2', 5.0D) t(code, v)"
+    )
+    none = spark.createDataFrame([], "station_triplet string, element_code string, height_depth int, ordinal int")
+    find = lambda name: [r["value"] for r in stations.station_property_readings(none, rows, name, "2023-12-01", "2024-02-01").collect()]
+    assert find("soil_moisture") == [2.0] and find("precipitation") == [4.0]
