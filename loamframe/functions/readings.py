@@ -40,10 +40,6 @@ def cm_to_inches(depth: Column) -> Column:
     return depth / 2.54
 
 
-def inches_to_cm(depth: Column) -> Column:
-    return depth * 2.54
-
-
 def element_string(code: Column, depth_cm: Column, ordinal: Column) -> Column:
     """BASE:depth:ordinal with whole inches below ground; blank without depth."""
     inches = F.abs(F.bround(F.abs(cm_to_inches(depth_cm)))).cast("int")

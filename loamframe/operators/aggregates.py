@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamframe.constants import SCHEMAS
 from loamframe.functions.conversion import as_number
 
 # Depths are divided by this to report feet.
@@ -105,8 +104,3 @@ def stations_by_group(df: DataFrame, column: str, firsts: list[str] = [], order:
     return df.groupBy(column).agg(
         F.count(F.lit(1)).alias("station_count"), *[F.min_by(c, order).alias(c) for c in firsts]
     )
-
-
-def required_fields(table: str) -> list[str]:
-    """Columns of a registered schema that must be filled."""
-    return [c for c, (_, _, required) in SCHEMAS[table].items() if required]

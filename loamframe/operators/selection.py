@@ -31,11 +31,6 @@ def select_set(df: DataFrame, name: str, extra: Sequence[str] = ()) -> DataFrame
     return df.select(*COLUMN_SETS[name], *extra)
 
 
-def extend_schema(table: str, column: str, kind: str, field: str | None = None, required: bool = False) -> None:
-    """Add a column to a registered table schema (or start a new table)."""
-    SCHEMAS.setdefault(table, {})[column] = (kind, field, required)
-
-
 def _processed(column: Column, kind: str) -> Column:
     text = column.cast("string")
     value = {

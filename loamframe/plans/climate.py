@@ -489,8 +489,8 @@ def _stream(t, name: str, source: str = "events"):
 def _(t):
     root = scratch_path(t.spark, "ingest")
     streams.start_ingest(_stream(t, "series_feed"), "body", ["feed_id"], f"{root}/rows", f"{root}/rejects", f"{root}/state").awaitTermination()
-    rows = t.spark.read.parquet(f"{root}/rows").groupBy("element_code").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_values"))
-    bad = t.spark.read.parquet(f"{root}/rejects").agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("element_code"), "n", F.lit(0).cast("long").alias("n_values"))
+    rows = streams.read_ingested(t.spark, f"{root}/rows").groupBy("element_code").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_values"))
+    bad = streams.read_ingested(t.spark, f"{root}/rejects").agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("element_code"), "n", F.lit(0).cast("long").alias("n_values"))
     return rows.withColumn("sink", F.lit("rows")).unionByName(bad.withColumn("sink", F.lit("rejects")))
 
 

@@ -22,10 +22,6 @@ def _concat(*parts: str) -> str:
     return "concat(" + ", ".join(parts) + ")"
 
 
-def _quoted(text: str) -> str:
-    return "'" + text + "'"
-
-
 def _triplet(key: str) -> str:
     network = f"CASE {key} % 4 WHEN 0 THEN 'SCAN' WHEN 1 THEN 'SNTL' WHEN 2 THEN 'SNOW' ELSE 'COOP' END"
     return _concat(_text(key), "':S'", _text(f"{key} % 25"), "':'", network)

@@ -17,22 +17,43 @@ def _stream(spark: SparkSession, path: str, schema, fmt: str, files_per_trigger:
     return reader.load(path)
 
 
-def start_ingest(feed: DataFrame, body: str, keep: list[str], out: str, rejects: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def start_ingest(
+    feed: DataFrame, body: str, keep: list[str], out: str, rejects: str, checkpoint: str, once: bool = True, stations: DataFrame | None = None
+) -> StreamingQuery:
     """Landed series batches -> one row per value, bad batches apart.
 
-    Each micro-batch overwrites its own folder, so a repeated batch (after a
-    lost executor or driver) leaves no duplicates.
+    Each micro-batch overwrites its own folder below the run of its checkpoint,
+    so a repeated batch (after a lost executor or driver) leaves no duplicates.
+    A lost checkpoint starts a new run, whose batches may be cut elsewhere;
+    :func:`read_ingested` reads the latest run only. With ``stations`` the
+    time-zone offset is applied to hourly local times.
     """
 
     def store(batch: DataFrame, number: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         parsed = parse_series(batch, body).select(*keep, "_feed").persist()
-        ingest_series_json(parsed, body).write.mode("overwrite").parquet(f"{out}/batch={number}")
-        rejected_series(parsed, body, keep).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        ingest_series_json(parsed, body, stations).write.mode("overwrite").parquet(f"{out}/run={run}/batch={number}")
+        rejected_series(parsed, body, keep).write.mode("overwrite").parquet(f"{rejects}/run={run}/batch={number}")
         parsed.unpersist()
 
     return _start(feed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), once)
 
 
+def stream_ingest(
+    spark: SparkSession, path: str, schema, body: str, keep: list[str], out: str, rejects: str, checkpoint: str,
+    fmt: str = "json", files_per_trigger: int | None = None, once: bool = True, stations: DataFrame | None = None,
+) -> StreamingQuery:
+    """:func:`start_ingest` over the files landing in a folder."""
+    return start_ingest(_stream(spark, path, schema, fmt, files_per_trigger), body, keep, out, rejects, checkpoint, once, stations)
+
+
+def read_ingested(spark: SparkSession, out: str) -> DataFrame:
+    """What the latest run of an ingestion has written."""
+    rows = spark.read.option("basePath", out).parquet(out)
+    latest = rows.groupBy("run").agg(F.max("_metadata.file_modification_time").alias("_t")).orderBy(F.desc("_t"), "run").first()
+    return (rows.where(F.col("run") == latest["run"]) if latest else rows).drop("run", "batch")
+
+
 def _start(writer, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 

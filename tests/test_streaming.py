@@ -73,3 +73,26 @@ def test_batch_form_has_the_same_columns(spark):
     assert (found["period"], found["n"], found["average"]) == (D(2024, 1, 1), 1, 1.0)
     with pytest.raises(KeyError):
         streams.period_means(df, "WATER_YEAR")
+
+
+FEED = "feed_id long, body string"
+
+
+def body(day, hour="05:00"):
+    value = '{"date": "2024-01-%02d %s", "value": 1.0}' % (day, hour)
+    return '[{"stationTriplet": "a", "data": [{"stationElement": {"elementCode": "TOBS", "heightDepth": 0, "ordinal": 1}, "values": [%s]}]}]' % value
+
+
+def test_ingest_applies_the_station_offset_and_outlives_its_checkpoint(spark):
+    root = scratch_path(spark, "ingest-test")
+    for n in (1, 2, 3):
+        spark.createDataFrame([(n, body(n))], FEED).coalesce(1).write.mode("append").json(f"{root}/in")
+    places = spark.createDataFrame([("a", -8)], "station_triplet string, data_time_zone int")
+    run = lambda state, files: streams.stream_ingest(
+        spark, f"{root}/in", FEED, "body", ["feed_id"], f"{root}/rows", f"{root}/bad", f"{root}/{state}", "json", files, True, places
+    ).awaitTermination()
+    run("state", 1)
+    once = streams.read_ingested(spark, f"{root}/rows").collect()
+    assert sorted(r["ts_utc"] for r in once) == [D(2024, 1, d, 13) for d in (1, 2, 3)]
+    run("state2", None)  # the checkpoint is lost and all files come in one batch
+    assert streams.read_ingested(spark, f"{root}/rows").count() == 3
