@@ -23,7 +23,7 @@ SAMPLE_ROWS = 6_000  # labelled rows the classifier is fitted on at most
 SAMPLE_CHARS = 40_000_000  # and their characters in all
 EPOCHS = 4
 RATE = 0.4
-CHUNK = 2_000_000  # bytes hashed at a time
+CHUNK = 1_000_000  # bytes hashed at a time
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -152,11 +152,12 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in documents.columns if c != name]
     schema = documents.select(*rest).schema.add(name, "double")
+    at = rest.index(text)  # the text travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pulls, bias = shared.value
         for b in batches:
-            pieces = [(n, p) for n, t in enumerate(b.column(len(rest)).to_pylist()) for p in _pieces(t)]
+            pieces = [(n, p) for n, t in enumerate(b.column(at).cast(pa.binary())) if t.is_valid for p in _pieces(t.as_py())]
             sums, counts = np.zeros(b.num_rows), np.zeros(b.num_rows)
             first = 0
             while first < len(pieces):
@@ -164,12 +165,12 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
                 while last < len(pieces) and (size == 0 or size + len(pieces[last][1]) <= CHUNK):
                     size += len(pieces[last][1])
                     last += 1
-                buckets, at = features([p for _, p in pieces[first:last]])
-                row = np.array([n for n, _ in pieces[first:last]])[at]
+                buckets, piece = features([p for _, p in pieces[first:last]])
+                row = np.array([n for n, _ in pieces[first:last]])[piece]
                 sums += np.bincount(row, pulls[buckets], b.num_rows)
                 counts += np.bincount(row, minlength=b.num_rows)
                 first = last
             value = 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + bias)))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(value)], names=[*rest, name])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(value)], names=[*rest, name])
 
-    return documents.select(*rest, F.encode(whole_text(text), "utf-8").alias("_bytes")).mapInArrow(run, schema)
+    return documents.select(*rest).mapInArrow(run, schema)
