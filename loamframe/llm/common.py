@@ -16,6 +16,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def tasks(spark: SparkSession, factor: int = 1) -> int:
     """Number of shuffle partitions the session asks for, times ``factor``."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * factor)

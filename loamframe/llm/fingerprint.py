@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import tasks, whole_text
+from loamframe.llm.common import fresh, tasks, whole_text
 from loamframe.llm.shingles import MinHash, WordHashes, normal_words, shingle_hashes
 from loamframe.session import scratch_path
 
@@ -51,7 +51,7 @@ def fingerprints(documents: DataFrame, text: str = "text", functions: int = FUNC
             signed = _sign(minima, _sets(b.column(len(rest)).to_pylist(), hashes))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array([_shown(s) for s in signed], pa.string())], names=[*rest, name])
 
-    return documents.select(*rest, whole_text(text).alias("_text")).mapInArrow(run, schema)
+    return documents.select(*rest, whole_text(text).alias(fresh(documents, "_text"))).mapInArrow(run, schema)
 
 
 def similar_to_first(documents: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text: str = "text", functions: int = FUNCTIONS, rows: int = BAND_ROWS) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import whole_text
+from loamframe.llm.common import fresh, whole_text
 from loamframe.session import scratch_path
 
 MIN_WORDS = 10
@@ -90,15 +90,17 @@ def drop_repeated_lines(documents: DataFrame, doc: str = "doc_id", text: str = "
         .agg(F.sort_array(F.collect_set(F.struct("line", "start", "length", "kept_doc", "kept_start"))).alias("_gone"))
     )
     rest = [c for c in documents.columns if c != "removed"]
-    marked = documents.select(*rest).withColumn("_mark", F.xxhash64(whole_text(text)))
-    joined = marked.join(gone, marked[doc].cast("long").eqNullSafe(gone["_doc"]) & (marked["_mark"] == gone["_hash"]), "left")
+    key, mark, lines = (fresh(documents, n) for n in ("_gone_doc", "_gone_hash", "_gone_lines"))
+    gone = gone.withColumnsRenamed({"_doc": key, "_hash": mark, "_gone": lines})
+    same = documents[doc].cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(whole_text(text)) == F.col(mark))
+    joined = documents.select(*rest).join(gone, same, "left")
     kept = F.array_join(
-        F.filter(F.split(F.col(text), "\n", -1), lambda line, n: ~F.array_contains(F.col("_gone.line"), n)), "\n"
+        F.filter(F.split(F.col(text), "\n", -1), lambda line, n: ~F.array_contains(F.col(lines)["line"], n)), "\n"
     )
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in rest],
+        *[F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in rest],
         F.coalesce(
-            F.transform("_gone", lambda g: F.struct(g["start"].alias("start"), g["length"].alias("length"), g["kept_doc"].alias("kept_doc"), g["kept_start"].alias("kept_start"))),
+            F.transform(lines, lambda g: F.struct(g["start"].alias("start"), g["length"].alias("length"), g["kept_doc"].alias("kept_doc"), g["kept_start"].alias("kept_start"))),
             F.array().cast("array<struct<start:bigint,length:bigint,kept_doc:bigint,kept_start:bigint>>"),
         ).alias("removed"),
     )

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import whole_text
+from loamframe.llm.common import fresh, whole_text
 from loamframe.llm.wordbpe import WordBpe
 from loamframe.session import scratch_path
 
@@ -114,27 +114,30 @@ def best_fit(
     unfilled, so the loss does not grow with the corpus. Without
     ``max_documents`` and ``max_cost`` these two never bind before the tokens
     do. A length of 1 to ``capacity`` is required (an error otherwise, as is a
-    cost above ``max_cost`` of a single piece). An empty table gives no rows.
+    cost above ``max_cost`` of a single piece). Columns of those two names are
+    replaced, all others kept. An empty table gives no rows.
     """
     spark = pieces.sparkSession
     max_documents = max_documents or capacity
     max_cost = max_cost or capacity * capacity
+    pieces = pieces.drop("sequence_id", "offset")
+    row, shard = fresh(pieces, "_row"), fresh(pieces, "_shard")
     path = scratch_path(spark, "pieces")
-    pieces.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    pieces.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
     shards = max(1, -(-rows.count() // shard_rows))
-    schema = rows.drop("_row").schema.add("sequence_id", "long").add("offset", "long")
+    schema = rows.drop(row).schema.add("sequence_id", "long").add("offset", "long")
 
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_row", ignore_index=True)  # the same order in every attempt
+        group = group.sort_values(row, ignore_index=True)  # the same order in every attempt
         lengths = group["length"].to_numpy(np.int64)
         if len(lengths) and (lengths.min() < 1 or lengths.max() > capacity or lengths.max() ** 2 > max_cost):
             raise ValueError("a piece does not fit an empty sequence")
         bins, offsets = fit_bins(lengths, capacity, max_documents, max_cost, weights, rule)
-        return group.drop(columns=["_row", "_shard"]).assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
+        return group.drop(columns=[row, shard]).assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
 
     return (
-        rows.withColumn("_shard", F.pmod(F.xxhash64("_row"), F.lit(shards)))
-        .groupBy("_shard")
+        rows.withColumn(shard, F.pmod(F.xxhash64(row), F.lit(shards)))
+        .groupBy(shard)
         .applyInPandas(pack, schema)
     )

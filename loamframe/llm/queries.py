@@ -103,18 +103,18 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_KEPT = 0.3
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with ``held_out`` and ``score``, learned from the labelled rows that aren't held out."""
-    fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold != 0)
-    return quality.score(docs.withColumn("held_out", F.coalesce(fold == 0, F.lit(False))), model)
+def quality_model(spark: SparkSession, sf_dir: str):
+    """The classifier, learned from the labelled rows that aren't held out."""
+    learn_from = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+    return quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn_from)
 
 
 @query("op8_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = quality_scores(spark, docs, sf_dir)
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    scored = quality.score(docs, quality_model(spark, sf_dir))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
 
 
 LINES_SQL = """

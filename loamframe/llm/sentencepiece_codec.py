@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from loamframe.llm.common import whole_text
+from loamframe.llm.common import fresh, whole_text
 
 SPACE = "▁"  # stands for a blank in pieces
 CACHED = 300_000
@@ -209,7 +209,7 @@ def encode_texts(documents: DataFrame, model: str, text: str = "text", name: str
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], lists], names=[*rest, name])
 
-    return documents.select(*rest, whole_text(text).alias("_text")).mapInArrow(run, schema)
+    return documents.select(*rest, whole_text(text).alias(fresh(documents, "_text"))).mapInArrow(run, schema)
 
 
 def decode_ids(encoded: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -224,7 +224,7 @@ def decode_ids(encoded: DataFrame, model: str, ids: str = "ids", name: str = "de
             texts = [codec.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in column]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(texts, pa.string())], names=[*rest, name])
 
-    return encoded.select(*rest, F.col(ids).alias("_ids")).mapInArrow(run, schema)
+    return encoded.select(*rest, F.col(ids).alias(fresh(encoded, "_ids"))).mapInArrow(run, schema)
 
 
 def ids_checksum(encoded: DataFrame, ids: str = "ids", name: str = "ids_crc32") -> DataFrame:
@@ -237,4 +237,4 @@ def ids_checksum(encoded: DataFrame, ids: str = "ids", name: str = "ids_crc32")
             sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes() if x.is_valid else b"") for x in b.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(sums, pa.int64())], names=[*rest, name])
 
-    return encoded.select(*rest, F.col(ids).alias("_ids")).mapInArrow(run, schema)
+    return encoded.select(*rest, F.col(ids).alias(fresh(encoded, "_ids"))).mapInArrow(run, schema)
