@@ -10,16 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamframe.llm import jaccard_join, line_dedup, packing
-from loamframe.llm.common import table
-from loamframe.llm.queries import QUALITY_KEPT, quality_scores, tokenizer_file
+from loamframe.llm import jaccard_join, line_dedup, packing, quality
+from loamframe.llm.common import fresh, table
+from loamframe.llm.queries import QUALITY_KEPT, quality_model, tokenizer_file
 from loamframe.session import scratch_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scored = quality_scores(spark, docs, sf_dir)
-    return scored.where(F.col("score") >= QUALITY_KEPT).select(*docs.columns)
+    score = fresh(docs, "_score")
+    scored = quality.score(docs, quality_model(spark, sf_dir), name=score)
+    return scored.where(F.col(score) >= QUALITY_KEPT).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     least = jaccard_join.similar_classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
     # A repeated key can only repeat within its class; one row of it stays.
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    kept = docs.join(least, "doc_id").withColumn("_first", first).where("_first = 1").select(*docs.columns)
+    place = fresh(docs, "_first")
+    kept = docs.join(least, "doc_id").withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
