@@ -163,6 +163,48 @@ def polygon_meets_box(edge_list: Column, xmin: float, ymin: float, xmax: float,
     return F.exists(edge_list, edge_meets) | inside_even_odd(edge_list, *corners[0])
 
 
+def constant_shape(wkt: str) -> Column:
+    """The shape of a given text, to be compared with a column of shapes:
+    struct(kind, points, edges), worked out once by constant folding."""
+    rings = parse_rings(F.lit(wkt))
+    kind = wkt_kind(F.lit(wkt))
+    return F.struct(kind.alias("kind"), F.flatten(rings).alias("points"), _lines(kind, edges(rings)).alias("edges"))
+
+
+def _lines(kind: Column, edge_list: Column) -> Column:
+    """No edges for points, whatever their list looks like."""
+    return F.when(kind.contains("POINT"), F.filter(edge_list, lambda e: F.lit(False))).otherwise(edge_list)
+
+
+def shapes_meet(kind: Column, rings: Column, edge_list: Column, other: Column) -> Column:
+    """Two closed shapes (points, lines or polygons) share a point.
+
+    Either two edges meet, or a point of one lies in the other. ``other`` comes
+    from :func:`constant_shape`.
+    """
+    mine = _lines(kind, edge_list)
+
+    def edges_meet(a: Column, b: Column) -> Column:
+        near = (
+            (F.least(a["x1"], a["x2"]) <= F.greatest(b["x1"], b["x2"])) & (F.greatest(a["x1"], a["x2"]) >= F.least(b["x1"], b["x2"]))
+            & (F.least(a["y1"], a["y2"]) <= F.greatest(b["y1"], b["y2"])) & (F.greatest(a["y1"], a["y2"]) >= F.least(b["y1"], b["y2"]))
+        )
+        apart = lambda e, f: F.signum(_side(e, f["x1"], f["y1"])) * F.signum(_side(e, f["x2"], f["y2"])) > 0
+        return near & ~apart(a, b) & ~apart(b, a)
+
+    def holds(of: Column, points: Column, lines: Column, p: Column) -> Column:
+        inside = of.contains("POLYGON") & inside_even_odd(lines, p["x"], p["y"])
+        same = of.contains("POINT") & F.exists(points, lambda q: (q["x"] == p["x"]) & (q["y"] == p["y"]))
+        return inside | on_boundary(lines, p["x"], p["y"]) | same
+
+    points = F.flatten(rings)
+    return (
+        F.exists(mine, lambda a: F.exists(other["edges"], lambda b: edges_meet(a, b)))
+        | F.exists(points, lambda p: holds(other["kind"], other["points"], other["edges"], p))
+        | F.exists(other["points"], lambda p: holds(kind, points, mine, p))
+    )
+
+
 def segment_distance(edge_list: Column, x: Column, y: Column) -> Column:
     """Planar distance from a point to the nearest edge."""
 

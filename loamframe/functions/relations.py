@@ -44,7 +44,9 @@ def _locate(dimension: int, lists: list[np.ndarray], points: np.ndarray) -> np.n
     dot = (rel * d).sum(2)
     square = (d * d).sum(1)
     scale = np.sqrt(square) * (1 + np.abs(points).max(1, initial=0))[:, None]
-    on = ((np.abs(cross) <= _EPS * scale) & (dot >= -_EPS) & (dot <= square + _EPS)).any(1)
+    # An edge between equal points is that point.
+    long = (square > 0) | (np.abs(rel) <= _EPS).all(2)
+    on = ((np.abs(cross) <= _EPS * scale) & (dot >= -_EPS) & (dot <= square + _EPS) & long).any(1)
     if dimension == 1:
         ends = np.vstack([c[[0, -1]] for c in lists if not np.allclose(c[0], c[-1])] or [np.empty((0, 2))])
         # A point that closes an even number of line ends is interior.

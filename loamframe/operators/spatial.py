@@ -111,8 +111,9 @@ def distinct_units_by_region(polys: DataFrame, regions: Mapping[str, Box], mapun
 def spatial_filter(shapes: DataFrame, query: str | Mapping[str, float] | Box, relation: str = "intersects", wkt: str = "wkt") -> DataFrame:
     """Shapes for which ``shape.relation(query)`` holds.
 
-    Unknown relations mean intersects. A box test on columns comes first; the
-    exact test is an Arrow UDF over the shapes that pass it.
+    Unknown relations mean intersects. A box test on columns comes first; then
+    "intersects" is a column expression too, the other relations an Arrow UDF
+    over the shapes that pass.
     """
     text = query if isinstance(query, str) else box_wkt(query)
     relation = relation if relation in relations.RELATIONS else "intersects"
@@ -132,6 +133,9 @@ def spatial_filter(shapes: DataFrame, query: str | Mapping[str, float] | Box, re
         near = (b["xmin"] >= x0) & (b["xmax"] <= x1) & (b["ymin"] >= y0) & (b["ymax"] <= y1)
     else:
         near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
+    if relation == "intersects":
+        meets = g.shapes_meet(F.col("_kind"), F.col("_shape.rings"), F.col("_shape.edges"), g.constant_shape(text))
+        return g.with_shape(shapes, wkt).where(near).where(meets).drop("_shape", "_kind")
     # The argument names the box too, which keeps the UDF above the box test.
     candidate = F.when(b.isNotNull(), F.col(wkt))
     return g.with_shape(shapes, wkt).where(near).where(exact(candidate)).drop("_shape", "_kind")

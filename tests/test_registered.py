@@ -8,7 +8,7 @@ from __spark_entry__ import entry
 from loamframe.plans import CHECKS, QUERIES
 
 STREAMS = {"S1_stream_ingest", "S2_stream_period", "S3_stream_upsert"}
-EXACT_SHAPES = {"E4_spatial_filter", "E5_spatial_query", "E5_spatial_outlines", "E6_survey_areas_intersecting", "E13_watershed_units"}
+EXACT_SHAPES = {"E4_spatial_filter"}
 
 
 def plan_of(df) -> str:

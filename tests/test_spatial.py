@@ -154,3 +154,27 @@ def test_two_stations_ascending(spark):
     sites = spark.createDataFrame([(1, 37.5, -120.5), (2, 95.0, 0.0)], "site_id int, latitude double, longitude double")
     rows = spatial.nearest_stations(sites, stations, 100).orderBy("rank").collect()
     assert len(rows) == 2 and rows[0]["distance_km"] <= rows[1]["distance_km"]
+
+
+def test_column_form_of_intersects_agrees(spark):
+    import random
+
+    rng = random.Random(8)
+    at = lambda: f"{rng.randrange(7)} {rng.randrange(7)}"
+
+    def shape():
+        kind = rng.randrange(4)
+        if kind == 0:
+            return f"POINT({at()})"
+        if kind == 1:
+            return "LINESTRING(" + ", ".join(at() for _ in range(rng.randint(2, 4))) + ")"
+        if kind == 2:
+            return f"MULTIPOINT({at()}, {at()})"
+        x, y, w, h = rng.randrange(5), rng.randrange(5), rng.randint(1, 3), rng.randint(1, 3)
+        return f"POLYGON(({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y}))"
+
+    shapes = [(n, shape()) for n in range(60)]
+    frame = spark.createDataFrame(shapes, "n long, wkt string").coalesce(1)
+    for query in ["POLYGON((1 1, 5 1, 5 5, 1 5, 1 1), (2 2, 4 2, 4 4, 2 4, 2 2))", "LINESTRING(0 0, 3 3, 6 0)", "POINT(3 3)", "MULTIPOINT(1 2, 5 5)"]:
+        found = {r["n"] for r in spatial.spatial_filter(frame, query).collect()}
+        assert found == {n for n, text in shapes if relate(parse(text), parse(query), "intersects")}, query
