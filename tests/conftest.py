@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -19,6 +20,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
