@@ -234,6 +234,19 @@ def aggregate_period(
     return out
 
 
+def period_means(readings: DataFrame, durations: Sequence[str], period_ref: str = "START", keys: Sequence[str] = SERIES) -> DataFrame:
+    """Mean per period of several durations, in one pass over the readings."""
+    starts = [F.struct(F.lit(d).alias("duration"), period_start(F.col("ts"), d).alias("period")) for d in durations]
+    rows = readings.where("value IS NOT NULL").select(*keys, "value", F.explode(F.array(*starts)).alias("_p"))
+    out = rows.groupBy(*keys, F.col("_p.duration").alias("duration"), F.col("_p.period").alias("period")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("average")
+    )
+    if period_ref == "END":
+        ends = [F.when(F.col("duration") == d, period_end(F.col("period"), d)) for d in durations]
+        out = out.withColumn("period", F.coalesce(*ends))
+    return out
+
+
 def upsert_readings(base: DataFrame, changes: DataFrame) -> DataFrame:
     """Latest version per (station, element, time); changes win ties."""
     both = base.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)))
@@ -256,10 +269,22 @@ def drop_suspect(readings: DataFrame, keep_suspect: bool = False, original_value
 
 
 def station_series(requests: DataFrame, readings: DataFrame, duration: str = "DAILY") -> DataFrame:
-    """Series for a table of requests (request_id, station, element, start, end)."""
+    """Mean series for a table of requests (request_id, station, element, start, end).
+
+    Readings are first added up per day (hour for hourly series), so a popular
+    series meets its requests with one row a day and not with every reading.
+    """
+    unit = "hour" if duration == "HOURLY" else "day"
+    sums = (
+        readings.where("value IS NOT NULL")
+        .groupBy(*SERIES, F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("ts"))
+        .agg(F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    )
     days = F.to_date("ts").between(F.col("start_date"), F.col("end_date"))
-    found = requests.join(readings, SERIES).where(days)
-    return aggregate_period(found, duration, keys=["request_id", *SERIES])
+    found = requests.join(sums, SERIES).where(days)
+    return found.groupBy("request_id", *SERIES, period_start(F.col("ts"), duration).alias("period")).agg(
+        F.sum("_n").alias("n"), (F.sum("_sum") / F.sum("_n")).alias("average")
+    )
 
 
 def second_network_variables(stations: DataFrame) -> DataFrame:

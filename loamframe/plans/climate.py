@@ -410,11 +410,7 @@ _ENDS = {
 )
 def _(t):
     both = t.readings.select("ts", "value").unionByName(t.long_readings.select("ts", "value"))
-    parts = [stations.aggregate_period(both, d, "END", keys=[]).withColumn("duration", F.lit(d)) for d in DURATIONS]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return rounded(out, "average")
+    return rounded(stations.period_means(both, DURATIONS, "END", keys=[]), "average")
 
 
 _VERSIONS = """v AS (SELECT station_triplet, element_code, date_trunc('day', ts) AS ts, value, updated_at, 0 AS new FROM readings

@@ -268,10 +268,8 @@ def _(t):
     UNION ALL SELECT areasymbol, 'all' FROM docs WHERE is_valid AND n_place = 1 AND lang = 'en'""",
 )
 def _(t):
-    found = _metadata(t)
-    some = survey_xml.search_keywords(found, ["SRC3", "src8", "DE"]).select("areasymbol", F.lit("any").alias("mode"))
-    every = survey_xml.search_keywords(found, ["soil", "COUNTY", "en"], True).select("areasymbol", F.lit("all").alias("mode"))
-    return some.unionByName(every)
+    searches = {"any": survey_xml.has_keywords(["SRC3", "src8", "DE"]), "all": survey_xml.has_keywords(["soil", "COUNTY", "en"], True)}
+    return survey_xml.search_keyword_sets(_metadata(t), searches, "mode").select("areasymbol", "mode")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,13 +91,23 @@ def metadata_summary(metadata: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def search_keywords(metadata: DataFrame, words: list[str], match_all: bool = False) -> DataFrame:
-    """Documents having any (or all) of the words as whole keywords, any case."""
+def has_keywords(words: list[str], match_all: bool = False) -> Column:
+    """Whether ``keywords`` has any (or all) of the words, in any case."""
     wanted = F.array(*[F.lit(w.lower()) for w in words])
     found = F.transform("keywords", F.lower)
-    if match_all:
-        return metadata.where(F.size(F.array_except(wanted, found)) == 0)
-    return metadata.where(F.arrays_overlap(wanted, found))
+    return F.size(F.array_except(wanted, found)) == 0 if match_all else F.arrays_overlap(wanted, found)
+
+
+def search_keywords(metadata: DataFrame, words: list[str], match_all: bool = False) -> DataFrame:
+    """Documents having any (or all) of the words as whole keywords, any case."""
+    return metadata.where(has_keywords(words, match_all))
+
+
+def search_keyword_sets(metadata: DataFrame, searches: Mapping[str, Column], name: str = "search") -> DataFrame:
+    """Documents of several named searches (see :func:`has_keywords`), each with
+    the search's name, in one pass over the metadata."""
+    hits = F.array_compact(F.array(*[F.when(test, F.lit(label)) for label, test in searches.items()]))
+    return metadata.select("*", F.explode(hits).alias(name))
 
 
 def filter_bbox_overlap(metadata: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:
