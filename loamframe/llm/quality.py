@@ -130,14 +130,17 @@ def fit(documents: DataFrame, labels: DataFrame, learn_from: Column, doc: str =
     sizes = documents.select(F.col(doc), whole_text(text).alias("_text"))
     sample = sizes.join(F.broadcast(chosen), doc).where(F.length("_text") > 0)
     # Long texts may not crowd the driver: the running size is taken before texts move.
-    lengths = sample.select(doc, F.length("_text").alias("n"), F.xxhash64("_text").alias("h")).collect()
+    # A key that repeats counts once, with its shortest text.
+    one = F.min(F.struct(F.length("_text").alias("n"), F.xxhash64("_text").alias("h"))).alias("_one")
+    lengths = sample.groupBy(doc).agg(one).select(doc, "_one.*").collect()
     total, wanted = 0, []
     for r in sorted(lengths, key=lambda r: (r["h"], r[doc])):
         if total + r["n"] <= SAMPLE_CHARS:
             total += r["n"]
             wanted.append((r[doc], r["h"]))
     picked = documents.sparkSession.createDataFrame(wanted, f"{doc} long, _h long").distinct()
-    texts = sample.withColumn("_h", F.xxhash64("_text")).join(F.broadcast(picked), [doc, "_h"]).select(F.encode("_text", "utf-8").alias("t"), "_label", doc).collect()
+    texts = sample.withColumn("_h", F.xxhash64("_text")).join(F.broadcast(picked), [doc, "_h"]).dropDuplicates([doc, "_h"])
+    texts = texts.select(F.encode("_text", "utf-8").alias("t"), "_label", doc).collect()
     texts.sort(key=lambda r: (r[doc], r["t"]))  # the order of training doesn't depend on partitions
     return train([bytes(r["t"]) for r in texts], np.array([r["_label"] for r in texts], int))
 
