@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -98,7 +99,49 @@ def start_upsert(changes: DataFrame, log: str, checkpoint: str, delay: str | Non
     return _start(rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), once)
 
 
-def current_readings(spark: SparkSession, log: str, base: DataFrame | None = None) -> DataFrame:
-    """Latest version of every reading in the change log (and a base table)."""
-    changes = spark.read.option("basePath", log).parquet(log).drop("batch")
+def current_readings(spark: SparkSession, log: str, base: DataFrame | None = None, after: int = -1) -> DataFrame:
+    """Latest version of every reading in the change log (and a base table).
+
+    Batches up to ``after`` are left unread: they are in the base already.
+    """
+    changes = spark.read.option("basePath", log).parquet(log).where(F.col("batch") > after).drop("batch")
     return upsert_readings(base if base is not None else changes.limit(0), changes)
+
+
+def merge_changes(spark: SparkSession, log: str, base: str, state: str) -> int:
+    """Merges the log's new batches into a base table kept by day.
+
+    Only the days that changed are read and rewritten. The batch reached is
+    recorded in ``state`` after the rewrite, so a merge that is lost half-way is
+    simply repeated with the same result; it is also returned, for
+    :func:`current_readings`.
+    """
+    done = merged_upto(spark, state)
+    changes = spark.read.option("basePath", log).parquet(log).where(F.col("batch") > done)
+    last = changes.agg(F.max("batch")).first()[0]
+    if last is None:
+        return done
+    changes = changes.where(F.col("batch") <= last).drop("batch").withColumn("day", F.to_date("ts"))
+    old = read_base(spark, base, changes)
+    touched = old.join(changes.select("day").distinct(), "day", "left_semi").select(*changes.columns)
+    merged = upsert_readings(touched, changes)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(base)
+    spark.createDataFrame([(int(last),)], "batch long").coalesce(1).write.mode("append").parquet(state)
+    return int(last)
+
+
+def read_base(spark: SparkSession, base: str, like: DataFrame) -> DataFrame:
+    """The base table, or an empty one like ``like`` before the first merge."""
+    try:
+        return spark.read.schema(like.schema).parquet(base)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.limit(0)
+
+
+def merged_upto(spark: SparkSession, state: str) -> int:
+    """The last batch that a merge has recorded, -1 before the first."""
+    rows = read_base(spark, state, spark.createDataFrame([], "batch long"))
+    found = rows.agg(F.max("batch")).first()[0]
+    return -1 if found is None else int(found)

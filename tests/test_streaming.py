@@ -96,3 +96,22 @@ def test_ingest_applies_the_station_offset_and_outlives_its_checkpoint(spark):
     assert sorted(r["ts_utc"] for r in once) == [D(2024, 1, d, 13) for d in (1, 2, 3)]
     run("state2", None)  # the checkpoint is lost and all files come in one batch
     assert streams.read_ingested(spark, f"{root}/rows").count() == 3
+
+
+def test_merged_log_equals_the_whole_log(spark):
+    root = scratch_path(spark, "merge-test")
+    path = land(spark, f"{root}/in", [row(1, 1.0), row(2, 2.0)], [row(1, 5.0, updated=3), row(3, 3.0)])
+    streams.start_upsert(stream(spark, path), f"{root}/log", f"{root}/state").awaitTermination()
+    pairs = lambda df: sorted((x["ts"], x["value"]) for x in df.collect())
+    whole = pairs(streams.current_readings(spark, f"{root}/log"))
+    assert streams.merged_upto(spark, f"{root}/done") == -1
+    last = streams.merge_changes(spark, f"{root}/log", f"{root}/base", f"{root}/done")
+    base = spark.read.parquet(f"{root}/base")
+    assert pairs(base) == whole and streams.merged_upto(spark, f"{root}/done") == last
+    assert streams.merge_changes(spark, f"{root}/log", f"{root}/base", f"{root}/done") == last
+    later = spark.createDataFrame([row(2, 9.0, updated=5), row(8, 8.0)], SCHEMA)
+    later.write.parquet(f"{root}/log/batch={last + 1}")
+    expected = pairs(streams.current_readings(spark, f"{root}/log"))
+    assert pairs(streams.current_readings(spark, f"{root}/log", base.drop("day"), last)) == expected
+    streams.merge_changes(spark, f"{root}/log", f"{root}/base", f"{root}/done")
+    assert pairs(spark.read.parquet(f"{root}/base")) == expected
