@@ -51,6 +51,15 @@ def _(t):
     return payloads.flatten_payloads(t.payloads, "body", columns, ["payload_id"])
 
 
+@query(
+    "A2_payload_status", "",
+    """SELECT o_orderkey AS payload_id, CASE WHEN o_orderkey % 23 = 0 THEN 'empty' WHEN o_orderkey % 29 = 0 OR o_orderkey % 31 = 0 THEN 'rejected' ELSE 'ok' END AS status
+    FROM orders""",
+)
+def _(t):
+    return payloads.payload_status(t.payloads, "body").select("payload_id", "status")
+
+
 @query(
     "A3_union_batches", "mapunit muaggatt",
     "SELECT mukey, muname FROM mapunit UNION ALL SELECT mukey, flodfreqdcd FROM muaggatt UNION ALL SELECT mukey, muname FROM mapunit",
@@ -158,6 +167,21 @@ def _(t):
     )
 
 
+@query("A11_rejected_stations", "", f"SELECT s_suppkey AS feed_id, {_STATION} AS station_triplet FROM supplier WHERE s_suppkey % 7 = 0")
+def _(t):
+    return feeds.rejected_stations(t.station_feed, "body", ["feed_id"])
+
+
+@query(
+    "A11_sensor_table", "",
+    f"""SELECT {_STATION} AS station_triplet, element_code, height_depth, 1 AS ordinal, begin_date FROM supplier,
+    (VALUES ('SMS', -2, '2000-01-01'), ('PREC', NULL, NULL)) e(element_code, height_depth, begin_date) WHERE s_suppkey % 7 <> 0""",
+)
+def _(t):
+    sensors = feeds.sensor_table(feeds.ingest_station_json(t.station_feed, "body"))
+    return sensors.select("station_triplet", "element_code", "height_depth", "ordinal", "begin_date")
+
+
 _EVENT_STATION = _STATION.replace("s_suppkey", "user_id")
 _GOOD_SERIES = "event_id % 41 <> 0 AND event_id % 43 <> 0"
 
