@@ -22,6 +22,7 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,15 +38,23 @@ BATCH_CHARS = 12_000_000
 END = b"\t"  # white space, so never a word
 
 
+def _press(b: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=6).compress(b)
+
+
+def _expand(b: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(b)
+
+
 def _pack(a: np.ndarray) -> bytes:
     """Compressed bytes; like bytes of the numbers side by side."""
     a = np.ascontiguousarray(a)
     planes = a.view(np.uint8).reshape(-1, a.itemsize).T if a.size else a.view(np.uint8)
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    return _press(np.ascontiguousarray(planes).tobytes())
 
 
 def _unpack(b: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    raw = np.frombuffer(_expand(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
 
 
@@ -93,7 +102,7 @@ def _batches(texts: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
         rows = [(number, -1, None, None, [row[0] for row in part], held, sizes, _pack(flat), _pack(shard))]
         for s in np.flatnonzero(np.diff(ends)):
             mine = order[ends[s] : ends[s + 1]]
-            rows.append((number, int(s), zlib.compress(b"\n".join([words[i] for i in mine]), 1), _pack(seen[mine]), *[None] * 5))
+            rows.append((number, int(s), _press(b"\n".join([words[i] for i in mine])), _pack(seen[mine]), *[None] * 5))
         number += 1
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), BATCH)], schema=BATCH)
 
@@ -111,7 +120,7 @@ def _count_words(shards: int):
         at: dict[bytes, int] = defaultdict(count().__next__)
         rows = []
         for blob in group["words"]:
-            words = zlib.decompress(blob).split(b"\n")
+            words = _expand(blob).split(b"\n")
             rows.append(np.fromiter(map(at.__getitem__, words), np.int64, len(words)))
         total = np.zeros(len(at), np.int64)
         for index, seen in zip(rows, group["seen"]):
@@ -132,7 +141,7 @@ def _test_contexts(step: int, tokens: int, shards: int):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         rows = [
-            (np.cumsum(_unpack(r.context, np.int64)), _unpack(r.times, np.int64), _unpack(r.runs, np.int32), _unpack(r.next, np.int64), _unpack(r.n, np.int32), _unpack(r.bits, np.uint8))
+            (np.cumsum(_unpack(r.context, np.int64)), _unpack(r.times, np.int64), runs := _unpack(r.runs, np.int32), _summed(_unpack(r.next, np.int64), runs), _unpack(r.n, np.int32), _unpack(r.bits, np.uint8))
             for r in group.itertuples()
         ]
         context = np.concatenate([np.repeat(r[0], r[2]) for r in rows])
@@ -146,9 +155,11 @@ def _test_contexts(step: int, tokens: int, shards: int):
         sums = np.add.reduceat(n[order].astype(np.int64), first)
         all_times = times[order][first].astype(float)
         of_context = np.cumsum(new_context)[first] - 1
-        total = all_times[np.flatnonzero(new_context[first])]
+        # All that follows a context is here, but for the common ones, which say how often they occur.
+        told = all_times[np.flatnonzero(new_context[first])]
+        total = np.where(told > 0, told, np.bincount(of_context, sums))
         kinds = np.bincount(of_context, sums > 0)  # distinct next tokens
-        common = total * COMMON >= tokens
+        common = told > 0
         # Divergence test: each occurrence is predicted from the others, by the state
         # and by its suffix (whose probability was sent in sixths of a bit).
         p = np.exp2(bits[order][first] / -6.0)
@@ -173,6 +184,13 @@ def _test_contexts(step: int, tokens: int, shards: int):
     return run
 
 
+def _summed(gaps: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """Numbers from their differences; each run begins anew."""
+    start = np.cumsum(runs) - runs
+    sums = np.cumsum(gaps)
+    return sums - np.repeat(sums[start] - gaps[start], runs)
+
+
 KEYS_SQL = "batch long, shard int, context binary, times binary, runs binary, next binary, n binary, bits binary"
 KEYS = ["batch", "shard", "context", "times", "runs", "next", "n", "bits"]
 
@@ -222,15 +240,18 @@ class _Batch:
         if not len(s):
             return
         head = np.flatnonzero(new)
-        n = np.add.reduceat(self.train[usable][order].astype(np.int32), head)
+        n = np.add.reduceat(self.train[usable][order].astype(np.int64), head).astype(np.int32)
         bits = np.minimum(np.rint(-6 * np.log2(self.p[usable][order][head])), 255).astype(np.uint8)
         times = self.context_times[usable][order][head]
+        times = np.where(times * COMMON >= self.tokens, times, 0)
         s, c, f = s[head], c[head], f[head]
         ends = np.append(np.flatnonzero(np.append(True, s[1:] != s[:-1])), len(s))
         for a, b in zip(ends[:-1], ends[1:]):
             start = np.flatnonzero(np.append(True, c[a + 1 : b] != c[a : b - 1]))
             runs = np.diff(np.append(start, b - a)).astype(np.int32)
-            yield int(s[a]), _pack(np.diff(c[a:b][start], prepend=0)), _pack(times[a:b][start]), _pack(runs), _pack(f[a:b]), _pack(n[a:b]), _pack(bits[a:b])
+            gaps = np.diff(f[a:b], prepend=0)
+            gaps[start] = f[a:b][start]
+            yield int(s[a]), _pack(np.diff(c[a:b][start], prepend=0)), _pack(times[a:b][start]), _pack(runs), _pack(gaps), _pack(n[a:b]), _pack(bits[a:b])
 
     def _hear(self, told: pd.DataFrame, common: dict[int, int]) -> None:
         """Takes the answers to ``ask`` and moves on to contexts one token longer."""
