@@ -276,3 +276,49 @@ def test_pages(spark):
     odd = spark.createDataFrame([(None, None, None, "t"), (1, "u", "<p>x" * 20_000, "t"), (1, "u", "", "t")], "page_id long, url string, html string, text string")
     assert [len(r["text"]) for r in html_text.extract_text(odd).collect()] == [0, 20_000 * 3 - 2, 0]
     assert html_text.extract_text(odd.limit(0)).count() == 0
+
+
+def test_pair_counts_over_several_batches(monkeypatch):
+    """What the shards tell several batches, against counting the pairs at once."""
+    import pandas as pd
+    import pyarrow as pa
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr("pyspark.TaskContext", Task)
+    monkeypatch.setattr(suffix_tree, "BATCH_CHARS", 4000)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") + rng.choice(["", "x"]) for _ in range(rng.randint(0, 90))) for _ in range(300)]
+    held = [n % 7 == 0 for n in range(300)]
+    columns = [pa.array(range(300)), pa.array([t.encode() for t in texts]), pa.array(held)]
+    shards = 3
+    stored = pa.Table.from_batches(list(suffix_tree._batches(iter([pa.RecordBatch.from_arrays(columns, names=list("abc"))]), shards))).to_pandas()
+    words = stored[stored["shard"] >= 0]
+    told = pd.concat([suffix_tree._count_words(shards)(g) for _, g in words.groupby("shard")], ignore_index=True)
+    batches = stored[stored["shard"] < 0]
+    assert len(batches) > 5
+    seen = Counter(w for t, h in zip(texts, held) if not h for w in [*t.split(), "\t"])
+    tokens, distinct = sum(seen.values()), len(seen)
+    made = lambda r: suffix_tree._Batch(r, told[told["batch"] == r.batch], shards, tokens, distinct, {2: {}})
+    asked = pd.DataFrame([(r.batch, *k) for r in batches.itertuples() for k in made(r).ask()], columns=suffix_tree.KEYS)
+    answers = pd.concat([suffix_tree._test_contexts(2, tokens, shards)(g) for _, g in asked.groupby("shard")], ignore_index=True)
+    pairs = Counter()
+    for text, out in zip(texts, held):
+        if not out:
+            run = ["^", *text.split(), "\t"]
+            pairs.update(zip(run, run[1:]))
+    told = pd.concat([told, answers], ignore_index=True)
+    checked = 0
+    for r in batches.itertuples():
+        b = made(r)
+        at = 0
+        for text in (texts[n] for n in b.ids):
+            run = ["^", *text.split(), "\t"]
+            for n, pair in enumerate(zip(run, run[1:])):
+                if n + 1 < len(run) - 1:  # the next context's count is this pair's
+                    assert b.context_times[at + n + 1] == pairs[pair]
+                    checked += 1
+            at += len(run) - 1
+    assert checked > 5000
