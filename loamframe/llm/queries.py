@@ -175,8 +175,7 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_codec.ids_checksum(sentencepiece_codec.encode_texts(docs, model))
-    back = sentencepiece_codec.decode_ids(coded, model)
+    back = sentencepiece_codec.decode_ids(sentencepiece_codec.encode_texts(docs, model), model, checksum="ids_crc32")
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),

@@ -107,7 +107,7 @@ class Codec(dict):
         numbers = range(size)
         plain = [i for i in numbers if not (source.is_control(i) or source.is_unknown(i) or source.is_byte(i) or source.is_unused(i))]
         pieces = {source.id_to_piece(i): (i, source.get_score(i)) for i in plain}
-        self.automaton = Automaton(pieces)
+        self.pieces, self._automaton = pieces, None
         self.unknown = min(score for _, score in pieces.values()) - UNKNOWN_PENALTY
         self.bytes_at = {int(source.id_to_piece(i)[1:-1], 16): i for i in numbers if source.is_byte(i)}
         self.unknown_id = source.unk_id()
@@ -117,6 +117,13 @@ class Codec(dict):
         self.after_blank = _AfterBlank(self)
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
+    @property
+    def automaton(self) -> Automaton:
+        """Built when first needed: decoding does without."""
+        if self._automaton is None:
+            self._automaton = Automaton(self.pieces)
+        return self._automaton
+
     @classmethod
     def load(cls, model: str) -> Codec:
         """One instance per Python worker."""
@@ -212,29 +219,28 @@ def encode_texts(documents: DataFrame, model: str, text: str = "text", name: str
     return documents.select(*rest, whole_text(text).alias(fresh(documents, "_text"))).mapInArrow(run, schema)
 
 
-def decode_ids(encoded: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """All columns of ``encoded`` and the text of every list of ids (null: empty)."""
-    rest = [c for c in encoded.columns if c != name]
+def decode_ids(encoded: DataFrame, model: str, ids: str = "ids", name: str = "decoded", checksum: str | None = None) -> DataFrame:
+    """All columns of ``encoded`` and the text of every list of ids (null: empty).
+
+    ``checksum`` names a further column for the CRC-32 of the ids as
+    little-endian unsigned 32-bit numbers, made in the same pass. Existing
+    columns of these names are replaced.
+    """
+    made = [name, *([checksum] if checksum else [])]
+    rest = [c for c in encoded.columns if c not in made]
     schema = encoded.select(*rest).schema.add(name, "string")
+    schema = schema.add(checksum, "long") if checksum else schema
+    at = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.load(model)
         for b in batches:
-            column = b.column(len(rest))
-            texts = [codec.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in column]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(texts, pa.string())], names=[*rest, name])
-
-    return encoded.select(*rest, F.col(ids).alias(fresh(encoded, "_ids"))).mapInArrow(run, schema)
-
-
-def ids_checksum(encoded: DataFrame, ids: str = "ids", name: str = "ids_crc32") -> DataFrame:
-    """Adds the CRC-32 of the ids as little-endian unsigned 32-bit numbers."""
-    rest = [c for c in encoded.columns if c != name]
-    schema = encoded.select(*rest).schema.add(name, "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes() if x.is_valid else b"") for x in b.column(len(rest))]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(sums, pa.int64())], names=[*rest, name])
-
-    return encoded.select(*rest, F.col(ids).alias(fresh(encoded, "_ids"))).mapInArrow(run, schema)
+            texts, sums = [], []
+            for x in b.column(at):
+                numbers = x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)
+                texts.append(codec.decode(numbers.tolist()))
+                sums.append(zlib.crc32(numbers.astype("<u4").tobytes()))
+            columns = [pa.array(texts, pa.string()), pa.array(sums, pa.int64())][: len(made)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=[*rest, *made])
+
+    return encoded.select(*rest).mapInArrow(run, schema)
