@@ -62,10 +62,12 @@ def _signed(documents: DataFrame, doc: str, text: str, trees: int, prefix: int)
 
 
 def _links(similarity: float):
-    """Links among the texts of one pair of blocks below one trie node."""
+    """Links among the texts of one pair of blocks below one trie node; of two
+    different blocks only those between them, as each also meets itself."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        tree, side = int(key[0]), group["side"].to_numpy()
+        tree, low, high = int(key[0]), int(key[2]), int(key[3])
+        side = group["side"].to_numpy()
         hashes = WordHashes()
         sets = [np.unique(shingle_hashes(normal_words(t), hashes)) for t in group["text"]]
         sizes = np.array([len(s) for s in sets])
@@ -88,7 +90,7 @@ def _links(similarity: float):
         union = sizes[:, None] + sizes[None, :] - common
         # 5 * common >= 4 * union in whole numbers for 0.8, without rounding a quotient
         linked = np.triu(common >= similarity * union - 1e-6, 1)
-        if (side != side[0]).any():
+        if low != high:
             linked &= side[:, None] != side[None, :]
         i, j = np.nonzero(linked)
         if len(i):

@@ -104,6 +104,15 @@ def test_large_group_is_cut_into_blocks(spark, monkeypatch):
     assert {(r["class_id"], r["n_links"]) for r in out} == {(0, 699)}
 
 
+def test_few_long_texts_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 10_000)
+    words = [f"w{i}" for i in range(300_000)]
+    pairs = [(n, " ".join([f"{n // 2}x{w}" for w in words[: 20_000 * (1 + n // 2)]] + [f"end{n}"])) for n in range(8)]
+    rows = [*pairs, (8, " ".join(words)), (9, " ".join([*words[:-1], "end"]))]
+    out = jaccard_join.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in out) == [(n, n // 2 * 2, 1) for n in range(10)]
+
+
 def test_long_chain_is_one_class(spark):
     n = 300
     words = [f"w{i}" for i in range(4 * n + 100)]
