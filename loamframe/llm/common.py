@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +30,16 @@ def fresh(df: DataFrame, name: str) -> str:
 def tasks(spark: SparkSession, factor: int = 1) -> int:
     """Number of shuffle partitions the session asks for, times ``factor``."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * factor)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes a finished query's shuffle files at once, not when the
+    driver happens to collect its garbage; what the query wrote stays."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

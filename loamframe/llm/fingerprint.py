@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import fresh, tasks, whole_text
+from loamframe.llm import jaccard_join
+from loamframe.llm.common import fresh, shuffles_removed, tasks, whole_text
 from loamframe.llm.shingles import MinHash, WordHashes, normal_words, shingle_hashes
 from loamframe.session import scratch_path
 
@@ -97,7 +98,13 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, jaccard_edited double"
-RESULT_NAMES = [f.split()[0] for f in RESULT.split(", ")]
+MARKS = "_row long, _hash long, _digest binary, _size long"
+KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def _fields(schema: str) -> tuple[list[str], list[pa.DataType]]:
+    names, kinds = zip(*(f.split() for f in schema.split(", ")))
+    return list(names), [KINDS[k] for k in kinds]
 
 
 class _Editor:
@@ -115,9 +122,11 @@ class _Editor:
             for k, t, e, s, x, n, a, b in zip(keys, texts, edited, signed, edited_signed, follower_signed, sets, edited_sets)
         ]
 
-    def sign(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        sets = _sets(texts, self.hashes)
-        return sets, _sign(self.minima, sets)
+    def sign(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, list[bytes]]:
+        """Shingles, fingerprints and digests of the words."""
+        words = [normal_words(t) for t in texts]
+        sets = [shingle_hashes(w, self.hashes) for w in words]
+        return sets, _sign(self.minima, sets), [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
 
 
 def edited_fingerprints(documents: DataFrame, doc: str = "doc_id", text: str = "text", functions: int = FUNCTIONS) -> DataFrame:
@@ -134,58 +143,95 @@ def edited_fingerprints(documents: DataFrame, doc: str = "doc_id", text: str = "
     rows in order; only the first and the last row of each range (two per task)
     are then joined across ranges.
     """
+    return _edited(documents, doc, text, functions).select(*_fields(RESULT)[0]).withColumnRenamed("doc_id", doc)
+
+
+def _edited(documents: DataFrame, doc: str, text: str, functions: int) -> DataFrame:
+    """RESULT and MARKS of every row: its number, its text's hash, the digest of
+    its words and how many shingles it has."""
     spark = documents.sparkSession
     order = [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("text")]
     rows = documents.select(F.col(doc).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("_hash", F.xxhash64("text"))
-    dealt = rows.repartitionByRange(tasks(spark), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
-    ends = pa.schema([("part", pa.int32()), ("end", pa.int32()), ("said", pa.string())])
-    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
-    types = [kinds[f.split()[1]] for f in RESULT.split(", ")]
+    dealt = rows.repartitionByRange(tasks(spark), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text", "_hash")
+    schema = f"part int, end int, said string, {MARKS}, {RESULT}"
+    names, types = _fields(schema)
+    done_names, done_types = _fields(f"{MARKS}, {RESULT}")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, editor = TaskContext.get().partitionId(), _Editor(functions)
-        held, first = None, True
+        held, seen = None, 0
 
-        def out(results: list[tuple], marks: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*[m + r for m, r in zip(marks, results)])) or [()] * (3 + len(types))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [*ends.types, *types])], names=[*ends.names, *RESULT_NAMES])
+        def out(results: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*results)) or [()] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-        nothing = (None,) * (len(types) - 1)
+        nothing = (None,) * (len(_fields(RESULT)[0]) - 1)
         for b in batches:
             if not b.num_rows:
                 continue
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            sets, signed = editor.sign(texts)
-            if first:
-                yield out([(keys[0], *nothing)], [(part, 1, texts[0])])
-                first = False
+            sets, signed, digests = editor.sign(texts)
+            marks = [((part << 40) + seen + n, h, d, len(s)) for n, (h, d, s) in enumerate(zip(b.column(2).to_pylist(), digests, sets))]
+            if not seen:
+                yield out([(part, 1, texts[0], *marks[0], keys[0], *nothing)])
+            seen += len(keys)
             if held:
-                keys, texts, sets, signed = [held[0], *keys], [held[1], *texts], [held[2], *sets], np.vstack([held[3], signed])
+                keys, texts, sets, signed, marks = [held[0], *keys], [held[1], *texts], [held[2], *sets], np.vstack([held[3], signed]), [held[4], *marks]
             done = editor.rows(keys[:-1], texts[:-1], signed[:-1], texts[1:], signed[1:], sets[:-1])
-            yield out(done, [(part, 0, None)] * len(done))
-            held = (keys[-1], texts[-1], sets[-1], signed[-1:])
+            yield out([(part, 0, None, *m, *r) for m, r in zip(marks, done)])
+            held = (keys[-1], texts[-1], sets[-1], signed[-1:], marks[-1])
         if held:
-            yield out([(held[0], *nothing)], [(part, 2, held[1])])
+            yield out([(part, 2, held[1], *held[4], held[0], *nothing)])
 
     path = scratch_path(spark, "edited")
-    dealt.mapInArrow(walk, f"part int, end int, said string, {RESULT}").write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(spark):
+        dealt.mapInArrow(walk, schema).write.option("compression", "zstd").parquet(path)
     table = spark.read.parquet(path)
     # Two short rows per task: which ranges have rows, in order.
     parts = sorted(r["part"] for r in table.where("end = 2").select("part").collect())
     following = spark.createDataFrame([(p, parts[(n + 1) % len(parts)]) for n, p in enumerate(parts)], "part int, after int")
     firsts = table.where("end = 1").select(F.col("part").alias("after"), F.col("said").alias("follower"))
-    seams = table.where("end = 2").select("part", "doc_id", "said").join(following, "part").join(firsts, "after").select("doc_id", "said", "follower")
+    marked = _fields(MARKS)[0]
+    seams = table.where("end = 2").select("part", *marked, "doc_id", "said").join(following, "part").join(firsts, "after").select(*marked, "doc_id", "said", "follower")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         editor = _Editor(functions)
         for b in batches:
-            keys, texts, followers = (c.to_pylist() for c in b.columns)
-            sets, signed = editor.sign(texts)
+            *marks, keys, texts, followers = (c.to_pylist() for c in b.columns)
+            sets, signed, _ = editor.sign(texts)
             done = editor.rows(keys, texts, signed, followers, editor.sign(followers)[1], sets)
-            columns = list(zip(*done)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=RESULT_NAMES)
+            columns = list(zip(*((*m, *r) for m, r in zip(zip(*marks), done)))) or [()] * len(done_types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, done_types)], names=done_names)
+
+    return table.where("end = 0").select(*done_names).unionByName(seams.mapInArrow(close, f"{MARKS}, {RESULT}"))
+
 
-    whole = table.where("end = 0").select(*RESULT_NAMES).unionByName(seams.mapInArrow(close, RESULT))
-    return whole.withColumnRenamed("doc_id", doc)
+def linked_fingerprints(documents: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text: str = "text", functions: int = FUNCTIONS, rows: int = BAND_ROWS) -> DataFrame:
+    """``edited_fingerprints`` with ``class_id`` and ``n_links``, both as in
+    ``jaccard_join.similar_classes``.
+
+    Fingerprints that are equal in a band (``rows`` places) meet; all texts of
+    a band are verified exactly on their shingles, in bounded blocks. Texts at
+    ``similarity`` 0.8 share one of 32 bands of 4 with probability 1 - 5e-8.
+    """
+    spark = documents.sparkSession
+    path = scratch_path(spark, "fingerprints")
+    with shuffles_removed(spark):
+        _edited(documents, doc, text, functions).write.option("compression", "zstd").parquet(path)
+    done = spark.read.parquet(path)
+    width = DIGITS * rows
+    bands = F.transform(F.sequence(F.lit(0), F.lit(functions // rows - 1)), lambda n: F.xxhash64(F.substring("fingerprint", n * width + 1, F.lit(width))))
+    signed = done.select("_row", F.col("doc_id").alias("_doc"), "_digest", "_size", F.when(F.col("_size") > 0, bands).alias("_nodes"))
+
+    def texts(members: DataFrame) -> DataFrame:
+        """Only texts that meet another; equal rows are one."""
+        wanted = done.join(members.select(F.col("rep").alias("_row")).distinct(), "_row").select(F.col("_row").alias("rep"), "doc_id", "_hash")
+        said = documents.select(F.col(doc).cast("long").alias("_key"), whole_text(text).alias("_said")).withColumn("_said_hash", F.xxhash64("_said"))
+        met = said.join(wanted, F.col("_key").eqNullSafe(F.col("doc_id")) & (F.col("_said_hash") == F.col("_hash")))
+        return met.groupBy("rep").agg(F.min("_said").alias("text"))
+
+    linked = jaccard_join.linked_texts(signed, texts, similarity)
+    names = _fields(RESULT)[0]
+    return done.select("_digest", *names).join(linked, "_digest").select(*names, "class_id", "n_links").withColumnRenamed("doc_id", doc)

@@ -9,7 +9,7 @@ verified exactly on their shingle sets.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import whole_text
+from loamframe.llm.common import shuffles_removed, whole_text
 from loamframe.llm.shingles import MinHash, WordHashes, normal_words, shingle_hashes
 from loamframe.session import scratch_path
 
@@ -161,41 +161,61 @@ def similar_classes(documents: DataFrame, similarity: float = 0.8, doc: str = "d
     signed = _signed(documents, doc, text, trees, prefix)
     signed.withColumn("_row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     rows = spark.read.parquet(path)
-    classes_path = scratch_path(spark, "texts")
-    rows.groupBy("_digest").agg(
-        F.min("_row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("_doc").alias("first_doc"),
-        F.min("_size").alias("size"), F.any_value("_nodes").alias("nodes"),
-    ).write.parquet(classes_path)
-    classes = spark.read.parquet(classes_path)
+    texts = rows.select(F.col("_row").alias("rep"), F.col("_text").alias("text"))
+    per_text = linked_texts(rows, lambda members: texts, similarity)
+    return rows.select("_doc", "_digest").join(per_text, "_digest").select(F.col("_doc").alias(doc), "class_id", "n_links")
+
+
+def linked_texts(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """(_digest, class_id, n_links) of every digest in ``rows`` (_row, _doc,
+    _digest, _size, _nodes), links as in ``similar_classes`` between texts that
+    share a node.
+
+    ``texts`` gives (rep, text) for at least the rows named as ``rep`` in what
+    it is called with.
+    """
+    spark = rows.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        with shuffles_removed(spark):
+            df.write.option("compression", "zstd").parquet(path)
+        return spark.read.parquet(path)
+
+    classes = kept(
+        rows.groupBy("_digest").agg(
+            F.min("_row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("_doc").alias("first_doc"),
+            F.min("_size").alias("size"), F.any_value("_nodes").alias("nodes"),
+        ),
+        "texts",
+    )
     below = classes.where(F.col("nodes").isNotNull()).select("rep", "size", F.posexplode("nodes").alias("tree", "node"))
-    nodes = (
+    nodes = kept(
         below.groupBy("tree", "node")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"), F.sum(F.shiftright(F.xxhash64("rep"), 24)).alias("who"))
         .where("n > 1")
         .groupBy("n", "who", "shingles")
         .agg(F.min(F.struct("tree", "node")).alias("at"))
-        .select("at.tree", "at.node", F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        .select("at.tree", "at.node", F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")),
+        "nodes",
     )
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = (
+    members = kept(
         below.join(nodes, ["tree", "node"])
         .withColumn("side", mine)
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tree", "node", F.least("side", "_with").alias("low"), F.greatest("side", "_with").alias("high"), "side", "rep")
+        .select("tree", "node", F.least("side", "_with").alias("low"), F.greatest("side", "_with").alias("high"), "side", "rep"),
+        "members",
     )
-    texts = rows.select(F.col("_row").alias("rep"), F.col("_text").alias("text"))
     known = classes.select("rep", "copies", "nodes")
-    found_path = scratch_path(spark, "links")
-    (
-        members.join(known, "rep").join(texts, "rep")
+    found = kept(
+        members.join(known, "rep").join(texts(members), "rep")
         .groupBy("tree", "node", "low", "high")
-        .applyInPandas(_links(similarity), "rep long, other long, n long")
-        .write.parquet(found_path)
+        .applyInPandas(_links(similarity), "rep long, other long, n long"),
+        "links",
     )
-    found = spark.read.parquet(found_path)
     labels = _components(spark, found.select(F.col("rep").alias("a"), F.col("other").alias("b")))
     linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
     grouped = classes.select("rep", "copies", "first_doc", "_digest").join(linked, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     firsts = grouped.groupBy("label").agg(F.min("first_doc").alias("class_id"))
-    per_text = grouped.join(firsts, "label").select("_digest", "class_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return rows.select("_doc", "_digest").join(per_text, "_digest").select(F.col("_doc").alias(doc), "class_id", "n_links")
+    return grouped.join(firsts, "label").select("_digest", "class_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

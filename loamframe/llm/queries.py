@@ -188,4 +188,4 @@ def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_document_fingerprints")
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprint.linked_fingerprints(table(spark, sf_dir, "documents"))

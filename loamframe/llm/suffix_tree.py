@@ -17,7 +17,6 @@ import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from contextlib import contextmanager
 from itertools import count
 
 import numpy as np
@@ -27,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import tasks, whole_text
+from loamframe.llm.common import shuffles_removed, tasks, whole_text
 from loamframe.session import scratch_path
 
 LEAST = 4  # occurrences a context needs to be tested
@@ -283,19 +282,6 @@ class _Batch:
         self.context, self.context_times = longer, times
 
 
-@contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Spark removes a finished query's shuffle files at once, not when the
-    driver happens to collect its garbage; what the query wrote stays."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Base and model log10 probability of every text.
 
@@ -321,7 +307,7 @@ def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", tex
 
     def kept(df: DataFrame, schema: str, what: str) -> DataFrame:
         path = scratch_path(spark, what)
-        with _shuffles_removed(spark):
+        with shuffles_removed(spark):
             df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(schema).parquet(path)
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import loamframe.llm.queries as q
-from loamframe.llm import chat, fingerprint, html_text, packing, quality, sentencepiece_codec, suffix_tree
+from loamframe.llm import chat, fingerprint, html_text, jaccard_join, packing, quality, sentencepiece_codec, suffix_tree
 
 SF = "/root/testdata/sf0.001"
 
@@ -128,6 +128,26 @@ def test_bands_meet_near_copies(spark, odd_documents, no_documents):
     assert fingerprint.similar_to_first(no_documents).count() == 0
 
 
+def test_query_links_more_than_the_first(spark, odd_documents, no_documents):
+    """B and C are near copies; a smaller key shares bands with both but is near to B only."""
+    w = [f"w{i}" for i in range(200)]
+    a, b, c = w, w[:182] + [f"b{i}" for i in range(18)], w[:182] + [f"b{i}" for i in range(10)] + [f"c{i}" for i in range(8)]
+    c = [f"c{i}" for i in range(14)] + c[14:]
+    rows = [(n, " ".join(t)) for n, t in enumerate((a, b, c))]
+    rows += [(None, " ".join(c)), (7, "many words here and there"), (7, ""), (8, None), (1, rows[1][1])]
+    exact = {(x, y): similarity(shingles(rows[x][1]), shingles(rows[y][1])) for x, y in ((0, 1), (1, 2), (0, 2))}
+    assert exact[0, 1] >= 0.8 and exact[1, 2] >= 0.8 > exact[0, 2]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = fingerprint.linked_fingerprints(frame).select("doc_id", "n_chars", "class_id", "n_links").collect()
+    n = len(rows[2][1])
+    assert sorted(map(tuple, out), key=repr) == sorted([(0, len(rows[0][1]), 0, 2), *[(1, len(rows[1][1]), 0, 4)] * 2, (2, n, 0, 3), (None, n, 0, 3), (7, 25, 7, 0), (7, 0, 7, 1), (8, 0, 7, 1)], key=repr)
+    for docs in (odd_documents, spark.read.parquet(f"{SF}/documents.parquet")):
+        ours = fingerprint.linked_fingerprints(docs).select("doc_id", "class_id", "n_links").collect()
+        assert sorted(map(tuple, ours), key=repr) == sorted(map(tuple, jaccard_join.similar_classes(docs).collect()), key=repr)
+    assert fingerprint.linked_fingerprints(no_documents).count() == 0
+    assert {"class_id", "n_links"} <= set(q.document_fingerprints(spark, SF).columns)
+
+
 # -- packing ------------------------------------------------------------------
 
 
