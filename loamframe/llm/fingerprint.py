@@ -205,7 +205,10 @@ def _edited(documents: DataFrame, doc: str, text: str, functions: int) -> DataFr
             columns = list(zip(*((*m, *r) for m, r in zip(zip(*marks), done)))) or [()] * len(done_types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, done_types)], names=done_names)
 
-    return table.where("end = 0").select(*done_names).unionByName(seams.mapInArrow(close, f"{MARKS}, {RESULT}"))
+    closed = scratch_path(spark, "seams")
+    with shuffles_removed(spark):
+        seams.mapInArrow(close, f"{MARKS}, {RESULT}").write.option("compression", "zstd").parquet(closed)
+    return table.where("end = 0").select(*done_names).unionByName(spark.read.parquet(closed))
 
 
 def linked_fingerprints(documents: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text: str = "text", functions: int = FUNCTIONS, rows: int = BAND_ROWS) -> DataFrame:
@@ -217,10 +220,7 @@ def linked_fingerprints(documents: DataFrame, similarity: float = 0.8, doc: str
     ``similarity`` 0.8 share one of 32 bands of 4 with probability 1 - 5e-8.
     """
     spark = documents.sparkSession
-    path = scratch_path(spark, "fingerprints")
-    with shuffles_removed(spark):
-        _edited(documents, doc, text, functions).write.option("compression", "zstd").parquet(path)
-    done = spark.read.parquet(path)
+    done = _edited(documents, doc, text, functions)
     width = DIGITS * rows
     bands = F.transform(F.sequence(F.lit(0), F.lit(functions // rows - 1)), lambda n: F.xxhash64(F.substring("fingerprint", n * width + 1, F.lit(width))))
     signed = done.select("_row", F.col("doc_id").alias("_doc"), "_digest", "_size", F.when(F.col("_size") > 0, bands).alias("_nodes"))
@@ -230,7 +230,10 @@ def linked_fingerprints(documents: DataFrame, similarity: float = 0.8, doc: str
         wanted = done.join(members.select(F.col("rep").alias("_row")).distinct(), "_row").select(F.col("_row").alias("rep"), "doc_id", "_hash")
         said = documents.select(F.col(doc).cast("long").alias("_key"), whole_text(text).alias("_said")).withColumn("_said_hash", F.xxhash64("_said"))
         met = said.join(wanted, F.col("_key").eqNullSafe(F.col("doc_id")) & (F.col("_said_hash") == F.col("_hash")))
-        return met.groupBy("rep").agg(F.min("_said").alias("text"))
+        path = scratch_path(spark, "met")
+        with shuffles_removed(spark):
+            met.groupBy("rep").agg(F.min("_said").alias("text")).write.option("compression", "zstd").parquet(path)
+        return spark.read.parquet(path)
 
     linked = jaccard_join.linked_texts(signed, texts, similarity)
     names = _fields(RESULT)[0]
