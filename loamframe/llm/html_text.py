@@ -38,6 +38,8 @@ ASIDE = re.compile(
     r"share|sharing|social|related|recommended|recommendations|newsletter|subscribe|subscription|signup|login|search|searchbox|skip|hidden)(?=$|[\s_-])",
     re.I,
 )
+# Parts of a name that tell what an element has or lacks, or a header of the article's own.
+OTHERS = re.compile(r"(?:^|(?<=[\s_-]))(?:(?:has|no|with|without)[_-]\S*|(?:entry|post|article|story|content|page|title)[_-]+header(?=$|[\s_-]))", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -50,30 +52,60 @@ COMMAS = re.compile("[,،、，﹐﹑]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "score", "chars", "linked", "blocks", "children", "quiet")
+    __slots__ = ("tag", "parent", "score", "chars", "linked", "blocks", "children", "quiet", "named", "weight", "count", "titled")
 
-    def __init__(self, tag: str, parent: Node | None, quiet: bool):
-        self.tag, self.parent, self.quiet = tag, parent, quiet
-        self.score, self.chars, self.linked = 0.0, 0, 0
+    def __init__(self, tag: str, parent: Node | None, quiet: bool, named: bool = False):
+        self.tag, self.parent, self.quiet, self.named = tag, parent, quiet, named
+        self.score, self.chars, self.linked, self.weight, self.count, self.titled = 0.0, 0, 0, 0.0, 0, False
         self.children: list[Node] = []
         self.blocks: list[int] = []
 
 
-def _quiet(tag: str, rest: str, depth: int) -> bool:
-    """Whether an element is named as something beside the article."""
+def _quiet(tag: str, rest: str) -> tuple[bool, bool]:
+    """Whether an element is never part of the article, and whether its class or
+    id names something beside the article."""
     if tag in SKIPPED:
-        return True
+        return True, False
     if not rest or tag in ("html", "body", "main", "article"):
-        return False
+        return False, False
+    named = False
     for name, *values in ATTRIBUTE.findall(rest):
         name, value = name.lower(), next((v for v in values if v), "")
-        if name in ("class", "id") and ASIDE.search(value):
-            return True
+        if name in ("class", "id") and ASIDE.search(OTHERS.sub("", value)):
+            named = True
         if name == "role" and value.strip().lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, named
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return True, named
+    return False, named
+
+
+def _points(said: str, linked: int) -> float:
+    """What a block of text is worth."""
+    return (1 + len(COMMAS.findall(said)) + min(len(said) / 100, 3)) * (1 - linked / len(said)) if len(said) >= 25 else 0.0
+
+
+def _without_named(root: Node, blocks: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The blocks that are in no named element, but for named elements that hold
+    most of the page's points (of its characters outside links if it has none).
+    One block alone is an advert or a notice, unless the page has no other."""
+    weights = [_points(said, linked) for _, said, linked in blocks]
+    if not any(weights):
+        weights = [float(len(said) - linked) for _, said, linked in blocks]
+    for (at, _, _), weight in zip(blocks, weights):
+        while at:
+            at.weight += weight
+            at.count += 1
+            at = at.parent
+
+    def dropped(at: Node) -> bool:
+        while at:
+            if at.named and (at.weight * 2 <= root.weight or at.count == 1 < root.count):
+                return True
+            at = at.parent
+        return False
+
+    return [b for b in blocks if not dropped(b[0])]
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
@@ -139,7 +171,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
             continue
         block = tag in BLOCKS or tag in SKIPPED
         if not ending:
-            quiet = _quiet(tag, found["rest"], 0)
+            quiet, named = _quiet(tag, found["rest"])
             if not block and not quiet:
                 continue
             if tag in VOID:
@@ -158,7 +190,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
                     pass
             if tag in ("html", "body"):
                 continue
-            node = Node(tag, here, here.quiet or quiet)
+            node = Node(tag, here, here.quiet or quiet, named and block)
             here.children.append(node)
             here = node
         else:
@@ -175,7 +207,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
                     flush()
                     here = probe.parent
     flush()
-    return root, blocks
+    return root, _without_named(root, blocks)
 
 
 def main_text(page: str) -> str:
@@ -186,8 +218,10 @@ def main_text(page: str) -> str:
     grandparent half, further ancestors a third, a quarter and so on. A
     container's points are discounted by its share of linked characters, and
     the best one is the article, together with those of its siblings that score
-    a fifth as much or are paragraphs or headings that are mostly not links. Of
-    all that is kept no block is dropped but for lists of links.
+    a fifth as much, hold the title or are paragraphs or headings that are
+    mostly not links. Elements with a name like "sidebar" are left out unless
+    they hold several blocks with most of the page's points. Of all else that is kept no block is
+    dropped but for lists of links.
     """
     root, blocks = parse(page)
     if not blocks:
@@ -199,10 +233,11 @@ def main_text(page: str) -> str:
         while at:
             at.chars += len(said)
             at.linked += linked
+            at.titled |= node.tag == "h1"
             at = at.parent
+        points = _points(said, linked)
         if len(said) < 25:
             continue
-        points = (1 + len(COMMAS.findall(said)) + min(len(said) / 100, 3)) * (1 - linked / len(said))
         # Text right inside a container counts for that container.
         at, share = (node if node.tag in ("article", "main", "section", "div", "td", "html") else node.parent or node), 1
         while at:
@@ -223,7 +258,7 @@ def main_text(page: str) -> str:
     keep = {id(best)}
     for x in family:
         mostly_text = x.chars and x.linked * 2 <= x.chars
-        if value(x) * 5 >= value(best) or mostly_text and x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "ul", "ol", "table", "figure"):
+        if value(x) * 5 >= value(best) or mostly_text and (x.titled or x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "ul", "ol", "table", "figure")):
             keep.add(id(x))
     if best.parent and best.tag == "article":
         keep |= {id(x) for x in best.parent.children if x.tag == "article" and value(x) * 5 >= value(best)}

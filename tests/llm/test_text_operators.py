@@ -284,6 +284,26 @@ def test_main_text():
     assert html_text.main_text("<p>one<p>two</p>") == "one\n\ntwo"
 
 
+BODY = "<p>First, with some commas, and a length that is long enough.</p><p>Second one, also long enough to count, it is.</p>"
+SAID = "First, with some commas, and a length that is long enough.\n\nSecond one, also long enough to count, it is."
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "layout no-sidebar", "job-search-results", "with-comments", "notice", "wrap--has-header"])
+def test_wrappers_with_such_names_stay(name):
+    assert html_text.main_text(f'<div class="{name}">{BODY}</div><footer>foot</footer>') == SAID
+    side = '<div class="sidebar"><p>Some side text, long enough to count as one.</p></div>'
+    assert html_text.main_text(f'<div id="{name}">{side}<div class="c">{BODY}</div></div>') == SAID
+
+
+def test_own_header_and_inline_names_stay():
+    page = f'<div class="entry-header"><h1>Title</h1></div><div class="text">{BODY}</div><div class="comments"><p>One reader says this, rather long.</p></div>'
+    assert html_text.main_text(page) == html_text.main_text(f"<article>{page}</article>") == f"Title\n\n{SAID}"
+    code = '<p>Code is <span class="c comment">not, as some think, a comment</span> here, in this block.</p>'
+    assert html_text.main_text(f"<div>{BODY}{code}</div>") == f"{SAID}\n\nCode is not, as some think, a comment here, in this block."
+    assert html_text.main_text('<div class="search">a b</div>') == "a b"
+    assert html_text.main_text(f'<div>{BODY}<p>x <span hidden>secret</span> y</p></div>') == f"{SAID}\n\nx\n\ny"
+
+
 def test_pages(spark):
     import html
     import re
