@@ -7,11 +7,11 @@ costs no earlier stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamframe.llm import jaccard_join, line_dedup, packing, quality
-from loamframe.llm.common import fresh, table
+from loamframe.llm.common import fresh, table, whole_text
 from loamframe.llm.queries import QUALITY_KEPT, quality_model, tokenizer_file
 from loamframe.session import scratch_path
 
@@ -24,17 +24,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least key of every class of similar documents.
+    """One row of every class of similar documents: the one with the least key
+    (null ones last), then with the least hash of the text.
 
-    Rows that repeat that key stay once; documents without a key stay, as
-    nothing tells them apart.
+    Rows equal in key and text are one document; rows that share a key only
+    are told apart by their text.
     """
-    least = jaccard_join.similar_classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    # A repeated key can only repeat within its class; one row of it stays.
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    place = fresh(docs, "_first")
-    kept = docs.join(least, "doc_id").withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    parts = [fresh(docs, n) for n in ("_key", "_none", "_hash")]
+    whole = fresh(docs, "_whole")
+    marks = lambda key, mark: [F.coalesce(key, F.lit(0)).alias(parts[0]), key.isNull().alias(parts[1]), mark.alias(parts[2])]
+    first = jaccard_join.first_of_classes(docs).select(*marks(F.col("key"), F.col("text_hash")))
+    # Repeated rows are one before the shuffle, so no key is hot.
+    once = docs.groupBy(*marks(F.col("doc_id").cast("long"), F.xxhash64(whole_text()))).agg(F.first(F.struct(*docs.columns)).alias(whole))
+    return once.join(first, parts).select(f"{whole}.*")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

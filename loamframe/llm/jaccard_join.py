@@ -155,6 +155,21 @@ def similar_classes(documents: DataFrame, similarity: float = 0.8, doc: str = "d
     blocks of bounded size and each pair of blocks is one task's group, which
     returns counts and a spanning forest, never all pairs.
     """
+    rows, per_text = _joined(documents, similarity, doc, text, trees, depth, recall)
+    return rows.select("_doc", "_digest").join(per_text, "_digest").select(F.col("_doc").alias(doc), "class_id", "n_links")
+
+
+def first_of_classes(documents: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text: str = "text", trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
+    """(key, text_hash) of one row of every class of ``similar_classes``: the
+    least key, null ones last, then the least ``xxhash64`` of the text."""
+    rows, per_text = _joined(documents, similarity, doc, text, trees, depth, recall)
+    marked = rows.select("_doc", "_digest", F.xxhash64("_text").alias("_hash")).join(per_text, "_digest")
+    first = F.min(F.struct(F.col("_doc").isNull(), "_doc", "_hash")).alias("first")
+    return marked.groupBy("label").agg(first).select(F.col("first._doc").alias("key"), F.col("first._hash").alias("text_hash"))
+
+
+def _joined(documents: DataFrame, similarity: float, doc: str, text: str, trees: int, depth: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """All rows with their digest, and what ``linked_texts`` gives for them."""
     spark = documents.sparkSession
     prefix = prefix_depth(similarity, trees, depth, recall)
     path = scratch_path(spark, "signed")
@@ -162,14 +177,13 @@ def similar_classes(documents: DataFrame, similarity: float = 0.8, doc: str = "d
     signed.withColumn("_row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     rows = spark.read.parquet(path)
     texts = rows.select(F.col("_row").alias("rep"), F.col("_text").alias("text"))
-    per_text = linked_texts(rows, lambda members: texts, similarity)
-    return rows.select("_doc", "_digest").join(per_text, "_digest").select(F.col("_doc").alias(doc), "class_id", "n_links")
+    return rows, linked_texts(rows, lambda members: texts, similarity)
 
 
 def linked_texts(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
-    """(_digest, class_id, n_links) of every digest in ``rows`` (_row, _doc,
+    """(_digest, label, class_id, n_links) of every digest in ``rows`` (_row, _doc,
     _digest, _size, _nodes), links as in ``similar_classes`` between texts that
-    share a node.
+    share a node; ``label`` is the same throughout a class.
 
     ``texts`` gives (rep, text) for at least the rows named as ``rep`` in what
     it is called with.
@@ -218,4 +232,4 @@ def linked_texts(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], simil
     linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
     grouped = classes.select("rep", "copies", "first_doc", "_digest").join(linked, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     firsts = grouped.groupBy("label").agg(F.min("first_doc").alias("class_id"))
-    return grouped.join(firsts, "label").select("_digest", "class_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return grouped.join(firsts, "label").select("_digest", "label", "class_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

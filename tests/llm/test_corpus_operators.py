@@ -196,6 +196,16 @@ def test_pipeline_against_its_stages_by_hand(spark):
     assert {r["doc_id"]: r["n"] for r in found} == {d: len(bpe.encode(t)) // 4 + 1 for d, t in clean.items()}
 
 
+def test_near_copies_tell_rows_of_a_key_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (3, b + " end"), (None, c), (None, c), (None, c + " end"), (None, a + " end"), (None, "alone here"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    ends = [r for r in kept if r[1] and r[1].startswith("c0")]
+    assert len(ends) == 1 and ends[0] in rows
+    assert sorted(set(kept) - set(ends), key=repr) == sorted([(5, a), (3, b + " end"), (None, "alone here"), (None, None)], key=repr) and len(kept) == 5
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_odd_documents(spark, odd_documents, no_documents, name, stage):
     out = stage(spark, odd_documents, SF)
