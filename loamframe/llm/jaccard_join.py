@@ -1,9 +1,9 @@
-"""Jaccard join of texts on word shingles by a MinHash LSH forest.
+"""Jaccard join of texts on word shingles by MinHash bands.
 
-Every text has a signature per tree; a tree's signatures are a sorted prefix
-trie. Prefixes are shortened from the full depth until texts at the threshold
-meet in some tree with the wanted probability; the texts below such a node are
-verified exactly on their shingle sets.
+Every text has a signature per tree, cut to the longest prefix with which texts
+at the threshold meet in some tree with the wanted probability. That depth
+follows from the threshold alone, so a prefix is a band, and no trie is built;
+the texts of a band are verified exactly on their shingle sets.
 """
 
 from __future__ import annotations
