@@ -8,8 +8,6 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -30,6 +28,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck():
-    from compare import connect
+    from compare import SF, connect
 
     return connect(SF)

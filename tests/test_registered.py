@@ -1,8 +1,7 @@
 """Every registered query against its check SQL, and the shape of its plan."""
 
 import pytest
-from compare import difference
-from conftest import SF
+from compare import SF, difference
 
 from __spark_entry__ import entry
 from loamframe.plans import CHECKS, QUERIES
