@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, fingerprint, html_text, jaccard_join, line_dedup, packing, quality, sentencepiece_codec, suffix_tree, topk
+from loamframe.llm import chat, fingerprint, html_text, jaccard_join, line_dedup, manifest, packing, quality, sentencepiece_codec, suffix_tree, topk
 from loamframe.llm.common import table
 
 QUERIES: dict = {}
@@ -189,3 +189,51 @@ def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_document_fingerprints")
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.linked_fingerprints(table(spark, sf_dir, "documents"))
+
+
+_FOLD_SQL = "sha256(CASE WHEN {at} % 2 = 1 THEN s.hash ELSE '' END || {own} || CASE WHEN {at} % 2 = 0 THEN coalesce(s.hash, '') ELSE '' END)"
+
+
+def _climb_sql(name: str, start: str, tree: str, levels: str) -> str:
+    """A leaf's way up its tree, one level at a time."""
+    return f"""{name} AS (
+    {start}
+    UNION ALL SELECT c.id, c.tree, c.pos // 2, c.level + 1, {_FOLD_SQL.format(at='c.pos', own='c.folded')}, c.proof || coalesce(s.hash, '')
+    FROM {name} AS c JOIN {levels} AS o ON o.{tree} IS NOT DISTINCT FROM c.tree AND o.level = c.level AND o.pos = c.pos AND o.n > 1
+    LEFT JOIN {levels} AS s ON s.{tree} IS NOT DISTINCT FROM c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1))"""
+
+
+def _levels_sql(name: str, start: str, tree: str) -> str:
+    return f"""{name} AS (
+    {start}
+    UNION ALL SELECT {tree}, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM {name} WHERE n > 1 GROUP BY {tree}, level, pos // 2)"""
+
+
+_FIELD_SQL = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF_SQL = "sha256(" + " || ".join(_FIELD_SQL.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+MANIFEST_SQL = f"""
+WITH RECURSIVE crcs AS (SELECT range::BIGINT AS b, range::BIGINT AS c, 0 AS k FROM range(256)
+    UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crcs WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM crcs WHERE k = 8),
+d AS (
+    SELECT row_number() OVER () AS id, doc_id, lang, {_LEAF_SQL.format(n='n_chars')} AS leaf, {_LEAF_SQL.format(n='(n_chars + 1)')} AS changed,
+        coalesce(xor(list_reduce(list_prepend(4294967295, [ascii(x) FOR x IN string_split(doc_id::VARCHAR, '')]),
+            lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 7 = 0, false) AS tampered
+    FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+{_levels_sql('low', 'SELECT lang, 0 AS level, pos, leaf AS hash, n FROM placed', 'lang')},
+subroots AS (SELECT lang, hash, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+{_levels_sql('high', 'SELECT 0 AS top, 0 AS level, pos, hash, n FROM subroots', 'top')},
+{_climb_sql('way', "SELECT id, lang AS tree, pos, 0 AS level, CASE WHEN tampered THEN changed ELSE leaf END AS folded, '' AS proof FROM placed", 'lang', 'low')},
+arrived AS (SELECT id, tree, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM way GROUP BY id, tree),
+{_climb_sql('rest', "SELECT a.id, 0 AS tree, s.pos, 0 AS level, a.folded, a.proof FROM arrived AS a JOIN subroots AS s ON s.lang IS NOT DISTINCT FROM a.tree", 'top', 'high')},
+ended AS (SELECT id, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM rest GROUP BY id),
+top AS (SELECT hash AS root FROM high WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.hash AS subroot, root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = root AS verified
+FROM placed AS p JOIN ended AS e USING (id) JOIN subroots AS s ON s.lang IS NOT DISTINCT FROM p.lang, top
+"""
+
+
+@query("op13_merkle_manifest", MANIFEST_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.document_manifest(table(spark, sf_dir, "documents"))
