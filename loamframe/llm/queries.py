@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, fingerprint, html_text, jaccard_join, line_dedup, manifest, packing, quality, sentencepiece_codec, suffix_tree, topk
+from loamframe.llm import chat, fingerprint, html_text, jaccard_join, line_dedup, manifest, packing, quality, sentencepiece_codec, suffix_tree, token_files, topk
 from loamframe.llm.common import table
+from loamframe.session import scratch_path
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -237,3 +238,10 @@ FROM placed AS p JOIN ended AS e USING (id) JOIN subroots AS s ON s.lang IS NOT
 @query("op13_merkle_manifest", MANIFEST_SQL)
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.document_manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_files")
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 2, path)
+    return token_files.read_token_files(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
