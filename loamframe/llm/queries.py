@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamframe.llm import chat, fingerprint, html_text, jaccard_join, line_dedup, manifest, packing, quality, sentencepiece_codec, suffix_tree, token_files, topk
+from loamframe.llm import chat, fingerprint, hard_negatives, html_text, jaccard_join, line_dedup, manifest, packing, quality, sentencepiece_codec, suffix_tree, token_files, topk
 from loamframe.llm.common import table
 from loamframe.session import scratch_path
 
@@ -245,3 +245,29 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 2, path)
     return token_files.read_token_files(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, min({label: CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END, v: [floor(256 * x::DOUBLE) FOR x IN embedding]}) AS s FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    GROUP BY vec_id),
+p AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.s.label = b.s.label AS same, list_inner_product(a.s.v, b.s.v)::BIGINT AS score
+    FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+best AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+r AS (
+    SELECT b.*, p.vec_id AS negative_id, p.score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY p.score DESC, p.vec_id)::INTEGER AS rank
+    FROM best AS b JOIN p USING (anchor_id)
+    WHERE NOT p.same AND 80 * positive_score <= 100 * p.score AND p.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.labelled_vectors(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
