@@ -7,6 +7,9 @@ the even-odd rule.
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,27 +72,28 @@ def valid_polygon(rings: Column) -> Column:
     return F.coalesce((F.size(rings) > 0) & F.forall(rings, good), F.lit(False))
 
 
-def with_shape(df: DataFrame, wkt: str, polygons_only: bool = False) -> DataFrame:
-    """Rows with a usable outline: adds ``_kind`` and ``_shape`` (rings, box, edges).
-
-    Parsed once per row; malformed text and invalid polygons drop out.
-    """
-    text = F.col(wkt)
-    polygon = wkt_kind(text).contains("POLYGON")
+# What a parsed outline adds to its row; a spatial table has these already.
+SHAPE_COLUMNS = ["_kind", "_rings", "_xmin", "_ymin", "_xmax", "_ymax"]
 
-    def usable(rings: Column) -> Column:
-        valid = valid_polygon(rings)
-        return rings.isNotNull() & (polygon & valid if polygons_only else (~polygon | valid))
 
-    def shape(rings: Column) -> Column:
-        return F.struct(rings.alias("rings"), bounding_box(rings).alias("box"), edges(rings).alias("edges"))
+def with_shape(df: DataFrame, wkt: str, polygons_only: bool = False) -> DataFrame:
+    """Rows with a usable outline: adds ``SHAPE_COLUMNS``.
 
-    good = F.filter(F.array(parse_rings(text)), usable)
-    return (
-        df.select("*", F.explode_outer(F.transform(good, shape)).alias("_shape"))
-        .where(F.col("_shape").isNotNull())
-        .withColumn("_kind", wkt_kind(text))
-    )
+    Parsed once per row, or not at all where the columns are there (a table of
+    ``spatial_table.write_spatial_table``); malformed text and invalid polygons
+    drop out.
+    """
+    if not set(SHAPE_COLUMNS) <= set(df.columns):
+        text = F.col(wkt)
+        polygon = wkt_kind(text).contains("POLYGON")
+        usable = lambda rings: rings.isNotNull() & (~polygon | valid_polygon(rings))
+        shape = lambda rings: F.struct(rings.alias("_rings"), bounding_box(rings).alias("_box"))
+        good = F.transform(F.filter(F.array(parse_rings(text)), usable), shape)
+        columns = df.columns
+        df = df.select("*", F.explode(good).alias("_shape")).select(
+            *columns, wkt_kind(text).alias("_kind"), "_shape._rings", *[F.col(f"_shape._box.{c[1:]}").alias(c) for c in SHAPE_COLUMNS[2:]]
+        )
+    return df.where(F.col("_kind").contains("POLYGON")) if polygons_only else df
 
 
 def bounding_box(rings: Column) -> Column:
@@ -163,12 +167,31 @@ def polygon_meets_box(edge_list: Column, xmin: float, ymin: float, xmax: float,
     return F.exists(edge_list, edge_meets) | inside_even_odd(edge_list, *corners[0])
 
 
+def read_outline(wkt: str) -> tuple[str, list[list[tuple[float, float]]]]:
+    """(kind in upper case, coordinate lists) of one text, in plain Python."""
+    kind = re.match(r"\s*([A-Za-z]+)", wkt)
+    lists = [[tuple(float(v) for v in p.split()[:2]) for p in part.split(",")] for part in re.findall(r"\(([^()]+)\)", wkt)]
+    if not kind or not lists or any(len(p) != 2 for ring in lists for p in ring):
+        raise ValueError(f"not an outline: {wkt[:80]!r}")
+    return kind[1].upper(), lists
+
+
+POINTS, EDGES = "array<struct<x:double,y:double>>", "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+
+
 def constant_shape(wkt: str) -> Column:
-    """The shape of a given text, to be compared with a column of shapes:
-    struct(kind, points, edges), worked out once by constant folding."""
-    rings = parse_rings(F.lit(wkt))
-    kind = wkt_kind(F.lit(wkt))
-    return F.struct(kind.alias("kind"), F.flatten(rings).alias("points"), _lines(kind, edges(rings)).alias("edges"))
+    """The shape of a given text, to be compared with a column of shapes, as a
+    literal struct(kind, dim, points, edges, ends); ``ends`` are those of open lines."""
+    kind, rings = read_outline(wkt)
+    dim = 2 if "POLYGON" in kind else 1 if "LINE" in kind else 0
+    point = lambda p: {"x": p[0], "y": p[1]}
+    edge = lambda p, q: {"x1": p[0], "y1": p[1], "x2": q[0], "y2": q[1]}
+    said = {
+        "kind": kind, "dim": dim, "points": [point(p) for r in rings for p in r],
+        "edges": [edge(p, q) for r in rings for p, q in zip(r, r[1:])] if dim else [],
+        "ends": [point(p) for r in rings if r[0] != r[-1] for p in (r[0], r[-1])] if dim == 1 else [],
+    }
+    return F.from_json(F.lit(json.dumps(said)), f"struct<kind:string,dim:int,points:{POINTS},edges:{EDGES},ends:{POINTS}>")
 
 
 def _lines(kind: Column, edge_list: Column) -> Column:
@@ -205,16 +228,12 @@ def shapes_meet(kind: Column, rings: Column, edge_list: Column, other: Column) -
     )
 
 
-def segment_distance(edge_list: Column, x: Column, y: Column) -> Column:
-    """Planar distance from a point to the nearest edge."""
-
-    def distance(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        along = F.coalesce(F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy), F.lit(0.0))
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-        return F.hypot(x - e["x1"] - t * dx, y - e["y1"] - t * dy)
-
-    return F.array_min(F.transform(edge_list, distance))
+def edge_distance(e: Column, x: Column, y: Column) -> Column:
+    """Planar distance from a point to an edge."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    along = F.coalesce(F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
+    return F.hypot(x - e["x1"] - t * dx, y - e["y1"] - t * dy)
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float) -> Column:

@@ -1,59 +1,18 @@
-"""Grid cells that turn spatial joins into equi-joins.
-
-Shapes use planar cells whose size follows the shape (``cover``): each shape
-lies in one to four cells of its own level, whatever its size, so neither huge
-nor tiny shapes multiply. Distance searches use latitude bands cut into cells
-of about the search radius (``band`` ... ``search_cells``).
-"""
+"""Latitude bands cut into cells of about a search radius, which turn distance
+searches into equi-joins (``band`` ... ``search_cells``)."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loamframe.constants import EARTH_RADIUS_KM
 
-MAX_LEVEL = 12
 KM_PER_DEGREE = math.pi * EARTH_RADIUS_KM / 180.0
 
 
-def _size(level: Column) -> Column:
-    return 360.0 / F.pow(4.0, level)
-
-
-def _cell(value: Column, level: Column) -> Column:
-    return F.floor((value + 180.0) / _size(level))
-
-
-def shape_level(box: Column) -> Column:
-    """Level of the largest grid whose cells are at least as large as the shape."""
-    extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"], F.lit(1e-9))
-    return F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.floor(F.log(4.0, 360.0 / extent)))).cast("int")
-
-
-def cover(shapes: DataFrame, box: str) -> DataFrame:
-    """One row per shape and cell: adds ``level``, ``cx``, ``cy``."""
-    b = F.col(box)
-    return (
-        shapes.withColumn("level", shape_level(b))
-        .withColumn("cx", F.explode(F.sequence(_cell(b["xmin"], F.col("level")), _cell(b["xmax"], F.col("level")))))
-        .withColumn("cy", F.explode(F.sequence(_cell(b["ymin"], F.col("level")), _cell(b["ymax"], F.col("level")))))
-    )
-
-
-def locate(points: DataFrame, x: str, y: str, shapes: DataFrame, box: str) -> DataFrame:
-    """Cells of points on the levels the shapes use (a scalar: at most thirteen)."""
-    levels = shapes.select(F.collect_set(shape_level(F.col(box))).alias("levels")).scalar()
-    return (
-        points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .withColumn("level", F.explode(levels))
-        .withColumn("cx", _cell(F.col(x), F.col("level")))
-        .withColumn("cy", _cell(F.col(y), F.col("level")))
-    )
-
-
 def band(lat: Column, radius_km: Column) -> Column:
     return F.floor((lat + 90.0) * KM_PER_DEGREE / radius_km)
 

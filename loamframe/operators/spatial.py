@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamframe.constants import EARTH_RADIUS_KM, GEOGRAPHIC_COLUMNS, GEOMETRY_COLUMNS, PROJECTED_COLUMNS
 from loamframe.functions import geometry as g
-from loamframe.functions import grid, relations
+from loamframe.functions import grid, topology
+from loamframe.operators import cells
 from loamframe.operators.aggregates import top_k_units
 
 Box = tuple[float, float, float, float]
@@ -23,30 +24,13 @@ def box_wkt(box: Mapping[str, float] | Box) -> str:
     return f"POLYGON(({x0} {y0}, {x1} {y0}, {x1} {y1}, {x0} {y1}, {x0} {y0}))"
 
 
-def _polygons(df: DataFrame, wkt: str, margin: float = 0.0) -> DataFrame:
-    """Valid polygons with ``_rings``, ``_edges`` and (widened) box ``_box``."""
-    shaped = g.with_shape(df, wkt, polygons_only=True).drop("_kind")
-    b = F.col("_shape.box")
-    box = F.struct(
-        (b["xmin"] - margin).alias("xmin"), (b["ymin"] - margin).alias("ymin"),
-        (b["xmax"] + margin).alias("xmax"), (b["ymax"] + margin).alias("ymax"),
-    )
-    return shaped.select("*", F.col("_shape.rings").alias("_rings"), F.col("_shape.edges").alias("_edges"), (box if margin else b).alias("_box")).drop("_shape")
-
+def _in_box(x0: float, y0: float, x1: float, y1: float) -> Column:
+    """Boxes that share a point: plain columns, so a spatial table skips row groups."""
+    return (F.col("_xmin") <= x1) & (F.col("_xmax") >= x0) & (F.col("_ymin") <= y1) & (F.col("_ymax") >= y0)
 
-def _candidates(points: DataFrame, polys: DataFrame, lon: str, lat: str, keep: Sequence[str]) -> DataFrame:
-    """Pairs of a point and a polygon whose box holds it, by an equi-join on cells.
 
-    Each pair appears once, since a point lies in one cell per level.
-    """
-    covered = grid.cover(polys.select(*keep, "_box", "_edges"), "_box")
-    located = grid.locate(points, lon, lat, polys, "_box")
-    b, x, y = F.col("_box"), F.col(lon), F.col(lat)
-    return (
-        located.join(covered, ["level", "cx", "cy"])
-        .where(x.between(b["xmin"], b["xmax"]) & y.between(b["ymin"], b["ymax"]))
-        .drop("level", "cx", "cy", "_box")
-    )
+def _meets_box(x0: float, y0: float, x1: float, y1: float) -> Column:
+    return topology.let(g.edges(F.col("_rings")), lambda e: g.polygon_meets_box(e, x0, y0, x1, y1))
 
 
 def point_in_polygon_join(
@@ -55,10 +39,13 @@ def point_in_polygon_join(
     """Points with the ``keep`` columns of each polygon that holds them.
 
     ``boundary=False`` is "contains" (points on the outline do not count),
-    ``boundary=True`` is "intersects".
+    ``boundary=True`` is "intersects". ``polys`` has outlines as text or comes
+    from a spatial table. Points meet the cells of polygons, with a cell's edges
+    only; points without coordinates drop out.
     """
-    pairs = _candidates(points, _polygons(polys, wkt), lon, lat, keep)
-    return pairs.where(g.point_in_polygon(F.col("_edges"), F.col(lon), F.col(lat), boundary)).drop("_edges")
+    pairs = cells.look_up(points, cells.polygon_cells(g.with_shape(polys, wkt, polygons_only=True), keep), lon, lat)
+    inside, touching = cells.inside(lon, lat), g.on_boundary(F.col("_edges"), F.col(lon), F.col(lat))
+    return pairs.where((inside | touching) if boundary else (inside & ~touching)).drop(*cells.CELL, "_corner", "_edges")
 
 
 def components_at_points(
@@ -79,11 +66,8 @@ def components_at_points(
 
 def polygons_in_bbox(polys: DataFrame, box: Box, mapunit: DataFrame | None = None, wkt: str = "wkt") -> DataFrame:
     """Polygons that share a point with a box, with map-unit attributes."""
-    x0, y0, x1, y1 = box
-    b = F.col("_box")
-    near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
-    found = _polygons(polys, wkt).where(near).where(g.polygon_meets_box(F.col("_edges"), x0, y0, x1, y1))
-    found = found.drop("_rings", "_edges", "_box")
+    box = tuple(float(v) for v in box)
+    found = g.with_shape(polys, wkt, polygons_only=True).where(_in_box(*box)).where(_meets_box(*box)).drop(*g.SHAPE_COLUMNS)
     if mapunit is None:
         return found
     return found.join(mapunit.select("mukey", *[c for c in ("musym", "muname") if c not in polys.columns]), "mukey")
@@ -91,19 +75,13 @@ def polygons_in_bbox(polys: DataFrame, box: Box, mapunit: DataFrame | None = Non
 
 def distinct_units_by_region(polys: DataFrame, regions: Mapping[str, Box], mapunit: DataFrame, wkt: str = "wkt") -> DataFrame:
     """(region, polygonkey, mukey, musym) of every polygon in each named box."""
-    shaped = _polygons(polys, wkt)
-    b = F.col("_box")
-
-    def label(name: str, box: Box) -> Column:
-        x0, y0, x1, y1 = box
-        near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
-        return F.when(near & g.polygon_meets_box(F.col("_edges"), x0, y0, x1, y1), F.lit(name))
-
-    # One pass over the polygons for all regions.
-    hits = F.array_compact(F.array(*[label(n, box) for n, box in regions.items()]))
+    boxes = {name: tuple(float(v) for v in box) for name, box in regions.items()}
+    # One pass over the polygons for all regions; a polygon in none is not read further.
+    near = reduce(lambda a, b: a | b, [_in_box(*box) for box in boxes.values()])
+    hits = F.array_compact(F.array(*[F.when(_in_box(*box) & _meets_box(*box), F.lit(name)) for name, box in boxes.items()]))
     return (
-        shaped.select("polygonkey", "mukey", hits.alias("_hits"))
-        .select("polygonkey", "mukey", F.explode("_hits").alias("region"))
+        g.with_shape(polys, wkt, polygons_only=True).where(near)
+        .select("polygonkey", "mukey", F.explode(hits).alias("region"))
         .join(mapunit.select("mukey", "musym"), "mukey")
     )
 
@@ -111,34 +89,42 @@ def distinct_units_by_region(polys: DataFrame, regions: Mapping[str, Box], mapun
 def spatial_filter(shapes: DataFrame, query: str | Mapping[str, float] | Box, relation: str = "intersects", wkt: str = "wkt") -> DataFrame:
     """Shapes for which ``shape.relation(query)`` holds.
 
-    Unknown relations mean intersects. A box test on columns comes first; then
-    "intersects" is a column expression too, the other relations an Arrow UDF
-    over the shapes that pass.
+    Unknown relations mean intersects. A box test on plain columns comes first,
+    then the test for a common point, then the relation; all are column
+    expressions on the shape's own row.
     """
+    relation = relation if relation in topology.RELATIONS else "intersects"
+    found, target, box = _meeting(shapes, query, wkt)
+    if relation == "contains":
+        found = found.where((F.col("_xmin") <= box[0]) & (F.col("_xmax") >= box[2]) & (F.col("_ymin") <= box[1]) & (F.col("_ymax") >= box[3]))
+    elif relation == "within":
+        found = found.where((F.col("_xmin") >= box[0]) & (F.col("_xmax") <= box[2]) & (F.col("_ymin") >= box[1]) & (F.col("_ymax") <= box[3]))
+    if relation != "intersects":
+        found = found.where(_facts(target, lambda f: topology.holds(f, relation)))
+    return found.drop(*g.SHAPE_COLUMNS)
+
+
+def spatial_relations(shapes: DataFrame, query: str | Mapping[str, float] | Box, wkt: str = "wkt") -> DataFrame:
+    """Shapes that share a point with ``query``, with all ``relations`` that hold
+    (array<string>, in the order of ``topology.RELATIONS``), worked out together."""
+    found, target, _ = _meeting(shapes, query, wkt)
+    names = lambda f: F.array_compact(F.array(*[F.when(topology.holds(f, r), F.lit(r)) for r in topology.RELATIONS]))
+    return found.withColumn("relations", _facts(target, names)).drop(*g.SHAPE_COLUMNS)
+
+
+def _meeting(shapes: DataFrame, query: str | Mapping[str, float] | Box, wkt: str) -> tuple[DataFrame, Column, Box]:
+    """(shapes that share a point with the query, the query as a literal, its box)."""
     text = query if isinstance(query, str) else box_wkt(query)
-    relation = relation if relation in relations.RELATIONS else "intersects"
-    target = relations.parse(text)
-    xs = [p[0] for c in target[1] for p in c]
-    ys = [p[1] for c in target[1] for p in c]
-    x0, y0, x1, y1 = float(min(xs)), float(min(ys)), float(max(xs)), float(max(ys))
+    corners = [p for ring in g.read_outline(text)[1] for p in ring]
+    xs, ys = [p[0] for p in corners], [p[1] for p in corners]
+    box, target = (min(xs), min(ys), max(xs), max(ys)), g.constant_shape(text)
+    kind, rings = F.col("_kind"), F.col("_rings")
+    meets = topology.let(g.edges(rings), lambda e: g.shapes_meet(kind, rings, e, target))
+    return g.with_shape(shapes, wkt).where(_in_box(*box)).where(meets), target, box
 
-    @F.pandas_udf("boolean")
-    def exact(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: relations.relate(relations.parse(t), target, relation)).astype(bool)
 
-    b = F.col("_shape.box")
-    if relation == "contains":
-        near = (b["xmin"] <= x0) & (b["xmax"] >= x1) & (b["ymin"] <= y0) & (b["ymax"] >= y1)
-    elif relation == "within":
-        near = (b["xmin"] >= x0) & (b["xmax"] <= x1) & (b["ymin"] >= y0) & (b["ymax"] <= y1)
-    else:
-        near = (b["xmin"] <= x1) & (b["xmax"] >= x0) & (b["ymin"] <= y1) & (b["ymax"] >= y0)
-    if relation == "intersects":
-        meets = g.shapes_meet(F.col("_kind"), F.col("_shape.rings"), F.col("_shape.edges"), g.constant_shape(text))
-        return g.with_shape(shapes, wkt).where(near).where(meets).drop("_shape", "_kind")
-    # The argument names the box too, which keeps the UDF above the box test.
-    candidate = F.when(b.isNotNull(), F.col(wkt))
-    return g.with_shape(shapes, wkt).where(near).where(exact(candidate)).drop("_shape", "_kind")
+def _facts(target: Column, then: Callable[[Column], Column]) -> Column:
+    return topology.let(topology.shape(F.col("_kind"), F.col("_rings")), lambda s: topology.let(topology.facts(s, target), then))
 
 
 # Default columns of each spatial table and whether map-unit names are joined.
@@ -205,27 +191,30 @@ def list_survey_areas(catalog: DataFrame, table: str = "sacatalog") -> DataFrame
 
 def polygon_area_length(polys: DataFrame, wkt: str = "wkt") -> DataFrame:
     """Area (m2, equal-area) and perimeter (m) per polygon."""
-    shaped = _polygons(polys, wkt)
-    return shaped.withColumns(
-        {"shape_area": g.polygon_area_m2(F.col("_rings")), "shape_length": g.perimeter_m(F.col("_edges"))}
-    ).drop("_rings", "_edges", "_box")
+    rings = F.col("_rings")
+    return g.with_shape(polys, wkt, polygons_only=True).withColumns(
+        {"shape_area": g.polygon_area_m2(rings), "shape_length": g.perimeter_m(g.edges(rings))}
+    ).drop(*g.SHAPE_COLUMNS)
 
 
 def polys_within_distance(
     points: DataFrame, polys: DataFrame, distance: float, keep: Sequence[str], lon: str = "lon", lat: str = "lat", wkt: str = "wkt"
 ) -> DataFrame:
-    """Polygons that meet a buffer of ``distance`` degrees around each point."""
-    pairs = _candidates(points, _polygons(polys, wkt, distance), lon, lat, keep)
-    x, y, e = F.col(lon), F.col(lat), F.col("_edges")
-    near = g.inside_even_odd(e, x, y) | (g.segment_distance(e, x, y) <= distance)
-    return pairs.where(near).drop("_edges")
+    """Polygons that meet a buffer of ``distance`` degrees around each point.
+
+    A point meets the cell it lies in, which has all edges within the distance
+    of any of its points and no others.
+    """
+    pairs = cells.look_up(points, cells.polygon_cells(g.with_shape(polys, wkt, polygons_only=True), keep, float(distance)), lon, lat)
+    near = F.exists("_edges", lambda e: g.edge_distance(e, F.col(lon), F.col(lat)) <= distance)
+    return pairs.where(cells.inside(lon, lat) | near).drop(*cells.CELL, "_corner", "_edges")
 
 
 def region_area(points: DataFrame, polys: DataFrame, distance: float, by: Sequence[str], key: str = "polygonkey", **names) -> DataFrame:
     """Total equal-area size of the polygons near each point."""
-    sized = polygon_area_length(polys, names.get("wkt", "wkt")).select(key, "shape_area")
-    hits = polys_within_distance(points, polys, distance, [key], **names)
-    return hits.join(sized, key).groupBy(*by).agg(F.count(F.lit(1)).alias("n_polygons"), F.sum("shape_area").alias("total_area"))
+    sized = g.with_shape(polys, names.get("wkt", "wkt"), polygons_only=True).withColumn("shape_area", g.polygon_area_m2(F.col("_rings")))
+    hits = polys_within_distance(points, sized, distance, [key, "shape_area"], **names)
+    return hits.groupBy(*by).agg(F.count(F.lit(1)).alias("n_polygons"), F.sum("shape_area").alias("total_area"))
 
 
 def watershed_units(polys: DataFrame, query: str, k: int = 5, wkt: str = "wkt") -> DataFrame:
@@ -250,7 +239,7 @@ def drop_invalid_geometry(df: DataFrame, column: str | None = None, crs: str | N
         if not column:
             raise ValueError(f"no geometry column among {df.columns}")
         crs = crs or detected
-    shaped = g.with_shape(df, column).drop("_shape")
+    shaped = g.with_shape(df, column).drop(*g.SHAPE_COLUMNS[1:])
     return shaped.withColumns({"geometry": F.col(column), "crs": F.lit(crs or "EPSG:4326")}).withColumnRenamed("_kind", "geometry_type")
 
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loamframe.session import configure
+from loamframe.session import checkpoint_root, configure, scratch_path
+from loamframe.sources.spatial_table import write_spatial_table
 
 
 def _text(expr: str) -> str:
@@ -53,6 +55,7 @@ _WKT = (
     f"WHEN 1 THEN concat('POLYGON (', {_ring(_ELL)}, ')') "
     f"ELSE concat('POLYGON (', {_ring(_SQUARE)}, ', ', {_ring(_HOLE)}, ')') END"
 )
+_LX, _LY = "-102 + CAST(s_suppkey * 13 % 37 AS DOUBLE) / 8", "49.5 + CAST(s_suppkey * 7 % 19 AS DOUBLE) / 8"
 _SX, _SY = "(-120 + n_nationkey % 5 * 20)", "(30 + CAST(floor(n_nationkey / 5) AS INT) * 10)"
 _AREA_WKT = _concat(
     "'POLYGON (('", _text(_SX), "' '", _text(_SY), "', '", _text(f"{_SX} + 20"), "' '", _text(_SY), "', '", _text(f"{_SX} + 20"),
@@ -203,6 +206,14 @@ LOGICAL: dict[str, tuple[str, dict[str, str]]] = {
         "sapolygonkey": "CAST(n_nationkey AS BIGINT)", "areasymbol": "n_name", "areaname": "concat('Area ', n_name)",
         "spatialversion": "CAST(2 AS BIGINT)", "lkey": "CAST(n_nationkey AS BIGINT)", "sapolygongeo": _AREA_WKT,
     }),
+    "muline": ("supplier", {
+        "linekey": "s_suppkey", "mulinegeo": _concat(
+            "'LINESTRING ('", _at(_LX, "0"), "' '", _at(_LY, "0"), "', '", _at(_LX, "CAST(1 + s_suppkey % 3 AS DOUBLE) / 2"), "' '", _at(_LY, "0"), "')'"),
+    }),
+    "mupoint": ("orders", {
+        "pointkey": "o_orderkey", "mupointgeo": _concat(
+            "'POINT ('", _text("-101 + CAST(o_orderkey * 13 % 31 AS DOUBLE) / 8"), "' '", _text("49 + CAST(o_orderkey * 17 % 29 AS DOUBLE) / 8"), "')'"),
+    }),
     "points": ("orders", {
         "point_id": "o_orderkey", "lon": "-120 + CAST(o_orderkey * 13 % 779 AS DOUBLE) / 8",
         "lat": "30 + CAST(o_orderkey * 17 % 423 AS DOUBLE) / 8",
@@ -293,6 +304,9 @@ LOGICAL: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+_WRITTEN: dict[tuple, str] = {}  # spatial tables of this process
+
+
 class Tables:
     """Logical tables by attribute; supplied tables through ``raw``."""
 
@@ -305,6 +319,20 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def shapes(self, name: str, wkt: str = "mupolygongeo") -> DataFrame:
+        """A logical table as a spatial table, written once per session and source.
+
+        The source's files, their sizes and times say whether it is the same.
+        """
+        meta = [F.col(f"_metadata.{c}").cast("string") for c in ("file_path", "file_size", "file_modification_time")]
+        seen = self.raw(LOGICAL[name][0]).select(F.xxhash64(*meta).alias("h")).distinct().agg(F.sum(F.col("h").cast("decimal(20,0)"))).first()[0]
+        key = (self.spark.sparkContext.applicationId, checkpoint_root(self.spark), name, wkt, str(seen))
+        if key not in _WRITTEN:
+            path = scratch_path(self.spark, name)
+            write_spatial_table(getattr(self, name), wkt, path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(_WRITTEN[key])
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in LOGICAL:
             raise AttributeError(name)

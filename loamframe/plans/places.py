@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from loamframe.functions import geometry as g
-from loamframe.functions.relations import RELATIONS
+from loamframe.functions.topology import RELATIONS
 from loamframe.operators import aggregates as agg
 from loamframe.operators import spatial
 from loamframe.plans.registry import query, r6
@@ -56,13 +56,13 @@ def overlap(box) -> str:
 
 @query("E1_contains_point", "points mupolygon", f"WITH {HITS} SELECT point_id, polygonkey, mukey FROM hits WHERE inside AND NOT on_edge")
 def _(t):
-    found = spatial.point_in_polygon_join(t.points, t.mupolygon, ["polygonkey", "mukey"], wkt="mupolygongeo")
+    found = spatial.point_in_polygon_join(t.points, t.shapes("mupolygon"), ["polygonkey", "mukey"], wkt="mupolygongeo")
     return found.select("point_id", "polygonkey", "mukey")
 
 
 @query("E1_intersects_point", "points mupolygon", f"WITH {HITS} SELECT point_id, polygonkey, mukey FROM hits WHERE inside OR on_edge")
 def _(t):
-    found = spatial.point_in_polygon_join(t.points, t.mupolygon, ["polygonkey", "mukey"], boundary=True, wkt="mupolygongeo")
+    found = spatial.point_in_polygon_join(t.points, t.shapes("mupolygon"), ["polygonkey", "mukey"], boundary=True, wkt="mupolygongeo")
     return found.select("point_id", "polygonkey", "mukey")
 
 
@@ -72,7 +72,7 @@ def _(t):
     JOIN component c ON m.mukey = c.mukey JOIN chorizon h ON c.cokey = h.cokey WHERE inside AND NOT on_edge AND c.majcompflag = 'Yes'""",
 )
 def _(t):
-    rows = spatial.components_at_points(t.points, t.mupolygon, t.mapunit, t.component, t.chorizon, wkt="mupolygongeo")
+    rows = spatial.components_at_points(t.points, t.shapes("mupolygon"), t.mapunit, t.component, t.chorizon, wkt="mupolygongeo")
     return rows.select("point_id", "muname", "cokey", "comppct_r", "chkey", "hzdept_r")
 
 
@@ -81,7 +81,7 @@ def _(t):
     f"WITH {rectangles()} SELECT DISTINCT polygonkey, m.musym, m.muname FROM rects r JOIN mapunit m ON r.polygonkey = m.mukey WHERE {_IN_BOX}",
 )
 def _(t):
-    return spatial.polygons_in_bbox(t.mupolygon, BOX, t.mapunit, "mupolygongeo").select("polygonkey", "musym", "muname")
+    return spatial.polygons_in_bbox(t.shapes("mupolygon"), BOX, t.mapunit, "mupolygongeo").select("polygonkey", "musym", "muname")
 
 
 SMALL = (-100.0, 50.0, -98.5, 51.5)
@@ -101,16 +101,65 @@ def _relation_sql() -> str:
     return f"WITH {rectangles()}, {shared} " + " UNION ALL ".join(parts)
 
 
+def _all_relations(shapes, target, key: str, wkt: str, chosen=RELATIONS):
+    found = spatial.spatial_relations(shapes, target, wkt).select(F.explode("relations").alias("relation"), key)
+    return found.where(F.col("relation").isin(*chosen))
+
+
 @query("E4_spatial_filter", "", _relation_sql())
 def _(t):
-    found = [
-        spatial.spatial_filter(t.mupolygon, SMALL, relation, "mupolygongeo").select(F.lit(relation).alias("relation"), "polygonkey")
-        for relation in RELATIONS
-    ]
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out
+    return _all_relations(t.shapes("mupolygon"), SMALL, "polygonkey", "mupolygongeo")
+
+
+def _by_relation(source: str, key: str, tests: dict[str, str]) -> str:
+    return f"WITH {source} " + " UNION ALL ".join(f"SELECT '{r}' AS relation, {key} FROM a WHERE {test}" for r, test in tests.items())
+
+
+_X0, _Y0, _X1, _Y1 = SMALL
+_MET = f"y BETWEEN {_Y0} AND {_Y1} AND xa <= {_X1} AND xb >= {_X0}"
+_THROUGH = f"y > {_Y0} AND y < {_Y1} AND xa < {_X1} AND xb > {_X0}"
+LINES_SQL = _by_relation(
+    "a AS (SELECT linekey, CAST(split_part(split_part(mulinegeo, '(', 2), ' ', 1) AS DOUBLE) AS xa, CAST(split_part(split_part(mulinegeo, ', ', 2), ' ', 1) AS DOUBLE) AS xb, "
+    "CAST(rtrim(split_part(split_part(mulinegeo, ', ', 2), ' ', 2), ')') AS DOUBLE) AS y FROM muline)", "linekey",
+    {
+        "intersects": _MET, "contains": "false", "within": f"{_THROUGH} AND xa >= {_X0} AND xb <= {_X1}", "touches": f"{_MET} AND NOT ({_THROUGH})",
+        "crosses": f"{_THROUGH} AND NOT (xa >= {_X0} AND xb <= {_X1})", "overlaps": "false",
+    },
+)
+
+
+@query("E4_lines", "muline", LINES_SQL)
+def _(t):
+    return _all_relations(t.shapes("muline", "mulinegeo"), SMALL, "linekey", "mulinegeo")
+
+
+_CLOSED = f"x BETWEEN {_X0} AND {_X1} AND y BETWEEN {_Y0} AND {_Y1}"
+_OPEN = f"x > {_X0} AND x < {_X1} AND y > {_Y0} AND y < {_Y1}"
+POINTS_SQL = _by_relation(
+    "a AS (SELECT pointkey, CAST(split_part(split_part(mupointgeo, '(', 2), ' ', 1) AS DOUBLE) AS x, "
+    "CAST(rtrim(split_part(split_part(mupointgeo, '(', 2), ' ', 2), ')') AS DOUBLE) AS y FROM mupoint)", "pointkey",
+    {"intersects": _CLOSED, "within": _OPEN, "touches": f"{_CLOSED} AND NOT ({_OPEN})", "crosses": "false"},
+)
+
+
+@query("E4_points", "mupoint", POINTS_SQL)
+def _(t):
+    return _all_relations(t.shapes("mupoint", "mupointgeo"), SMALL, "pointkey", "mupointgeo", ["intersects", "within", "touches", "crosses"])
+
+
+# A level line off the grid of the outlines: it never runs along an edge.
+RIVER = (-110.0, 50.0625, -95.5, 50.0625)
+RIVER_SQL = _by_relation(
+    f"{rectangles()}, a AS (SELECT polygonkey, sum(CASE WHEN ya < {RIVER[1]} AND yb > {RIVER[1]} THEN greatest(0, least(xb, {RIVER[2]}) - greatest(xa, {RIVER[0]})) ELSE 0 END) AS common, "
+    f"bool_or(ya < {RIVER[1]} AND yb > {RIVER[1]} AND xa <= {RIVER[2]} AND xb >= {RIVER[0]}) AS meet FROM rects GROUP BY polygonkey)", "polygonkey",
+    {"intersects": "meet", "crosses": f"common > 0 AND common < {RIVER[2] - RIVER[0]}", "touches": "meet AND common = 0", "contains": f"common = {RIVER[2] - RIVER[0]}"},
+)
+
+
+@query("E4_line_query", "", RIVER_SQL)
+def _(t):
+    river = "LINESTRING({} {}, {} {})".format(*RIVER)
+    return _all_relations(t.shapes("mupolygon"), river, "polygonkey", "mupolygongeo", ["intersects", "crosses", "touches", "contains"])
 
 
 @query(
@@ -119,7 +168,7 @@ def _(t):
     JOIN mapunit m ON r.polygonkey = m.mukey JOIN legend l ON m.lkey = l.lkey WHERE {_IN_BOX}""",
 )
 def _(t):
-    return spatial.spatial_query(t.mupolygon, {"xmin": BOX[0], "ymin": BOX[1], "xmax": BOX[2], "ymax": BOX[3]}, mapunit=t.mapunit, legend=t.legend)
+    return spatial.spatial_query(t.shapes("mupolygon"), {"xmin": BOX[0], "ymin": BOX[1], "xmax": BOX[2], "ymax": BOX[3]}, mapunit=t.mapunit, legend=t.legend)
 
 
 @query(
@@ -128,7 +177,7 @@ def _(t):
     WHERE polygonkey IN (SELECT polygonkey FROM rects WHERE {_IN_BOX})""",
 )
 def _(t):
-    return spatial.spatial_query(t.mupolygon, BOX, return_type="spatial", what=["polygonkey", "areasymbol"])
+    return spatial.spatial_query(t.shapes("mupolygon"), BOX, return_type="spatial", what=["polygonkey", "areasymbol"])
 
 
 _AREA_TOUCH = "x0 <= -80 AND x0 + 20 >= -110 AND y0 <= 60 AND y0 + 10 >= 40"
@@ -168,7 +217,7 @@ SIZES = f"""ring_sizes AS (SELECT polygonkey, ring_id, abs(sum(radians(x2 - x1)
     f"WITH {EDGES}, {SIZES} SELECT polygonkey, round(shape_area / 1e6, 3) AS area_km2, round(shape_length / 1e3, 4) AS length_km FROM sizes",
 )
 def _(t):
-    sized = spatial.polygon_area_length(t.mupolygon, "mupolygongeo")
+    sized = spatial.polygon_area_length(t.shapes("mupolygon"), "mupolygongeo")
     return sized.select("polygonkey", r6(F.col("shape_area") / 1e6, 3).alias("area_km2"), r6(F.col("shape_length") / 1e3, 4).alias("length_km"))
 
 
@@ -183,7 +232,7 @@ WITHIN = f"""{EDGES},
 
 @query("E10_polys_within_distance", "points mupolygon", f"WITH {WITHIN} SELECT point_id, polygonkey FROM hits WHERE close")
 def _(t):
-    return spatial.polys_within_distance(t.points, t.mupolygon, REACH, ["polygonkey"], wkt="mupolygongeo").select("point_id", "polygonkey")
+    return spatial.polys_within_distance(t.points, t.shapes("mupolygon"), REACH, ["polygonkey"], wkt="mupolygongeo").select("point_id", "polygonkey")
 
 
 @query(
@@ -192,7 +241,7 @@ def _(t):
     WHERE close GROUP BY point_id""",
 )
 def _(t):
-    total = spatial.region_area(t.points, t.mupolygon, REACH, ["point_id"], wkt="mupolygongeo")
+    total = spatial.region_area(t.points, t.shapes("mupolygon"), REACH, ["point_id"], wkt="mupolygongeo")
     return total.select("point_id", "n_polygons", r6(F.col("total_area") / 1e6, 2).alias("area_km2"))
 
 
@@ -220,7 +269,7 @@ _SHED = f"({_TOUCH.format(-115, 35, -95, 45)} OR {_TOUCH.format(-115, 45, -105,
     f"""WITH {rectangles()} SELECT musym, count(DISTINCT polygonkey) AS n FROM rects WHERE {_SHED} GROUP BY musym ORDER BY n DESC, musym LIMIT 5""",
 )
 def _(t):
-    return spatial.watershed_units(t.mupolygon, WATERSHED, 5, "mupolygongeo")
+    return spatial.watershed_units(t.shapes("mupolygon"), WATERSHED, 5, "mupolygongeo")
 
 
 REGIONS = {"west": (-120.0, 30.0, -100.0, 50.0), "middle": (-105.0, 35.0, -85.0, 55.0), "north": (-120.0, 60.0, -30.0, 80.0)}
@@ -235,4 +284,4 @@ REGIONS = {"west": (-120.0, 30.0, -100.0, 50.0), "middle": (-105.0, 35.0, -85.0,
     ),
 )
 def _(t):
-    return agg.count_regions(spatial.distinct_units_by_region(t.mupolygon, REGIONS, t.mapunit, "mupolygongeo"))
+    return agg.count_regions(spatial.distinct_units_by_region(t.shapes("mupolygon"), REGIONS, t.mapunit, "mupolygongeo"))

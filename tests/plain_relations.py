@@ -1,9 +1,4 @@
-"""Exact relations between one query shape and batches of shapes.
-
-Each boundary is cut where it meets the other shape; where the pieces lie
-(inside, outside, or along the other boundary) decides every relation. Runs as
-a small Arrow UDF on the few shapes whose boxes pass the column filter.
-"""
+"""A plain numpy version of the relations between shapes, for comparison in tests."""
 
 from __future__ import annotations
 

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamframe.functions import geometry as g
-from loamframe.functions.relations import RELATIONS, parse, relate
-from loamframe.operators import spatial
+from loamframe.functions.topology import RELATIONS
+from plain_relations import parse, relate
+from loamframe.operators import cells, spatial
+from loamframe.sources import spatial_table
 
 SQUARE = "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0))"
 HOLED = "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 1 3, 3 3, 3 1, 1 1))"
@@ -32,7 +34,7 @@ def test_outlines(spark, text, kind):
 
 
 def test_long_outline(spark):
-    n = 20_000
+    n = 4_000
     ring = [(math.cos(2 * math.pi * i / n), math.sin(2 * math.pi * i / n)) for i in range(n)]
     wkt = "POLYGON((" + ", ".join(f"{x} {y}" for x, y in ring + ring[:1]) + "))"
     polys = spark.createDataFrame([(1, wkt)], "polygonkey int, wkt string")
@@ -156,9 +158,7 @@ def test_two_stations_ascending(spark):
     assert len(rows) == 2 and rows[0]["distance_km"] <= rows[1]["distance_km"]
 
 
-def test_column_form_of_intersects_agrees(spark):
-    import random
-
+def test_relations_agree_with_a_plain_version(spark):
     rng = random.Random(8)
     at = lambda: f"{rng.randrange(7)} {rng.randrange(7)}"
 
@@ -176,5 +176,87 @@ def test_column_form_of_intersects_agrees(spark):
     shapes = [(n, shape()) for n in range(60)]
     frame = spark.createDataFrame(shapes, "n long, wkt string").coalesce(1)
     for query in ["POLYGON((1 1, 5 1, 5 5, 1 5, 1 1), (2 2, 4 2, 4 4, 2 4, 2 2))", "LINESTRING(0 0, 3 3, 6 0)", "POINT(3 3)", "MULTIPOINT(1 2, 5 5)"]:
-        found = {r["n"] for r in spatial.spatial_filter(frame, query).collect()}
-        assert found == {n for n, text in shapes if relate(parse(text), parse(query), "intersects")}, query
+        found = {(r["n"], x) for r in spatial.spatial_relations(frame, query).collect() for x in r["relations"]}
+        assert found == {(n, x) for n, text in shapes for x in RELATIONS if relate(parse(text), parse(query), x)}, query
+
+
+def _star(rng, x, y, n, size):
+    points = [(x + size * (0.3 + rng.random()) * math.cos(2 * math.pi * i / n), y + size * (0.3 + rng.random()) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    return "POLYGON((" + ", ".join(f"{a!r} {b!r}" for a, b in points + points[:1]) + "))"
+
+
+def _holds(wkt, x, y):
+    """Even-odd rule over all rings, in plain Python."""
+    odd = False
+    for ring in g.read_outline(wkt)[1]:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                odd = not odd
+    return odd
+
+
+def _distance(wkt, x, y):
+    best = math.inf
+    for ring in g.read_outline(wkt)[1]:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            d = (x2 - x1) ** 2 + (y2 - y1) ** 2
+            t = max(0, min(1, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / d)) if d else 0
+            best = min(best, math.hypot(x - x1 - t * (x2 - x1), y - y1 - t * (y2 - y1)))
+    return best
+
+
+def test_cells_of_long_outlines_agree_with_brute_force(spark):
+    rng = random.Random(4)
+    shapes = [(0, _star(rng, 0, 0, 700, 60)), (1, _star(rng, 10, 20, 5, 100)), (2, _star(rng, 40, 40, 300, 0.5)), (3, HOLED), (4, "POLYGON((-170 -80, 170 -80, 170 80, -170 80, -170 -80))")]
+    points = [(i, rng.uniform(-120, 120), rng.uniform(-80, 80)) for i in range(600)] + [(600 + i, 40 + rng.uniform(-1, 1), 40 + rng.uniform(-1, 1)) for i in range(300)]
+    points += [(900 + i, float(x), float(y)) for i, (x, y) in enumerate(itertools.product(range(-1, 6), range(-1, 6)))]
+    polys = spark.createDataFrame(shapes, "key int, wkt string")
+    where = spark.createDataFrame(points, "point_id int, lon double, lat double")
+    made = cells.polygon_cells(g.with_shape(polys, "wkt"), ["key"])
+    assert made.agg(F.max(F.size("_edges"))).first()[0] <= cells.MOST_EDGES
+    assert made.where("key = 4 and size(_edges) = 0").count() > 100  # cells that are inside as a whole
+    found = {(r["point_id"], r["key"]) for r in spatial.point_in_polygon_join(where, polys, ["key"], boundary=True).collect()}
+    on = {(p, k) for p, x, y in points for k, w in shapes if _distance(w, x, y) == 0}
+    assert found == {(p, k) for p, x, y in points for k, w in shapes if _holds(w, x, y)} | on
+    strict = {(r["point_id"], r["key"]) for r in spatial.point_in_polygon_join(where, polys, ["key"]).collect()}
+    assert strict == found - on
+    for distance in (0.4, 7.0):
+        near = {(r["point_id"], r["key"]) for r in spatial.polys_within_distance(where, polys, distance, ["key"]).collect()}
+        assert near == {(p, k) for p, x, y in points for k, w in shapes if _holds(w, x, y) or _distance(w, x, y) <= distance}, distance
+
+
+def test_cells_in_metres_and_of_no_table(spark):
+    polys = spark.createDataFrame([(1, "POLYGON((0 0, 4000000 0, 4000000 3000000, 0 3000000, 0 0))"), (2, None)], "key int, wkt string")
+    where = spark.createDataFrame([(1, 5.0, 5.0), (2, 3999999.0, 2999999.0), (3, -1.0, 5.0), (4, None, 5.0)], "point_id int, lon double, lat double")
+    assert {r["point_id"] for r in spatial.point_in_polygon_join(where, polys, ["key"]).collect()} == {1, 2}
+    assert cells.polygon_cells(g.with_shape(polys, "wkt"), ["key"]).count() < 3000
+    assert spatial.point_in_polygon_join(where, polys.limit(0), ["key"]).count() == 0
+    assert spatial.point_in_polygon_join(where.limit(0), polys, ["key"]).count() == 0
+
+
+def test_crowded_cell_is_split(spark):
+    polys = spark.createDataFrame([(k, SQUARE) for k in range(40)], "key int, wkt string")
+    where = spark.range(20_000).selectExpr("id AS point_id", "IF(id % 3 = 0, 1.5D, id % 9) AS lon", "IF(id % 3 = 0, 1.5D, id % 7) AS lat")
+    inside = where.where("lon > 0 and lon < 4 and lat > 0 and lat < 4").count()
+    assert spatial.point_in_polygon_join(where, polys, ["key"]).count() == 40 * inside
+
+
+def test_spatial_table_skips_what_lies_elsewhere(spark, tmp_path):
+    rng = random.Random(6)
+    shapes = [(i, f"POLYGON(({x} {y}, {x + 1} {y}, {x + 1} {y + 1}, {x} {y}))") for i in range(4000) for x, y in [(rng.randrange(-170, 170), rng.randrange(-80, 80))]]
+    df = spark.createDataFrame(shapes + [(-1, "POLYGON((1"), (-2, None)], "polygonkey int, wkt string")
+    path = str(tmp_path / "shapes")
+    spatial_table.write_spatial_table(df, "wkt", path)
+    table = spark.read.parquet(path)
+    assert table.count() == len(shapes) and set(g.SHAPE_COLUMNS) <= set(table.columns)
+    found = spatial.polygons_in_bbox(table, (10.5, 10.5, 30.5, 30.5))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("]")[0]
+    assert all(f"({c}," in pushed for c in ("_xmin", "_xmax", "_ymin", "_ymax")) and "Generate" not in plan
+    assert {r["polygonkey"] for r in found.collect()} == {r["polygonkey"] for r in spatial.polygons_in_bbox(df, (10.5, 10.5, 30.5, 30.5)).collect()}
+    # Files cover little each: most have nothing to do with a small box.
+    boxes = table.groupBy(F.input_file_name()).agg(F.min("_xmin"), F.max("_xmax"), F.min("_ymin"), F.max("_ymax")).collect()
+    assert sum(b[1] <= 30.5 and b[2] >= 10.5 and b[3] <= 30.5 and b[4] >= 10.5 for b in boxes) <= len(boxes) / 2
+    spatial_table.write_spatial_table(df.limit(0), "wkt", str(tmp_path / "none"))
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
