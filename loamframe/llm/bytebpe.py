@@ -4,27 +4,36 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
-
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 256 << 20
 LONGEST = 64  # longer words are encoded anew each time
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+# Latin-1 letters, then other ASCII signs (no apostrophe, which may start a
+# contraction): the tokenizer's pattern takes each as one run.
+_PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _stand_ins() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
 
-class _Words(dict):
-    """Word -> ids (little-endian, 4 bytes each), with a fixed text before it."""
+class _Known(dict):
+    """Text -> ids (little-endian, 4 bytes each), with a fixed text before it."""
 
-    def __init__(self, before: str, encode):
+    def __init__(self, encode, before: str = ""):
         super().__init__()
         self.before, self.encode, self.bytes = before, encode, 0
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(self.before + word)
-        if len(word) <= LONGEST:
-            self[word] = ids
-            self.bytes += 200 + 2 * len(word) + len(ids)
+    def __missing__(self, text: str) -> bytes:
+        ids = self.encode(self.before + text)
+        if len(text) <= LONGEST:
+            self[text] = ids
+            self.bytes += 200 + 2 * len(text) + len(ids)
         return ids
 
 
@@ -46,7 +55,9 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
         self.size = self.tokenizer.get_vocab_size()
-        self.first, self.later = _Words("", self._ids), _Words(" ", self._ids)
+        self.model, self.letters = self.tokenizer.model, str.maketrans({chr(b): s for b, s in _stand_ins().items()})
+        self.runs = _Known(self._run)
+        self.first, self.later = _Known(self._ids), _Known(self._ids, " ")
         self.line = self._ids("\n")
 
     @classmethod
@@ -56,18 +67,31 @@ class ByteBpe:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
+    def _run(self, run: str) -> bytes:
+        """Ids of one run of the tokenizer's pattern."""
+        shown = run.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        """Ids of a word, with or without a space before it."""
+        space, word = (" ", text[1:]) if text[:1] == " " else ("", text)
+        plain = _PLAIN.fullmatch(word) if 0 < len(word) <= LONGEST else None
+        if not plain:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        letters, signs = plain.groups()
+        if not letters:
+            return self.runs[space + signs]
+        return self.runs[space + letters] + self.runs[signs] if signs else self.runs[space + letters]
 
     def _words(self, words: list[str]) -> bytes:
         return self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:]))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, 4 bytes each, little-endian."""
-        for words in (self.first, self.later):
-            if words.bytes > REMEMBERED_BYTES // 2:
-                words.clear()
-                words.bytes = 0
+        for known in (self.first, self.later, self.runs):
+            if known.bytes > REMEMBERED_BYTES // 3:
+                known.clear()
+                known.bytes = 0
         if not text:
             return b""
         odd = (

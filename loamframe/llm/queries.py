@@ -244,7 +244,7 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 2, path)
-    return token_files.read_token_files(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_files.read_token_files(spark, path, checksum=True).withColumnsRenamed({"key": "doc_id", "ids": "ids_crc32"})
 
 
 NEGATIVES_SQL = """

@@ -8,6 +8,7 @@ how many ids each rule stands for, and the block's symbols. A symbol below
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from loamframe.session import scratch_path
 
 BLOCK_IDS = 1 << 20
 LEAST = 8  # a pair must occur this often to become a rule
-PER_ROUND = 4000  # pairs replaced at once, most frequent first
+PER_ROUND = 20_000  # pairs replaced at once, most frequent first
 
 BLOCKS = pa.schema(
     [
@@ -93,17 +94,23 @@ def build_grammar(ids: np.ndarray, base: int, width: int, least: int = LEAST, pe
     return seq.astype(np.uint16 if width == 2 else np.uint32), rules, spans
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for, one level of rules at a time."""
-    seq = symbols.astype(np.int64)
-    while (inner := seq >= base).any():
-        last = np.cumsum(1 + inner)
-        out = np.empty(last[-1], np.int64)
-        pair = rules[seq[inner] - base]
-        out[last - 1] = seq
-        out[last[inner] - 2], out[last[inner] - 1] = pair[:, 0], pair[:, 1]
-        seq = out
-    return seq.astype("<u4")
+def expansions(rules: np.ndarray, spans: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the ids of all rules one after the other, where each rule's start)."""
+    starts = np.cumsum(spans) - spans
+    out = np.empty(int(spans.sum()), np.int64)
+    for at, n, (a, b) in zip(starts.tolist(), spans.tolist(), rules.tolist()):
+        middle = at + (1 if a < base else int(spans[a - base]))
+        if a < base:
+            out[at] = a
+        else:  # an earlier rule
+            from_ = starts[a - base]
+            out[at:middle] = out[from_ : from_ + middle - at]
+        if b < base:
+            out[middle] = b
+        else:
+            from_ = starts[b - base]
+            out[middle : at + n] = out[from_ : from_ + at + n - middle]
+    return out, starts
 
 
 class Block:
@@ -114,10 +121,25 @@ class Block:
         self.symbols = np.frombuffer(row["symbols"], "<u2" if row["width"] == 2 else "<u4").astype(np.int64)
         self.rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2).astype(np.int64)
         self.spans = np.frombuffer(row["spans"], "<u4").astype(np.int64)
+        self.said, self.starts = expansions(self.rules, self.spans, self.base)
         self.ends: np.ndarray | None = None
 
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that symbols stand for."""
+        rule = symbols - self.base
+        inner = rule >= 0
+        size = np.ones(len(symbols), np.int64)
+        size[inner] = self.spans[rule[inner]]
+        ends = np.cumsum(size)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, "<u4")
+        out[ends[~inner] - 1] = symbols[~inner]
+        size, starts, to = size[inner], self.starts[rule[inner]], (ends - size)[inner]
+        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(to, size) + step] = self.said[np.repeat(starts, size) + step]
+        return out
+
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        return self.expand(self.symbols)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from place ``start`` on, without decoding the others.
@@ -132,7 +154,7 @@ class Block:
             self.ends = np.cumsum(size[self.symbols])
         low, high = np.searchsorted(self.ends, [start, start + n - 1], side="right")
         before = self.ends[low - 1] if low else 0
-        return expand(self.symbols[low : high + 1], self.rules, self.base)[start - before : start - before + n]
+        return self.expand(self.symbols[low : high + 1])[start - before : start - before + n]
 
 
 def token_rows(documents: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,11 +216,11 @@ def write_token_files(documents: DataFrame, tokenizer: str, end_id: int, path: s
     dealt.select("key", "ids").mapInArrow(compress, _BLOCKS_DDL).write.option("compression", "zstd").parquet(path)
 
 
-def read_token_files(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, keys: DataFrame | None = None, checksum: bool = False) -> DataFrame:
     """(key, start, n_tokens, ids) of every document of token files, or of some.
 
     ``start`` counts the ids of all documents before it; ``ids`` are unsigned
-    32-bit, little-endian. With ``keys`` (a DataFrame with a column ``key``; null
+    32-bit, little-endian, with ``checksum`` their CRC-32 instead. With ``keys`` (a DataFrame with a column ``key``; null
     never matches) only the blocks and the stretches that hold those documents
     are decoded. Only one number per shard is sent to all tasks.
     """
@@ -222,16 +244,16 @@ def read_token_files(spark: SparkSession, path: str, keys: DataFrame | None = No
                 starts = np.cumsum(counts) - counts
                 if row["wanted"] is None:
                     wanted, ids = np.arange(len(counts)), block.all_ids()
-                    found = [ids[s : s + c].tobytes() for s, c in zip(starts, counts)]
+                    found = [ids[s : s + c] for s, c in zip(starts.tolist(), counts.tolist())]
                 else:
                     wanted = np.array(row["wanted"], np.int64)
-                    found = [block.ids(int(starts[i]), int(counts[i])).tobytes() for i in wanted]
+                    found = [block.ids(int(starts[i]), int(counts[i])) for i in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["keys"][i] for i in wanted], pa.int64()), pa.array(row["before"] + starts[wanted]), pa.array(counts[wanted]),
-                        pa.array(found, pa.binary()),
+                        pa.array([zlib.crc32(i) for i in found], pa.int64()) if checksum else pa.array([i.tobytes() for i in found], pa.binary()),
                     ],
                     names=["key", "start", "n_tokens", "ids"],
                 )
 
-    return placed.mapInArrow(decode, "key long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(decode, "key long, start long, n_tokens long, ids " + ("long" if checksum else "binary"))
