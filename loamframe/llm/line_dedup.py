@@ -1,106 +1,147 @@
-"""Substring dedup: lines that occur anywhere before are removed.
-
-A unit is a line. Lines are compared lower-cased, with white space (ASCII) made
-single and trimmed; only lines of MIN_WORDS words or more count, so short lines
-that any text may hold stay. Of all equal lines the first by (key, text's hash,
-line number) stays and the others go.
+"""Substring dedup: runs of lines and sentences that occur before are removed.
+
+A unit is a line, or a sentence inside a line, with the white space after it.
+Units are compared lower-cased, with white space (ASCII) made single and
+trimmed. Of all equal units the first by (key, text's hash, place) stays. Any
+other is repeated, and goes if it lies in an unbroken run of repeated units that
+has MIN_WORDS words or more: a passage goes however short its lines are, a
+sentence that many texts hold stays where it stands alone.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamframe.llm.common import fresh, whole_text
 from loamframe.session import scratch_path
 
-MIN_WORDS = 10
-COMMON = 1000  # a digest of 1/COMMON of all lines is common; there are at most COMMON of them
+MIN_WORDS = 30
+COMMON = 1000  # a digest of 1/COMMON of all units is common; there are at most COMMON of them
+# Where a unit ends: white space after a full stop, question or exclamation mark, or with a line feed.
+UNIT_END = re.compile(r"[.!?][\t-\r ]+|\n[\t-\r ]*")
+
 
+def cut_units(text: str) -> list[tuple[int, int, int, bytes]]:
+    """(start, length, words, normalised text) of each unit; none of white space only."""
+    ends = [m.end() for m in UNIT_END.finditer(text)]
+    out, start = [], 0
+    for end in [*ends, len(text)]:
+        words = text[start:end].lower().encode().split()
+        if words:
+            out.append((start, end - start, len(words), b" ".join(words)))
+        start = end
+    return out
 
-def line_units(documents: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per line that counts: _doc, _hash (of the whole text), line,
-    start and length (code points in the original), digest."""
+
+def text_units(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per unit: _doc, _hash (of the whole text), start and length (code
+    points in the original), words, and a 128-bit digest as two numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for key, mark, said in zip(*(c.to_pylist() for c in b.columns)):
-                start = 0
-                for n, line in enumerate(said.split("\n")):
-                    words = line.lower().encode().split()
-                    if len(words) >= min_words:
-                        rows.append((key, mark, n, start, len(line), hashlib.blake2b(b" ".join(words), digest_size=16).digest()))
-                    start += len(line) + 1
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["_doc", "_hash", "line", "start", "length", "digest"])
+                for start, length, words, plain in cut_units(said):
+                    digest = hashlib.blake2b(plain, digest_size=16).digest()
+                    rows.append((key, mark, start, length, words, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)))
+            columns = list(zip(*rows)) or [()] * 7
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            names = ["_doc", "_hash", "start", "length", "words", "d1", "d2"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     texts = documents.select(F.col(doc).cast("long"), F.xxhash64(whole_text(text)), whole_text(text))
-    return texts.mapInArrow(run, "_doc long, _hash long, line int, start long, length long, digest binary")
+    return texts.mapInArrow(run, "_doc long, _hash long, start int, length int, words int, d1 long, d2 long")
 
 
-def repeated_lines(units: DataFrame, common: int = COMMON) -> DataFrame:
+def repeated_units(units: DataFrame, common: int = COMMON) -> DataFrame:
     """Units that are not the first of their digest, with the first one's place
     (kept_doc, kept_start).
 
-    Counts are added up before the shuffle, so a line in a third of all
+    Counts are added up before the shuffle, so a unit in a third of all
     documents is one row per task. Units then meet the first occurrences: those
     of the few common digests are sent to all tasks (at most ``common`` rows by
     their definition), the others, each a small share, by a join on the digest.
     """
-    first = units.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("_doc", "_hash", "line", "start")).alias("first")
-    )
+    digest = ["d1", "d2"]
+    first = units.groupBy(*digest).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_doc", "_hash", "start")).alias("first"))
     repeated = first.where("n > 1")
     total = units.count()
     # The floor keeps tiny tables off this path; at most ``common`` digests can reach the bound.
     often = F.col("n") >= max(1000, -(-total // common))
-    hot = F.broadcast(repeated.where(often).select("digest", F.col("first").alias("_often")))
-    place = F.struct("_doc", "_hash", "line", "start")
-    near = units.join(hot, "digest", "left")
-    rare = near.where(F.col("_often").isNull()).join(repeated.where(~often).select("digest", "first"), "digest")
-    names = ["_doc", "_hash", "line", "start", "length", "first"]
+    hot = F.broadcast(repeated.where(often).select(*digest, F.col("first").alias("_often")))
+    place = F.struct("_doc", "_hash", "start")
+    near = units.join(hot, digest, "left")
+    rare = near.where(F.col("_often").isNull()).join(repeated.where(~often).select(*digest, "first"), digest)
+    names = ["_doc", "_hash", "start", "length", "words", "first"]
     both = rare.select(*names).unionByName(near.where(F.col("_often").isNotNull()).withColumn("first", F.col("_often")).select(*names))
-    return both.where(place != F.col("first")).select(
-        "_doc", "_hash", "line", "start", "length", F.col("first._doc").alias("kept_doc"), F.col("first.start").alias("kept_start")
-    )
+    # Repeated rows of the table give the same units again: they count once.
+    return both.where(place != F.col("first")).select(*names[:-1], F.col("first._doc").alias("kept_doc"), F.col("first.start").alias("kept_start")).distinct()
+
+
+def long_runs(repeated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The repeated units that lie in a run of at least ``min_words`` words.
+
+    A run is units of one text without another unit between them; all that is
+    gathered is a text's own repeated units.
+    """
+    text = Window.partitionBy("_doc", "_hash").orderBy("start")
+    breaks = F.coalesce((F.lag(F.col("start") + F.col("length")).over(text) != F.col("start")).cast("int"), F.lit(0))
+    runs = repeated.withColumn("_break", breaks).withColumn("_run", F.sum("_break").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    words = F.sum("words").over(Window.partitionBy("_doc", "_hash", "_run"))
+    return runs.withColumn("_words", words).where(F.col("_words") >= min_words).drop("_break", "_run", "_words")
+
+
+def without_spans(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.Series:
+    """Texts without their spans (in ascending order); null without a text."""
+
+    def cut(text, begin, size):
+        if text is None:
+            return None
+        kept, at = [], 0
+        for s, n in zip(begin.tolist(), size.tolist()):
+            kept.append(text[at:s])
+            at = s + n
+        return "".join(kept) + text[at:]
+
+    return pd.Series([cut(*row) for row in zip(texts, starts, lengths)], dtype=object)
 
 
 def drop_repeated_lines(documents: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with ``text`` free of repeated lines, and ``removed``: an
-    array of (start, length, kept_doc, kept_start) in the original's offsets.
+    """``documents`` with ``text`` free of repeated runs of lines and sentences,
+    and ``removed``: an array of (start, length, kept_doc, kept_start) in the
+    original's offsets, a unit each, with the white space after it.
 
     A null text stays null with nothing removed; an empty one stays empty.
     Rows equal in key and text are one document and get the same decisions;
     rows with equal keys and other texts are told apart. Null keys come first.
     All other columns are kept (one named ``removed`` is replaced); an empty
-    table gives no rows. What is gathered per document is its own lines.
+    table gives no rows. What is gathered per document is its own units.
     """
-    path = scratch_path(documents.sparkSession, "lines")
-    line_units(documents, doc, text, min_words).write.option("compression", "zstd").parquet(path)
+    path = scratch_path(documents.sparkSession, "units")
+    text_units(documents, doc, text).write.option("compression", "zstd").parquet(path)
     units = documents.sparkSession.read.parquet(path)
+    whole = [F.col(c).cast("long").alias(c) for c in ("start", "length")]
     gone = (
-        repeated_lines(units)
+        long_runs(repeated_units(units), min_words)
         .groupBy("_doc", "_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("line", "start", "length", "kept_doc", "kept_start"))).alias("_gone"))
+        .agg(F.sort_array(F.collect_list(F.struct(*whole, "kept_doc", F.col("kept_start").cast("long").alias("kept_start")))).alias("_gone"))
     )
     rest = [c for c in documents.columns if c != "removed"]
-    key, mark, lines = (fresh(documents, n) for n in ("_gone_doc", "_gone_hash", "_gone_lines"))
-    gone = gone.withColumnsRenamed({"_doc": key, "_hash": mark, "_gone": lines})
+    key, mark, spans = (fresh(documents, n) for n in ("_gone_doc", "_gone_hash", "_gone_spans"))
+    gone = gone.withColumnsRenamed({"_doc": key, "_hash": mark, "_gone": spans})
     same = documents[doc].cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(whole_text(text)) == F.col(mark))
     joined = documents.select(*rest).join(gone, same, "left")
-    kept = F.array_join(
-        F.filter(F.split(F.col(text), "\n", -1), lambda line, n: ~F.array_contains(F.col(lines)["line"], n)), "\n"
-    )
+    changed = F.col(spans).isNotNull()
+    # Only texts with something to remove are sent to Python.
+    left = F.pandas_udf(without_spans, "string")(F.when(changed, F.col(text)), F.col(spans)["start"], F.col(spans)["length"])
     return joined.select(
-        *[F.when(F.col(lines).isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in rest],
-        F.coalesce(
-            F.transform(lines, lambda g: F.struct(g["start"].alias("start"), g["length"].alias("length"), g["kept_doc"].alias("kept_doc"), g["kept_start"].alias("kept_start"))),
-            F.array().cast("array<struct<start:bigint,length:bigint,kept_doc:bigint,kept_start:bigint>>"),
-        ).alias("removed"),
+        *[F.when(changed, left).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in rest],
+        F.coalesce(spans, F.array().cast("array<struct<start:bigint,length:bigint,kept_doc:bigint,kept_start:bigint>>")).alias("removed"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamframe.llm import chat, fingerprint, hard_negatives, html_text, jaccard_join, line_dedup, manifest, packing, quality, sentencepiece_codec, suffix_tree, token_files, topk
-from loamframe.llm.common import table
+from loamframe.llm.common import table, whole_text
 from loamframe.session import scratch_path
 
 QUERIES: dict = {}
@@ -118,26 +118,28 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
 
 
-LINES_SQL = """
+LINES_SQL = r"""
 WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
-l AS (
-    SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS said FROM d),
+m AS (SELECT *, string_split(regexp_replace(text, '([.!?][\x09-\x0D ]+|\n[\x09-\x0D ]*)', '\1' || chr(57344), 'g'), chr(57344)) AS parts FROM d),
+l AS (SELECT doc_id, text, generate_subscripts(parts, 1) AS unit, unnest(parts) AS said FROM m),
 u AS (
-    SELECT *, trim(regexp_replace(lower(said), '[\\x09-\\x0D ]+', ' ', 'g')) AS plain,
-        sum(length(said) + 1) OVER (PARTITION BY doc_id, text ORDER BY line) - length(said) - 1 AS start
+    SELECT *, trim(regexp_replace(lower(said), '[\x09-\x0D ]+', ' ', 'g')) AS plain,
+        sum(length(said)) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(said) AS start
     FROM l),
-r AS (
-    SELECT *, len(string_split(plain, ' ')) >= 10 AND row_number() OVER (PARTITION BY plain ORDER BY doc_id NULLS FIRST, line) > 1 AS gone FROM u)
-SELECT doc_id, coalesce(string_agg(said, chr(10) ORDER BY line) FILTER (NOT gone), '') AS text,
-    count(*) FILTER (gone) AS n_removed, coalesce(sum(length(said)) FILTER (gone), 0)::BIGINT AS removed_chars,
-    coalesce(string_agg(start || ':' || length(said), ',' ORDER BY line) FILTER (gone), '') AS removed_spans
-FROM r GROUP BY doc_id, r.text
+r AS (SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id NULLS FIRST, unit) > 1 AS again FROM u WHERE plain <> ''),
+g AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id, text, again ORDER BY unit) AS run FROM r),
+x AS (SELECT *, again AND sum(len(string_split(plain, ' '))) OVER (PARTITION BY doc_id, text, again, run) >= 30 AS gone FROM g)
+SELECT u.doc_id, coalesce(string_agg(u.said, '' ORDER BY u.unit) FILTER (gone IS NOT TRUE), '') AS text,
+    count(*) FILTER (gone) AS n_removed, coalesce(sum(length(u.said)) FILTER (gone), 0)::BIGINT AS removed_chars,
+    coalesce(string_agg(u.start || ':' || length(u.said), ',' ORDER BY u.unit) FILTER (gone), '') AS removed_spans
+FROM u LEFT JOIN x ON x.doc_id IS NOT DISTINCT FROM u.doc_id AND x.text = u.text AND x.unit = u.unit
+GROUP BY u.doc_id, u.text
 """
 
 
 @query("op1_substring_dedup", LINES_SQL)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text")))
     spans = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["length"])), ",")
     return docs.select(
         "doc_id",

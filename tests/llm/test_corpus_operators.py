@@ -1,6 +1,8 @@
 """Operators over whole corpora, and the pipeline, against plain versions."""
 
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -22,28 +24,70 @@ def test_matches_check(spark, duck, name):
 
 def test_all_are_registered():
     assert set(q.QUERIES) | {"pipeline"} <= set(queries()) and set(q.CHECKS) <= set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES) == list(range(1, 14))
 
 
 # -- lines --------------------------------------------------------------------
 
 
 def test_first_line_stays(spark):
-    line = "one two three four five six seven eight nine ten"
+    line = "one two three four five six seven eight nine ten " * 2 + "one two three four five six seven eight nine end"
     rows = [(2, f"Is.\n{line.upper()}  \nend"), (1, f"top\n{line}\n{line}"), (3, "Is.\nend"), (3, "Is.\nend")]
     out = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert out[1]["text"] == f"top\n{line}" and out[2]["text"] == "Is.\nend" and out[3]["text"] == "Is.\nend"
+    assert out[1]["text"] == f"top\n{line}\n" and out[2]["text"] == "Is.\nend" and out[3]["text"] == "Is.\nend"
     gone = out[2]["removed"][0]
-    assert rows[0][1][gone["start"] : gone["start"] + gone["length"]] == line.upper() + "  " and (gone["kept_doc"], gone["kept_start"]) == (1, 4)
+    assert rows[0][1][gone["start"] : gone["start"] + gone["length"]] == line.upper() + "  \n" and (gone["kept_doc"], gone["kept_start"]) == (1, 4)
 
 
 def test_common_line_takes_the_other_way(spark):
-    line = " ".join("abcdefghijkl")
+    line = " ".join(f"w{i}" for i in range(30))
     frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit(line + "\n"), F.col("id").cast("string")).alias("text"))
     out = line_dedup.drop_repeated_lines(frame)
     assert out.where(F.size("removed") == 1).count() == 2999 and out.where("doc_id = 0").first()["text"] == f"{line}\n0"
 
 
+def plain_runs(rows, least=30):
+    """Repeated runs removed, by hand: (key, text) rows with distinct keys."""
+    seen, out = set(), {}
+    for key, text in sorted(rows):
+        pieces = [p for p in re.split(r"((?:[^.!?\n]|[.!?](?![\t-\r ]))*(?:[.!?][\t-\r ]+|\n[\t-\r ]*|$))", text) if p]
+        plain = [" ".join(p.lower().split()) for p in pieces]
+        again = []
+        for p in plain:
+            again.append(p in seen)
+            seen.add(p)
+        kept = []
+        for repeated, group in itertools.groupby(range(len(pieces)), key=lambda i: again[i]):
+            group = list(group)
+            if not repeated or sum(len(plain[i].split()) for i in group) < least:
+                kept += [pieces[i] for i in group]
+        out[key] = "".join(kept)
+    return out
+
+
+def test_runs_of_short_lines_and_sentences(spark):
+    rng = random.Random(3)
+    word = lambda: rng.choice("abcdefghij") + str(rng.randrange(400))
+    sentence = lambda n: " ".join(word() for _ in range(n)) + rng.choice([".", "!", "?", "", "..."])
+    passages = [[sentence(rng.randint(2, 9)) for _ in range(rng.randint(3, 12))] for _ in range(12)]
+    rows = []
+    for key in range(150):
+        parts = [sentence(rng.randint(2, 9)) for _ in range(rng.randint(0, 9))]
+        at = rng.randint(0, len(parts))
+        if rng.random() < 0.7:
+            parts[at:at] = rng.choice(passages)
+        rows.append((key, "".join(p + rng.choice([" ", "\n", "\n\n", "  "]) for p in parts)))
+    found = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    expected = plain_runs(rows)
+    assert {k: r["text"] for k, r in found.items()} == expected and sum(expected[k] != t for k, t in rows) > 20
+    for key, text in rows:  # offsets are those of the original
+        left, at = "", 0
+        for g in found[key]["removed"]:
+            left, at = left + text[at : g["start"]], g["start"] + g["length"]
+            assert g["kept_doc"] <= key
+        assert left + text[at:] == expected[key]
+
+
 def test_odd_lines(spark, odd_documents, no_documents):
     out = line_dedup.drop_repeated_lines(odd_documents)
     assert out.count() == odd_documents.count() and out.columns == [*odd_documents.columns, "removed"]
