@@ -486,7 +486,7 @@ def _(t):
     root = scratch_path(t.spark, "ingest")
     streams.start_ingest(_stream(t, "series_feed"), "body", ["feed_id"], f"{root}/rows", f"{root}/rejects", f"{root}/state").awaitTermination()
     rows = streams.read_ingested(t.spark, f"{root}/rows").groupBy("element_code").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_values"))
-    bad = streams.read_ingested(t.spark, f"{root}/rejects").agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("element_code"), "n", F.lit(0).cast("long").alias("n_values"))
+    bad = streams.read_ingested(t.spark, f"{root}/rejects", f"{root}/rows-ledger").agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("element_code"), "n", F.lit(0).cast("long").alias("n_values"))
     return rows.withColumn("sink", F.lit("rows")).unionByName(bad.withColumn("sink", F.lit("rejects")))
 
 
@@ -503,6 +503,16 @@ def _(t):
     return rounded(t.spark.read.parquet(f"{root}/rows"), "average")
 
 
+@query("S3_published_merge", "readings", f"WITH {_VERSIONS} {_LATEST}")
+def _(t):
+    """The batch form: base and changes as two batches of a log, merged one after the other."""
+    root = scratch_path(t.spark, "merge")
+    for number, part in enumerate(_versions(t)):
+        part.write.parquet(f"{root}/log/batch={number}")
+        streams.merge_changes(t.spark, f"{root}/log", f"{root}/base", f"{root}/versions")
+    return streams.read_merged(t.spark, f"{root}/base", f"{root}/versions").select(*SERIES, "ts", "value", "updated_at")
+
+
 @query("S3_stream_upsert", "readings", f"WITH {_VERSIONS} {_LATEST}")
 def _(t):
     root = scratch_path(t.spark, "upsert")

@@ -18,41 +18,75 @@ def _stream(spark: SparkSession, path: str, schema, fmt: str, files_per_trigger:
     return reader.load(path)
 
 
+LEDGER = "file string, run string, batch long"
+
+
 def start_ingest(
-    feed: DataFrame, body: str, keep: list[str], out: str, rejects: str, checkpoint: str, once: bool = True, stations: DataFrame | None = None
+    feed: DataFrame, body: str, keep: list[str], out: str, rejects: str, checkpoint: str, once: bool = True, stations: DataFrame | None = None,
+    ledger: str | None = None, source: str = "_metadata.file_path",
 ) -> StreamingQuery:
     """Landed series batches -> one row per value, bad batches apart.
 
-    Each micro-batch overwrites its own folder below the run of its checkpoint,
-    so a repeated batch (after a lost executor or driver) leaves no duplicates.
-    A lost checkpoint starts a new run, whose batches may be cut elsewhere;
-    :func:`read_ingested` reads the latest run only. With ``stations`` the
-    time-zone offset is applied to hourly local times.
+    Each micro-batch overwrites its own folder below the run of its checkpoint;
+    only then do its source files enter the ledger (``out`` + "-ledger" unless
+    named), in one small write. :func:`read_ingested` reads what the ledger
+    names, so a batch lost half-way is unseen until it is repeated, and a
+    repeated one leaves no duplicates. A lost checkpoint starts a new run, which
+    leaves out the files that any run has recorded: readers never see fewer rows
+    than before. ``source`` names a row's file. With ``stations`` the time-zone
+    offset is applied to hourly local times.
     """
+    book = ledger or f"{out}-ledger"
 
     def store(batch: DataFrame, number: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        parsed = parse_series(batch, body).select(*keep, "_feed").persist()
+        session = batch.sparkSession
+        run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        known = read_or_empty(session, book, LEDGER)
+        if not known.where((F.col("run") == run) & (F.col("batch") == number)).isEmpty():
+            return
+        new = batch.join(known.select(F.col("file").alias("_source")).distinct(), "_source", "left_anti")
+        parsed = parse_series(new, body).select(*keep, "_source", "_feed").persist()
         ingest_series_json(parsed, body, stations).write.mode("overwrite").parquet(f"{out}/run={run}/batch={number}")
         rejected_series(parsed, body, keep).write.mode("overwrite").parquet(f"{rejects}/run={run}/batch={number}")
+        files = parsed.select(F.col("_source").alias("file")).distinct()
+        publish(files.select("file", F.lit(run).alias("run"), F.lit(number).cast("long").alias("batch")), book)
         parsed.unpersist()
 
-    return _start(feed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), once)
+    named = feed.select("*", F.col(source).alias("_source"))
+    return _start(named.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint), once)
+
+
+def publish(rows: DataFrame, path: str) -> None:
+    """Adds rows to a ledger as one file: all of them or none."""
+    rows.coalesce(1).write.mode("append").parquet(path)
 
 
 def stream_ingest(
     spark: SparkSession, path: str, schema, body: str, keep: list[str], out: str, rejects: str, checkpoint: str,
-    fmt: str = "json", files_per_trigger: int | None = None, once: bool = True, stations: DataFrame | None = None,
+    fmt: str = "json", files_per_trigger: int | None = None, once: bool = True, stations: DataFrame | None = None, ledger: str | None = None,
 ) -> StreamingQuery:
     """:func:`start_ingest` over the files landing in a folder."""
-    return start_ingest(_stream(spark, path, schema, fmt, files_per_trigger), body, keep, out, rejects, checkpoint, once, stations)
+    return start_ingest(_stream(spark, path, schema, fmt, files_per_trigger), body, keep, out, rejects, checkpoint, once, stations, ledger)
+
 
+def read_ingested(spark: SparkSession, out: str, ledger: str | None = None) -> DataFrame:
+    """What the batches in the ledger have written, of all runs.
 
-def read_ingested(spark: SparkSession, out: str) -> DataFrame:
-    """What the latest run of an ingestion has written."""
-    rows = spark.read.option("basePath", out).parquet(out)
-    latest = rows.groupBy("run").agg(F.max("_metadata.file_modification_time").alias("_t")).orderBy(F.desc("_t"), "run").first()
-    return (rows.where(F.col("run") == latest["run"]) if latest else rows).drop("run", "batch")
+    For the rejects name the ledger of the rows.
+    """
+    done = read_or_empty(spark, ledger or f"{out}-ledger", LEDGER).select("run", "batch").distinct()
+    rows = spark.read.option("basePath", out).parquet(out).withColumn("batch", F.col("batch").cast("long"))
+    return rows.join(done, ["run", "batch"], "left_semi").drop("run", "batch")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet folder, or no rows before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def _start(writer, once: bool) -> StreamingQuery:
@@ -108,12 +142,17 @@ def current_readings(spark: SparkSession, log: str, base: DataFrame | None = Non
     return upsert_readings(base if base is not None else changes.limit(0), changes)
 
 
+VERSIONS = "day date, version long"
+
+
 def merge_changes(spark: SparkSession, log: str, base: str, state: str) -> int:
-    """Merges the log's new batches into a base table kept by day.
+    """Merges the log's new batches into a base table kept by day and version.
 
-    Only the days that changed are read and rewritten. The batch reached is
-    recorded in ``state`` after the rewrite, so a merge that is lost half-way is
-    simply repeated with the same result; it is also returned, for
+    Only the days that changed are read, and they are written to a new version's
+    folder; nothing that readers use is touched. One small write to ``state``
+    then names the new version of these days, and :func:`read_merged` resolves
+    it: a merge lost before that leaves the old table whole and is simply
+    repeated. The version is the last batch merged; it is returned, for
     :func:`current_readings`.
     """
     done = merged_upto(spark, state)
@@ -122,26 +161,33 @@ def merge_changes(spark: SparkSession, log: str, base: str, state: str) -> int:
     if last is None:
         return done
     changes = changes.where(F.col("batch") <= last).drop("batch").withColumn("day", F.to_date("ts"))
-    old = read_base(spark, base, changes)
-    touched = old.join(changes.select("day").distinct(), "day", "left_semi").select(*changes.columns)
+    days = changes.select("day").distinct()
+    old = read_merged(spark, base, state)
+    touched = old.join(days, "day", "left_semi").select(*changes.columns) if old is not None else changes.limit(0)
     merged = upsert_readings(touched, changes)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(base)
-    spark.createDataFrame([(int(last),)], "batch long").coalesce(1).write.mode("append").parquet(state)
+    merged.repartition("day", F.pmod(F.xxhash64(*SERIES), F.lit(8))).write.mode("overwrite").partitionBy("day").parquet(f"{base}/version={int(last)}")
+    # The row without a day marks the batch as merged even if no row has a time.
+    named = days.where("day IS NOT NULL").unionByName(spark.createDataFrame([(None,)], "day date")).withColumn("version", F.lit(int(last)).cast("long"))
+    publish(named, state)
     return int(last)
 
 
-def read_base(spark: SparkSession, base: str, like: DataFrame) -> DataFrame:
-    """The base table, or an empty one like ``like`` before the first merge."""
-    try:
-        return spark.read.schema(like.schema).parquet(base)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.limit(0)
+def read_merged(spark: SparkSession, base: str, state: str) -> DataFrame | None:
+    """The base table with its ``day``: of every day the version published last.
+    Readings without a time belong to no day and are left out.
+
+    None before the first merge.
+    """
+    versions = read_or_empty(spark, state, VERSIONS)
+    if versions.isEmpty():
+        return None
+    valid = versions.where("day IS NOT NULL").groupBy("day").agg(F.max("version").alias("version"))
+    rows = spark.read.option("basePath", base).parquet(base)
+    rows = rows.withColumns({"version": F.col("version").cast("long"), "day": F.col("day").cast("date")})
+    return rows.join(valid, ["day", "version"], "left_semi").drop("version")
 
 
 def merged_upto(spark: SparkSession, state: str) -> int:
-    """The last batch that a merge has recorded, -1 before the first."""
-    rows = read_base(spark, state, spark.createDataFrame([], "batch long"))
-    found = rows.agg(F.max("batch")).first()[0]
+    """The last batch that a merge has published, -1 before the first."""
+    found = read_or_empty(spark, state, VERSIONS).agg(F.max("version")).first()[0]
     return -1 if found is None else int(found)

@@ -96,6 +96,47 @@ def test_ingest_applies_the_station_offset_and_outlives_its_checkpoint(spark):
     assert sorted(r["ts_utc"] for r in once) == [D(2024, 1, d, 13) for d in (1, 2, 3)]
     run("state2", None)  # the checkpoint is lost and all files come in one batch
     assert streams.read_ingested(spark, f"{root}/rows").count() == 3
+    spark.createDataFrame([(4, body(4)), (5, "oops")], FEED).coalesce(1).write.mode("append").json(f"{root}/in")
+    run("state3", 2)  # lost again: only the new file is read
+    assert streams.read_ingested(spark, f"{root}/rows").count() == 4
+    assert streams.read_ingested(spark, f"{root}/bad", f"{root}/rows-ledger").count() == 1
+    assert spark.read.parquet(f"{root}/rows-ledger").count() == 4
+
+
+def test_ingestion_lost_half_way(spark, monkeypatch):
+    root = scratch_path(spark, "half-test")
+    for n in (1, 2, 3):
+        spark.createDataFrame([(n, body(n))], FEED).coalesce(1).write.mode("append").json(f"{root}/in")
+    run = lambda state, files: streams.stream_ingest(
+        spark, f"{root}/in", FEED, "body", ["feed_id"], f"{root}/rows", f"{root}/bad", f"{root}/{state}", "json", files
+    ).awaitTermination()
+    written = streams.publish
+
+    def fails_at(n):
+        calls = iter(range(100))
+
+        def publish(rows, path):
+            if next(calls) == n:
+                raise RuntimeError("lost")
+            written(rows, path)
+
+        monkeypatch.setattr(streams, "publish", publish)
+
+    count = lambda: streams.read_ingested(spark, f"{root}/rows").count()
+    fails_at(1)  # the second batch is written but not recorded
+    with pytest.raises(Exception):
+        run("state", 1)
+    assert count() == 1
+    monkeypatch.setattr(streams, "publish", written)
+    run("state", 1)
+    assert count() == 3
+    fails_at(1)  # a new run, lost in its catch-up, hides nothing
+    with pytest.raises(Exception):
+        run("state2", 1)
+    assert count() == 3
+    monkeypatch.setattr(streams, "publish", written)
+    run("state2", 1)
+    assert count() == 3
 
 
 def test_merged_log_equals_the_whole_log(spark):
@@ -106,7 +147,7 @@ def test_merged_log_equals_the_whole_log(spark):
     whole = pairs(streams.current_readings(spark, f"{root}/log"))
     assert streams.merged_upto(spark, f"{root}/done") == -1
     last = streams.merge_changes(spark, f"{root}/log", f"{root}/base", f"{root}/done")
-    base = spark.read.parquet(f"{root}/base")
+    base = streams.read_merged(spark, f"{root}/base", f"{root}/done")
     assert pairs(base) == whole and streams.merged_upto(spark, f"{root}/done") == last
     assert streams.merge_changes(spark, f"{root}/log", f"{root}/base", f"{root}/done") == last
     later = spark.createDataFrame([row(2, 9.0, updated=5), row(8, 8.0)], SCHEMA)
@@ -114,4 +155,28 @@ def test_merged_log_equals_the_whole_log(spark):
     expected = pairs(streams.current_readings(spark, f"{root}/log"))
     assert pairs(streams.current_readings(spark, f"{root}/log", base.drop("day"), last)) == expected
     streams.merge_changes(spark, f"{root}/log", f"{root}/base", f"{root}/done")
-    assert pairs(spark.read.parquet(f"{root}/base")) == expected
+    assert pairs(streams.read_merged(spark, f"{root}/base", f"{root}/done")) == expected
+    assert pairs(base) == whole  # a reader of the old version is not disturbed
+
+
+def test_merge_lost_before_it_is_published(spark, monkeypatch):
+    root = scratch_path(spark, "lost-merge")
+    paths = [f"{root}/{n}" for n in ("log", "base", "done")]
+    pairs = lambda df: sorted((x["ts"], x["value"]) for x in df.collect())
+    spark.createDataFrame([row(1, 1.0), row(2, 2.0)], SCHEMA).write.parquet(f"{root}/log/batch=0")
+    assert streams.read_merged(spark, *paths[1:]) is None
+    assert streams.merge_changes(spark, *paths) == 0
+    spark.createDataFrame([row(1, 5.0, updated=3), row(3, 3.0)], SCHEMA).write.parquet(f"{root}/log/batch=1")
+    before = pairs(streams.read_merged(spark, *paths[1:]))
+    written = streams.publish
+
+    def lost(rows, path):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(streams, "publish", lost)
+    with pytest.raises(RuntimeError):
+        streams.merge_changes(spark, *paths)
+    assert pairs(streams.read_merged(spark, *paths[1:])) == before and streams.merged_upto(spark, paths[2]) == 0
+    monkeypatch.setattr(streams, "publish", written)
+    assert streams.merge_changes(spark, *paths) == 1
+    assert pairs(streams.read_merged(spark, *paths[1:])) == [(D(2024, 1, 1), 5.0), (D(2024, 1, 2), 2.0), (D(2024, 1, 3), 3.0)]
