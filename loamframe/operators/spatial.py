@@ -45,7 +45,7 @@ def point_in_polygon_join(
     """
     pairs = cells.look_up(points, cells.polygon_cells(g.with_shape(polys, wkt, polygons_only=True), keep), lon, lat)
     inside, touching = cells.inside(lon, lat), g.on_boundary(F.col("_edges"), F.col(lon), F.col(lat))
-    return pairs.where((inside | touching) if boundary else (inside & ~touching)).drop(*cells.CELL, "_corner", "_edges")
+    return pairs.where((inside | touching) if boundary else (inside & ~touching)).drop(*cells.CELL, "_corner", "_whole", "_edges")
 
 
 def components_at_points(
@@ -207,7 +207,7 @@ def polys_within_distance(
     """
     pairs = cells.look_up(points, cells.polygon_cells(g.with_shape(polys, wkt, polygons_only=True), keep, float(distance)), lon, lat)
     near = F.exists("_edges", lambda e: g.edge_distance(e, F.col(lon), F.col(lat)) <= distance)
-    return pairs.where(cells.inside(lon, lat) | near).drop(*cells.CELL, "_corner", "_edges")
+    return pairs.where(cells.inside(lon, lat) | near).drop(*cells.CELL, "_corner", "_whole", "_edges")
 
 
 def region_area(points: DataFrame, polys: DataFrame, distance: float, by: Sequence[str], key: str = "polygonkey", **names) -> DataFrame:
