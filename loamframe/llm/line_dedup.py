@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import fresh, whole_text
+from loamframe.llm.common import fresh, shuffles_removed, whole_text
 from loamframe.session import scratch_path
 
 MIN_WORDS = 30
@@ -133,6 +133,11 @@ def drop_repeated_lines(documents: DataFrame, doc: str = "doc_id", text: str = "
         .groupBy("_doc", "_hash")
         .agg(F.sort_array(F.collect_list(F.struct(*whole, "kept_doc", F.col("kept_start").cast("long").alias("kept_start")))).alias("_gone"))
     )
+    # A step of its own: its shuffles are gone before the texts are shuffled.
+    gone_path = scratch_path(documents.sparkSession, "spans")
+    with shuffles_removed(documents.sparkSession):
+        gone.write.parquet(gone_path)
+    gone = documents.sparkSession.read.parquet(gone_path)
     rest = [c for c in documents.columns if c != "removed"]
     key, mark, spans = (fresh(documents, n) for n in ("_gone_doc", "_gone_hash", "_gone_spans"))
     gone = gone.withColumnsRenamed({"_doc": key, "_hash": mark, "_gone": spans})
