@@ -223,16 +223,7 @@ def test_pipeline_against_its_stages_by_hand(spark):
     good = {r["doc_id"] for r in q.quality_classifier(spark, SF).where("predicted = 1").collect()}
     rows = [(d, t) for d, t in sorted(docs.items()) if d in good]
     kept = [(d, t) for d, t in rows if (d, d) in {(a, b) for a, b, _ in plain_classes(rows)}]
-    seen, clean = set(), {}
-    for d, t in kept:
-        lines = []
-        for line in t.split("\n"):
-            plain = " ".join(line.lower().split())
-            if len(plain.split()) < 10 or plain not in seen:
-                lines.append(line)
-            if len(plain.split()) >= 10:
-                seen.add(plain)
-        clean[d] = "\n".join(lines)
+    clean = plain_runs(kept)
     from loamframe.llm.wordbpe import WordBpe
 
     bpe = WordBpe.load(q.tokenizer_file("word_bpe_49k.json"))
