@@ -12,6 +12,7 @@ from loamframe.constants import EARTH_RADIUS_KM, GEOGRAPHIC_COLUMNS, GEOMETRY_CO
 from loamframe.functions import geometry as g
 from loamframe.functions import grid, topology
 from loamframe.operators import cells
+from loamframe.operators.profiles import nest_mapunits
 from loamframe.operators.aggregates import top_k_units
 
 Box = tuple[float, float, float, float]
@@ -64,6 +65,23 @@ def components_at_points(
     return joined.orderBy(F.desc("comppct_r"), "hzdept_r", "chkey") if ordered else joined
 
 
+def mapunits_at_points(
+    points: DataFrame, polys: DataFrame, mapunit: DataFrame, component: DataFrame | None = None, horizon: DataFrame | None = None,
+    key: str = "point_id", component_columns: Sequence[str] = (), horizon_columns: Sequence[str] = (), **names,
+) -> tuple[DataFrame, DataFrame]:
+    """The map units under each point, and those units with all below them.
+
+    The first result is (point key, mukey), the second has the rows of
+    ``nest_mapunits`` for the units that hold a point, each unit once however
+    many points it holds. A point on an outline belongs to the units on both
+    sides; points outside all polygons have no row.
+    """
+    links = point_in_polygon_join(points, polys, ["mukey"], boundary=True, **names).select(key, "mukey").distinct()
+    hit = links.select("mukey").distinct()
+    units = nest_mapunits(mapunit.join(hit, "mukey", "left_semi"), component, horizon, component_columns, horizon_columns)
+    return links, units
+
+
 def polygons_in_bbox(polys: DataFrame, box: Box, mapunit: DataFrame | None = None, wkt: str = "wkt") -> DataFrame:
     """Polygons that share a point with a box, with map-unit attributes."""
     box = tuple(float(v) for v in box)

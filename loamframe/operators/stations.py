@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,6 +99,45 @@ def available_properties(sensors: DataFrame) -> DataFrame:
     )
 
 
+FLAG_COLUMNS = ["qc_flag", "qa_flag", "orig_qc_flag"]
+POINT_COLUMNS = ["qc_flag", "qa_flag", "orig_value", "orig_qc_flag", "average", "median"]
+
+
+def property_near_parts(
+    sites: DataFrame,
+    stations: DataFrame,
+    sensors: DataFrame,
+    readings: DataFrame,
+    property_name: str,
+    start: str,
+    end: str,
+    depth: int | None = None,
+    max_km: float = 50.0,
+    networks: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """The nearest station of every site, and the series of those stations.
+
+    The first result has a row per site, with what is known of its station and
+    its sensor; the second has a row per reading, once for each station and not
+    for each site. A reading keeps its flags, its value before editing and the
+    station's offset from UTC, as far as the tables have them. Sites without a
+    station in reach have no row; sites whose station has no readings keep one
+    with ``n_data_points`` 0.
+    """
+    near = nearest_stations(sites, stations, max_km, 1, networks)
+    about = [c for c in ("name", "latitude", "longitude", "network_code", "elevation", "data_time_zone") if c in stations.columns]
+    known = stations.select("station_triplet", *[F.col(c).alias(f"station_{c}") for c in about]).dropDuplicates(["station_triplet"])
+    links = near.select("site_id", "station_triplet", F.round("distance_km", 2).alias("distance_km")).join(known, "station_triplet", "left")
+    wanted = links.select("station_triplet").distinct()
+    series = station_property_readings(sensors, readings.join(wanted, "station_triplet", "left_semi"), property_name, start, end, depth, POINT_COLUMNS)
+    if "data_time_zone" in about:
+        offsets = known.select("station_triplet", F.col("station_data_time_zone").alias("station_timezone_offset_hours"))
+        series = series.join(offsets, "station_triplet", "left")
+    sizes = series.groupBy("station_triplet").agg(F.min("element_string").alias("element_string"), F.count(F.lit(1)).alias("n_data_points"))
+    links = links.join(sizes, "station_triplet", "left").withColumn("n_data_points", F.coalesce("n_data_points", F.lit(0)))
+    return links, series
+
+
 def property_near(
     sites: DataFrame,
     stations: DataFrame,
@@ -109,21 +150,26 @@ def property_near(
     max_km: float = 50.0,
     networks: Sequence[str] = (),
 ) -> DataFrame:
-    """Non-null readings of the nearest station for every site."""
+    """Non-null readings of the nearest station for every site, in one table.
+
+    A series appears once for each of its sites; ``property_near_parts`` keeps
+    sites and series apart.
+    """
     near = nearest_stations(sites, stations, max_km, 1, networks).select("site_id", "station_triplet", F.round("distance_km", 2).alias("distance_km"))
     series = station_property_readings(sensors, readings, property_name, start, end, depth)
     return near.join(series, "station_triplet")
 
 
 def station_property_readings(
-    sensors: DataFrame, readings: DataFrame, property_name: str, start: str, end: str, depth: int | None = None
+    sensors: DataFrame, readings: DataFrame, property_name: str, start: str, end: str, depth: int | None = None, extra: Sequence[str] = ()
 ) -> DataFrame:
     """Readings of one property from one sensor per station.
 
     The sensor is the one at ``depth``, or the one with the lowest height/depth
     value (the deepest). Where none is listed, and for properties without a
     depth, it is the lowest ordinal that has readings, then the lowest depth,
-    under the plain code.
+    under the plain code. Columns named in ``extra`` stay where ``readings`` has
+    them; with flag columns among them, ``flags`` lists those that are set.
     """
     code = ELEMENT_OF[property_name]
     element = r.parse_element(F.col("element_code"))
@@ -152,7 +198,45 @@ def station_property_readings(
         listed = rows.join(first, "station_triplet").where(same).drop("height_depth_inches", "_ordinal")
         unlisted = _one_sensor(rows.join(first, "station_triplet", "left_anti")).withColumn("element_string", F.lit(code))
         chosen = listed.unionByName(unlisted)
-    return chosen.select("station_triplet", "element_string", "ts", "value", property_unit(F.lit(property_name)).alias("unit"))
+    more = [c for c in extra if c in readings.columns]
+    flags = [r.qc_flags(*[F.col(c) for c in FLAG_COLUMNS]).alias("flags")] if set(FLAG_COLUMNS) <= set(more) else []
+    return chosen.select("station_triplet", "element_string", "ts", "value", *more, *flags, property_unit(F.lit(property_name)).alias("unit"))
+
+
+def station_property_totals(
+    sensors: DataFrame, readings: DataFrame, properties: Sequence[str], start: str, end: str
+) -> DataFrame:
+    """(station_triplet, property_name, n, total) of several properties in one
+    scan of the readings, each from the sensor ``station_property_readings``
+    takes without a depth.
+
+    Readings are added up per sensor before they are shuffled; the choice is
+    made among the sums of a station's sensors.
+    """
+    codes = {ELEMENT_OF[name]: name for name in properties}
+    element = F.col("_e.base_code")
+    rows = (
+        filter_date_range(readings, "ts", start, end)
+        .where(reduce(or_, [F.col("element_code").startswith(code) for code in codes]) & F.col("value").isNotNull())
+        .withColumn("_e", r.parse_element(F.col("element_code")))
+        .where(element.isin(*codes))
+    )
+    keys = ["station_triplet", "property_name"]
+    name = F.try_element_at(_literal_map(list(codes.items())), element).alias("property_name")
+    sums = rows.groupBy("station_triplet", name, F.coalesce("_e.ordinal", F.lit(1)).alias("ordinal"), F.col("_e.depth_inches").alias("depth")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")
+    )
+    deep = {ELEMENT_OF[p]: p for p in properties if p in HEIGHT_DEPTH_PROPERTIES}
+    if deep:
+        sensor = F.struct(F.coalesce("height_depth", F.lit(0)).alias("depth"), F.coalesce("ordinal", F.lit(1)).alias("ordinal"))
+        property_of = F.try_element_at(_literal_map(list(deep.items())), F.col("element_code")).alias("property_name")
+        listed = sensors.where(F.col("element_code").isin(*deep)).groupBy("station_triplet", property_of).agg(F.min(sensor).alias("_listed"))
+        sums = sums.join(listed, keys, "left")
+    else:
+        sums = sums.withColumn("_listed", F.lit(None).cast("struct<depth:int,ordinal:int>"))
+    taken = F.col("_listed").isNull() | ((F.col("depth") == F.col("_listed.depth")) & (F.col("ordinal") == F.col("_listed.ordinal")))
+    first = F.min(F.when(taken, F.struct("ordinal", "depth", "n", "total"))).alias("_first")
+    return sums.groupBy(*keys).agg(first).where("_first IS NOT NULL").select(*keys, "_first.n", "_first.total")
 
 
 def _one_sensor(rows: DataFrame) -> DataFrame:
@@ -271,20 +355,36 @@ def drop_suspect(readings: DataFrame, keep_suspect: bool = False, original_value
 def station_series(requests: DataFrame, readings: DataFrame, duration: str = "DAILY") -> DataFrame:
     """Mean series for a table of requests (request_id, station, element, start, end).
 
-    Readings are first added up per day (hour for hourly series), so a popular
-    series meets its requests with one row a day and not with every reading.
+    Readings are added up per period and, for periods longer than a day, per day.
+    A request takes whole periods from the first table and only the days of its
+    broken first and last period from the second, so it meets one row per period
+    and two periods of days. Periods are met by year: a short request does not
+    meet a long series. Requests without both dates, or that end before they
+    start, have no rows; ``request_id`` names one request.
     """
-    unit = "hour" if duration == "HOURLY" else "day"
-    sums = (
-        readings.where("value IS NOT NULL")
-        .groupBy(*SERIES, F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("ts"))
-        .agg(F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-    )
-    days = F.to_date("ts").between(F.col("start_date"), F.col("end_date"))
-    found = requests.join(sums, SERIES).where(days)
-    return found.groupBy("request_id", *SERIES, period_start(F.col("ts"), duration).alias("period")).agg(
-        F.sum("_n").alias("n"), (F.sum("_sum") / F.sum("_n")).alias("average")
+    period = period_start(F.col("ts"), duration)
+    valid = requests.where("start_date <= end_date").select("request_id", *SERIES, "start_date", "end_date")
+    rows = readings.where("value IS NOT NULL")
+    sums = [F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n")]
+    by_year = valid.withColumn("_year", F.explode(F.sequence(F.year("start_date"), F.year("end_date"))))
+    kept = ["request_id", *SERIES, "period", "_sum", "_n"]
+    if duration in ("HOURLY", "DAILY"):
+        fine = rows.groupBy(*SERIES, period.alias("period")).agg(*sums).withColumn("_year", F.year("period"))
+        inside = F.to_date("period").between(F.col("start_date"), F.col("end_date"))
+        found = by_year.join(fine, [*SERIES, "_year"]).where(inside).select(*kept)
+        return found.select("request_id", *SERIES, "period", F.col("_n").alias("n"), (F.col("_sum") / F.col("_n")).alias("average"))
+    days = rows.groupBy(*SERIES, F.to_date("ts").alias("ts")).agg(*sums).withColumn("period", period)
+    periods = days.groupBy(*SERIES, "period").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")).withColumn("_year", F.year("period"))
+    last_day = lambda start: F.to_date(period_end(start, duration))
+    whole = by_year.join(periods, [*SERIES, "_year"]).where((F.to_date("period") >= F.col("start_date")) & (last_day(F.col("period")) <= F.col("end_date")))
+    ends = F.array_distinct(F.array(*[period_start(F.col(c).cast("timestamp_ntz"), duration) for c in ("start_date", "end_date")]))
+    broken = valid.withColumn("period", F.explode(ends)).where(
+        (F.to_date("period") < F.col("start_date")) | (last_day(F.col("period")) > F.col("end_date"))
     )
+    part = broken.join(days, [*SERIES, "period"]).where(F.col("ts").between(F.col("start_date"), F.col("end_date")))
+    edges = part.groupBy("request_id", *SERIES, "period", "start_date", "end_date").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
+    found = whole.select(*kept).unionByName(edges.select(*kept))
+    return found.select("request_id", *SERIES, "period", F.col("_n").alias("n"), (F.col("_sum") / F.col("_n")).alias("average"))
 
 
 def second_network_variables(stations: DataFrame) -> DataFrame:
@@ -301,25 +401,26 @@ def soil_climate_join(
     """Per site: soil summary of its area and the nearest stations' measurements.
 
     ``sites`` has site_id, latitude, longitude and areasymbol. Readings are
-    summed up per station before they meet the sites.
+    scanned once for all properties and summed up per station before they meet
+    the sites.
     """
     out = sites.join(soil_summary(water, ["areasymbol"]), "areasymbol", "left").join(
         water_table_summary(water_table, ["areasymbol"]), "areasymbol", "left"
     )
-    measured = {"moisture": ("soil_moisture", [network]), "precip": ("precipitation", []), "temp": ("soil_temp", [network])}
-    nearest = {}
-    for name, (property_name, networks) in measured.items():
-        key = tuple(networks)
-        if key not in nearest:
-            nearest[key] = nearest_stations(sites.select("site_id", "latitude", "longitude"), stations, max_km, 1, networks).select(
-                "site_id", "station_triplet", "distance_km"
+    measured = {"moisture": "soil_moisture", "precip": "precipitation", "temp": "soil_temp"}
+    totals = station_property_totals(sensors, readings, list(measured.values()), start, end).groupBy("station_triplet").agg(
+        *[F.max(F.when(F.col("property_name") == p, F.col(c))).alias(f"{name}_{c}") for name, p in measured.items() for c in ("n", "total")]
+    )
+    for names, networks in ((["moisture", "temp"], [network]), (["precip"], [])):
+        near = nearest_stations(sites.select("site_id", "latitude", "longitude"), stations, max_km, 1, networks)
+        found = near.select("site_id", "station_triplet", "distance_km").join(totals, "station_triplet", "left")
+        columns = [
+            column
+            for name in names
+            for column in (
+                F.col("station_triplet").alias(f"{name}_station"), F.col("distance_km").alias(f"{name}_km"),
+                F.coalesce(f"{name}_n", F.lit(0)).alias(f"{name}_n"), F.col(f"{name}_total"),
             )
-        totals = station_property_readings(sensors, readings, property_name, start, end).groupBy("station_triplet").agg(
-            F.count(F.lit(1)).alias(f"{name}_n"), F.sum("value").alias(f"{name}_total")
-        )
-        joined = nearest[key].join(totals, "station_triplet", "left").select(
-            "site_id", F.col("station_triplet").alias(f"{name}_station"), F.col("distance_km").alias(f"{name}_km"),
-            F.coalesce(f"{name}_n", F.lit(0)).alias(f"{name}_n"), f"{name}_total",
-        )
-        out = out.join(joined, "site_id", "left")
+        ]
+        out = out.join(found.select("site_id", *columns), "site_id", "left")
     return out

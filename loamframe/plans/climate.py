@@ -239,6 +239,36 @@ def _(t):
     return stations.property_near(t.sites, t.stations, t.sensors, t.readings, "soil_temp", FROM, TO, depth=-4, max_km=150).select(*_NEAR_COLUMNS)
 
 
+_STO_SERIES = "r.element_code = 'STO:-4:1' AND r.value IS NOT NULL AND r." + _BETWEEN.replace(" ts", " r.ts")
+
+
+@query(
+    "G4_property_points", "sites stations readings",
+    f"""WITH {near_sql('near', 150, 1)} SELECT r.station_triplet, r.ts, r.value, r.qc_flag, r.qa_flag, r.orig_value,
+    concat_ws(',', CASE WHEN qc_flag <> '' THEN concat('QC:', qc_flag) END, CASE WHEN qa_flag <> '' THEN concat('QA:', qa_flag) END,
+      CASE WHEN orig_qc_flag <> '' THEN concat('ORIG_QC:', orig_qc_flag) END) AS flags, t.data_time_zone AS station_timezone_offset_hours
+    FROM readings r JOIN stations t ON r.station_triplet = t.station_triplet
+    WHERE r.station_triplet IN (SELECT station_triplet FROM near) AND {_STO_SERIES}""",
+)
+def _(t):
+    _, series = stations.property_near_parts(t.sites, t.stations, t.sensors, t.readings, "soil_temp", FROM, TO, depth=-4, max_km=150)
+    return series.select(
+        "station_triplet", "ts", "value", "qc_flag", "qa_flag", "orig_value", F.array_join("flags", ",").alias("flags"), "station_timezone_offset_hours"
+    )
+
+
+@query(
+    "G4_site_stations", "sites stations readings",
+    f"""WITH {near_sql('near', 150, 1)}, c AS (SELECT r.station_triplet, count(*) AS n FROM readings r WHERE {_STO_SERIES} GROUP BY r.station_triplet)
+    SELECT n.site_id, n.station_triplet, round(n.distance_km, 2) AS distance_km, t.name AS station_name, t.network_code AS station_network_code,
+    t.elevation AS station_elevation, coalesce(c.n, 0) AS n_data_points
+    FROM near n JOIN stations t ON n.station_triplet = t.station_triplet LEFT JOIN c ON n.station_triplet = c.station_triplet""",
+)
+def _(t):
+    links, _ = stations.property_near_parts(t.sites, t.stations, t.sensors, t.readings, "soil_temp", FROM, TO, depth=-4, max_km=150)
+    return links.select("site_id", "station_triplet", "distance_km", "station_name", "station_network_code", "station_elevation", "n_data_points")
+
+
 @query("G15_moisture_profile", "sites stations readings", f"WITH {near_sql('near', 300, 1, 'SCAN')} {_NEAR_SERIES.format('SMS:-20:1')}")
 def _(t):
     return stations.moisture_profile(t.sites, t.stations, t.sensors, t.readings, FROM, TO, 300).select(*_NEAR_COLUMNS)
@@ -458,6 +488,38 @@ def _(t):
     return rounded(stations.station_series(t.requests, t.readings), "average")
 
 
+_LONG_REQUESTS = """SELECT request_id, station_triplet, CASE WHEN request_id % 2 = 0 THEN 'SMS' ELSE 'STO' END AS element_code,
+    DATE '1993-03-10' + CAST(request_id % 300 AS INT) AS start_date, DATE '1993-03-10' + CAST(request_id % 300 + request_id % 900 AS INT) AS end_date"""
+
+
+def _long_series(t, duration: str):
+    wanted = t.requests.selectExpr(
+        "request_id", "station_triplet", "CASE WHEN request_id % 2 = 0 THEN 'SMS' ELSE 'STO' END AS element_code",
+        "date_add(DATE '1993-03-10', CAST(request_id % 300 AS INT)) AS start_date",
+        "date_add(DATE '1993-03-10', CAST(request_id % 300 + request_id % 900 AS INT)) AS end_date",
+    )
+    return rounded(stations.station_series(wanted, t.long_readings, duration), "average")
+
+
+def _long_series_sql(period: str) -> str:
+    return f"""SELECT q.request_id, q.station_triplet, q.element_code, CAST({period} AS TIMESTAMP) AS period, count(*) AS n, round(avg(r.value), 6) AS average
+    FROM ({_LONG_REQUESTS} FROM requests) q JOIN long_readings r ON q.station_triplet = r.station_triplet AND q.element_code = r.element_code
+    WHERE r.value IS NOT NULL AND CAST(r.ts AS DATE) BETWEEN q.start_date AND q.end_date GROUP BY ALL"""
+
+
+@query("G16_monthly_series", "requests long_readings", _long_series_sql("date_trunc('month', r.ts)"))
+def _(t):
+    return _long_series(t, "MONTHLY")
+
+
+@query(
+    "G16_water_year_series", "requests long_readings",
+    _long_series_sql("make_date(CAST(year(r.ts) - CASE WHEN month(r.ts) < 10 THEN 1 ELSE 0 END AS INT), 10, 1)"),
+)
+def _(t):
+    return _long_series(t, "WATER_YEAR")
+
+
 @query(
     "G16_second_network_variables", "",
     """SELECT DISTINCT concat('SITE_', user_id) AS station_id, unnest(['soiltemp', 'soilVWC', 'airtemp', 'waterlevel']) AS variable,

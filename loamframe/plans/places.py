@@ -76,6 +76,21 @@ def _(t):
     return rows.select("point_id", "muname", "cokey", "comppct_r", "chkey", "hzdept_r")
 
 
+@query(
+    "F1_mapunits_at_points", "points mupolygon mapunit component chorizon",
+    f"""WITH {HITS}, found AS (SELECT DISTINCT point_id, mukey FROM hits WHERE inside OR on_edge),
+    h AS (SELECT cokey, count(*) AS n, max(hzdepb_r) AS deepest FROM chorizon GROUP BY cokey)
+    SELECT f.point_id, m.mukey, m.muname, c.cokey AS component_key, c.compname AS component_name, CAST(coalesce(h.n, 0) AS BIGINT) AS n_horizons, h.deepest
+    FROM found f JOIN mapunit m ON f.mukey = m.mukey LEFT JOIN component c ON m.mukey = c.mukey LEFT JOIN h ON c.cokey = h.cokey""",
+)
+def _(t):
+    links, units = spatial.mapunits_at_points(t.points, t.shapes("mupolygon"), t.mapunit.select("mukey", "muname"), t.component, t.chorizon, wkt="mupolygongeo")
+    below = units.groupBy("mukey", "muname", "component_key", "component_name").agg(
+        F.count("horizon_key").alias("n_horizons"), F.max("bottom_depth").alias("deepest")
+    )
+    return links.join(below, "mukey").select("point_id", "mukey", "muname", "component_key", "component_name", "n_horizons", "deepest")
+
+
 @query(
     "E3_polygons_in_bbox", "mapunit",
     f"WITH {rectangles()} SELECT DISTINCT polygonkey, m.musym, m.muname FROM rects r JOIN mapunit m ON r.polygonkey = m.mukey WHERE {_IN_BOX}",

@@ -260,3 +260,14 @@ def test_spatial_table_skips_what_lies_elsewhere(spark, tmp_path):
     assert sum(b[1] <= 30.5 and b[2] >= 10.5 and b[3] <= 30.5 and b[4] >= 10.5 for b in boxes) <= len(boxes) / 2
     spatial_table.write_spatial_table(df.limit(0), "wkt", str(tmp_path / "none"))
     assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_map_units_at_points_are_nested_once(spark):
+    square = lambda x: f"POLYGON(({x} 0, {x + 1} 0, {x + 1} 1, {x} 1, {x} 0))"
+    polys = spark.createDataFrame([("u1", square(0)), ("u2", square(1)), ("u3", square(5)), ("u1", square(8))], "mukey string, wkt string")
+    points = spark.createDataFrame([(n, 0.1 + n / 100, 0.5) for n in range(20)] + [(90, 1.0, 0.5), (91, 3.0, 3.0), (92, 8.5, 0.5)], "point_id int, lon double, lat double")
+    mapunit = spark.createDataFrame([("u1", "one"), ("u2", "two"), ("u3", "three")], "mukey string, muname string")
+    component = spark.createDataFrame([("c1", "u1", "A", 60, "Yes"), ("c2", "u1", "B", 40, "No"), ("c3", "u3", "C", 9, "Yes")], "cokey string, mukey string, compname string, comppct_r int, majcompflag string")
+    links, units = spatial.mapunits_at_points(points, polys, mapunit, component)
+    assert sorted(map(tuple, links.collect())) == sorted([(n, "u1") for n in range(20)] + [(90, "u1"), (90, "u2"), (92, "u1")])
+    assert sorted(((x["mukey"], x["component_key"]) for x in units.collect()), key=str) == [("u1", "c1"), ("u1", "c2"), ("u2", None)]

@@ -173,3 +173,61 @@ def test_one_sensor_where_none_is_listed(spark):
     none = spark.createDataFrame([], "station_triplet string, element_code string, height_depth int, ordinal int")
     find = lambda name: [r["value"] for r in stations.station_property_readings(none, rows, name, "2023-12-01", "2024-02-01").collect()]
     assert find("soil_moisture") == [2.0] and find("precipitation") == [4.0]
+
+
+@pytest.mark.parametrize("duration", ["DAILY", "SEMIMONTHLY", "MONTHLY", "SEASONAL", "WATER_YEAR", "CALENDAR_YEAR"])
+def test_station_series_of_whole_and_broken_periods(spark, duration):
+    data = [("a", "E", D(2022, 12, 20) + dt.timedelta(hours=19 * n), None if n % 11 == 0 else float(n)) for n in range(900)]
+    ranges = [(1, "2023-01-01", "2023-12-31"), (2, "2023-02-10", "2023-02-20"), (3, "2023-01-16", "2024-03-02"), (4, "2022-01-01", "2030-01-01"),
+              (5, "2023-05-05", "2023-05-05"), (6, "2023-06-02", "2023-06-01"), (7, None, "2023-06-01"), (8, "2023-09-30", "2023-10-01"), (9, "2023-02-01", "2023-02-28")]
+    day = lambda text: text and dt.date.fromisoformat(text)
+    readings = spark.createDataFrame(data, "station_triplet string, element_code string, ts timestamp_ntz, value double")
+    requests = spark.createDataFrame([(i, "a", "E", day(x), day(y)) for i, x, y in ranges], "request_id int, station_triplet string, element_code string, start_date date, end_date date")
+    plain = (
+        requests.join(readings.where("value IS NOT NULL"), ["station_triplet", "element_code"])
+        .where(F.to_date("ts").between(F.col("start_date"), F.col("end_date")))
+        .groupBy("request_id", periods.period_start(F.col("ts"), duration).alias("period")).agg(F.count("value").alias("n"), F.avg("value").alias("average"))
+    )
+    found = stations.station_series(requests, readings, duration)
+    listed = lambda df: sorted((x["request_id"], x["period"], x["n"], round(x["average"], 9)) for x in df.collect())
+    assert listed(found) == listed(plain) and len(listed(found)) > 5
+
+
+def test_property_totals_choose_the_sensor_of_the_readings(spark):
+    codes = ["SMS:-2:1", "SMS:-20:1", "SMS:-20:2", "SMS", "SMSX:-2:1", "STO:-4:1", "STO::2", "PREC:0:1", "PREC:0:2", "odd:1"]
+    rows = [(f"s{s}", codes[(s * 7 + n * 3) % len(codes)], D(2024, 1, 1 + n % 28), None if n % 5 == 0 else float(n)) for s in range(12) for n in range(2 + s)]
+    data = spark.createDataFrame(rows, "station_triplet string, element_code string, ts timestamp_ntz, value double")
+    listed = [(f"s{s}", c, d, o) for s in range(0, 12, 2) for c, d, o in [("SMS", -2, 1), ("SMS", -20, None), ("STO", -4 - s % 4, 1), ("PREC", None, 1)]]
+    sensors = spark.createDataFrame(listed, "station_triplet string, element_code string, height_depth int, ordinal int")
+    names = ["soil_moisture", "soil_temp", "precipitation"]
+    got = {tuple(x) for x in stations.station_property_totals(sensors, data, names, "2024-01-01", "2024-01-20").collect()}
+    expected = set()
+    for name in names:
+        series = stations.station_property_readings(sensors, data, name, "2024-01-01", "2024-01-20")
+        expected |= {(x["station_triplet"], name, x["n"], x["total"]) for x in series.groupBy("station_triplet").agg(F.count("value").alias("n"), F.sum("value").alias("total")).collect()}
+    assert got == expected and len(got) > 10
+    assert stations.station_property_totals(sensors, data, ["precipitation"], "2024-01-01", "2024-01-20").count() == sum(x[1] == "precipitation" for x in got)
+
+
+def test_series_near_sites_keep_flags_and_are_not_repeated(spark):
+    sites = spark.createDataFrame([(n, 40.0, -100.0 + n / 100) for n in range(5)] + [(9, 0.0, 0.0)], "site_id int, latitude double, longitude double")
+    known = spark.createDataFrame([("a", 40.0, -100.0, "SCAN", -6, "A"), ("b", 45.0, -100.0, "SCAN", -7, "B")], "station_triplet string, latitude double, longitude double, network_code string, data_time_zone int, name string")
+    data = spark.createDataFrame(
+        [("a", "PREC:0:1", D(2024, 1, 1), 1.0, "V", "", 7.0, "E"), ("a", "PREC:0:1", D(2024, 1, 2), None, None, None, None, None), ("a", "PREC:0:1", D(2024, 1, 3), 2.0, None, "S", None, None), ("b", "PREC:0:1", D(2024, 1, 1), 5.0, None, None, None, None)],
+        "station_triplet string, element_code string, ts timestamp_ntz, value double, qc_flag string, qa_flag string, orig_value double, orig_qc_flag string")
+    none = spark.createDataFrame([], "station_triplet string, element_code string, height_depth int, ordinal int")
+    links, series = stations.property_near_parts(sites, known, none, data, "precipitation", "2024-01-01", "2024-01-31")
+    assert sorted((x["site_id"], x["station_triplet"], x["station_name"], x["n_data_points"]) for x in links.collect()) == [(n, "a", "A", 2) for n in range(5)]
+    points = sorted(series.collect(), key=lambda x: x["ts"])
+    assert [(x["value"], x["flags"], x["orig_value"], x["station_timezone_offset_hours"]) for x in points] == [(1.0, ["QC:V", "ORIG_QC:E"], 7.0, -6), (2.0, ["QA:S"], None, -6)]
+    bare = stations.property_near_parts(sites, known.drop("data_time_zone", "name"), none, data.drop("qc_flag", "orig_value"), "precipitation", "2024-01-01", "2024-01-31")[1]
+    assert bare.columns == ["station_triplet", "element_string", "ts", "value", "qa_flag", "orig_qc_flag", "unit"] and bare.count() == 2
+
+
+def test_climate_join_scans_readings_once(spark, tmp_path):
+    data = spark.createDataFrame([("a", "PREC:0:1", D(2024, 1, 1), 1.0)], "station_triplet string, element_code string, ts timestamp_ntz, value double")
+    data.write.parquet(str(tmp_path / "readings_once"))
+    sensors = spark.createDataFrame([("a", "SMS", -2, 1)], "station_triplet string, element_code string, height_depth int, ordinal int")
+    totals = stations.station_property_totals(sensors, spark.read.parquet(str(tmp_path / "readings_once")), ["soil_moisture", "soil_temp", "precipitation"], "2024-01-01", "2024-01-31")
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ts#") and plan.count("Relation [") == 1
