@@ -55,41 +55,6 @@ def fingerprints(documents: DataFrame, text: str = "text", functions: int = FUNC
     return documents.select(*rest, whole_text(text).alias(fresh(documents, "_text"))).mapInArrow(run, schema)
 
 
-def similar_to_first(documents: DataFrame, similarity: float = 0.8, doc: str = "doc_id", text: str = "text", functions: int = FUNCTIONS, rows: int = BAND_ROWS) -> DataFrame:
-    """(doc, first, jaccard): each document with the least-keyed one of every
-    band of its fingerprint, where their shingle sets reach ``similarity``.
-
-    A band is ``rows`` places of the fingerprint. A group in a band is compared
-    with its first member only, so its pairs grow with its size and not with
-    the square, and the first is found by an aggregate that adds up before the
-    shuffle. Texts without words have no bands; null keys are left out; repeats
-    of a key count once (the least text); an empty table gives no rows.
-    """
-    spark = documents.sparkSession
-    known = documents.where(F.col(doc).isNotNull()).groupBy(F.col(doc).cast("long").alias("_doc")).agg(F.min(whole_text(text)).alias("_text"))
-    path = scratch_path(spark, "fingerprints")
-    fingerprints(known, "_text", functions, "_print").write.option("compression", "zstd").parquet(path)
-    signed = spark.read.parquet(path)
-    width = DIGITS * rows
-    places = F.sequence(F.lit(0), F.lit(functions // rows - 1))
-    cut = F.transform(places, lambda n: F.substring(F.col("_print"), n * width + 1, F.lit(width)))
-    bands = signed.where(F.col("_print") != _shown(_sign(MinHash(functions), [np.zeros(0, np.uint64)])[0])).select("_doc", F.posexplode(cut).alias("band", "part"))
-    firsts = bands.groupBy("band", "part").agg(F.min("_doc").alias("_first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    pairs = bands.join(firsts, ["band", "part"]).where("_doc != _first").select("_doc", "_first").distinct()
-    texts = signed.select("_doc", "_text")
-    both = pairs.join(texts, "_doc").join(texts.select(F.col("_doc").alias("_first"), F.col("_text").alias("_other")), "_first")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            mine, other = (_sets(b.column(n).to_pylist(), hashes) for n in (2, 3))
-            found = pa.array([jaccard(x, y) for x, y in zip(mine, other)], pa.float64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), found], names=["_doc", "_first", "jaccard"])
-
-    checked = both.select("_doc", "_first", "_text", "_other").mapInArrow(verify, "_doc long, _first long, jaccard double")
-    return checked.where(F.col("jaccard") >= similarity - 1e-9).select(F.col("_doc").alias(doc), F.col("_first").alias("first"), "jaccard")
-
-
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Exact similarity of two shingle sets (0 if either is empty)."""
     a, b = np.unique(a), np.unique(b)

@@ -241,6 +241,15 @@ def test_near_copies_tell_rows_of_a_key_apart(spark):
     assert sorted(set(kept) - set(ends), key=repr) == sorted([(5, a), (3, b + " end"), (None, "alone here"), (None, None)], key=repr) and len(kept) == 5
 
 
+def test_of_rows_equal_in_key_and_text_the_least_stays(spark):
+    rows = [(1, "one two three", "z", 5), (1, "one two three", "b", 9), (1, "one two three", None, 7), (1, "one two three", None, 3), (2, "other words", "q", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").withColumn("tags", F.create_map(F.lit("k"), "n"))
+    for parts in (1, 5):
+        kept = corpus_pipeline.drop_near_copies(spark, docs.repartition(parts), SF)
+        assert kept.columns == docs.columns
+        assert sorted((r["doc_id"], r["source"], r["n"], r["tags"]["k"]) for r in kept.collect()) == [(1, None, 3, 3), (2, "q", 1, 1)]
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_odd_documents(spark, odd_documents, no_documents, name, stage):
     out = stage(spark, odd_documents, SF)

@@ -121,13 +121,6 @@ def test_edited_fingerprints_of_odd_texts(spark, odd_documents, no_documents):
     assert one["near_next"] == 1.0 and one["n_chars"] == 15
 
 
-def test_bands_meet_near_copies(spark, odd_documents, no_documents):
-    found = {(r["doc_id"], r["first"]): r["jaccard"] for r in fingerprint.similar_to_first(odd_documents).collect()}
-    assert found[(2, 1)] == 1.0 or (2, -3) in found
-    assert {d for d, _ in found} >= {1, 2, 3} and all(j >= 0.8 for j in found.values())
-    assert fingerprint.similar_to_first(no_documents).count() == 0
-
-
 def test_query_links_more_than_the_first(spark, odd_documents, no_documents):
     """B and C are near copies; a smaller key shares bands with both but is near to B only."""
     w = [f"w{i}" for i in range(200)]
