@@ -35,11 +35,17 @@ def band_cell(lon: Column, cells: Column) -> Column:
 
 
 def cell_span_km(b: Column, cells: Column, radius_km: Column) -> Column:
-    """Bound on the distance of two points in one cell of the band."""
+    """Bound on the distance of two points in one cell of the band.
+
+    Half the chord between two points, over the earth's radius, is at most the
+    diagonal of half the band's height and half the cell's greatest width.
+    """
     height = radius_km / KM_PER_DEGREE
     crosses_equator = (b * height - 90.0 < 0) & ((b + 1) * height - 90.0 > 0)
     near = F.when(crosses_equator, 0.0).otherwise(_edges(b, radius_km)[0])
-    return radius_km + 360.0 * KM_PER_DEGREE * F.cos(F.radians(near)) / cells
+    width = 2.0 * math.pi * EARTH_RADIUS_KM * F.cos(F.radians(near)) / cells
+    half_chord = F.hypot(radius_km, width) / (2.0 * EARTH_RADIUS_KM)
+    return 2.0 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), half_chord)) * (1 + 1e-9)
 
 
 def search_cells(lat: Column, lon: Column, grid_km: Column, radius_km: Column) -> Column:

@@ -261,7 +261,7 @@ def drop_invalid_geometry(df: DataFrame, column: str | None = None, crs: str | N
     return shaped.withColumns({"geometry": F.col(column), "crs": F.lit(crs or "EPSG:4326")}).withColumnRenamed("_kind", "geometry_type")
 
 
-_GRIDS = 3  # search grids, each an eighth of the one before
+_GRIDS, _STEP = 12, 1.5  # search grids, each finer than the one before by the step
 
 
 def nearest_stations(
@@ -276,57 +276,55 @@ def nearest_stations(
     """The ``k`` stations within ``max_km`` of each site, nearest first.
 
     Both sides carry ``latitude`` and ``longitude``. Stations at one spot count
-    only with their first ``k`` ids. Where a site's own cell already holds ``k``
-    stations, a smaller radius is certain to suffice, so crowded places are
-    searched on a finer grid and do not produce all their pairs.
+    only with their first ``k`` ids, and sites at one spot are searched for once.
+    Where a site's own cell already holds ``k`` stations, a smaller radius is
+    certain to suffice, so crowded places are searched on a finer grid and do
+    not produce all their pairs.
     """
     lat, lon = F.col("latitude"), F.col("longitude")
+    spot, cell = ["latitude", "longitude"], ["grid", "band", "cell"]
     valid = lat.between(-90, 90) & lon.between(-180, 180)
     wanted = stations.where(F.col("network_code").isin(*networks)) if networks else stations
-    spot = Window.partitionBy("latitude", "longitude").orderBy(station_id)
     spots = (
         wanted.where(valid)
-        .select(station_id, "latitude", "longitude")
-        .withColumn("_rank", F.row_number().over(spot))
+        .select(station_id, *spot)
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(*spot).orderBy(station_id)))
         .where(F.col("_rank") <= k)
         .drop("_rank")
     )
-    radii = [max_km / 8**i for i in range(_GRIDS)]
-    size = lambda c: F.element_at(F.array(*[F.lit(r) for r in radii]), c + 1)
-
-    def cell_of(df: DataFrame, radius: Column) -> DataFrame:
-        b = grid.band(lat, radius)
-        return df.withColumns({"band": b, "cell": grid.band_cell(lon, grid.band_cells(b, radius))})
-
-    reached = sites.where(valid).withColumn("_radius", F.lit(float(max_km)))
-    for i, r in enumerate(radii[1:], start=1):
-        radius = F.lit(r)
-        crowded = (
-            cell_of(spots, radius).groupBy("band", "cell").count().where(F.col("count") >= k)
-            .select("band", "cell", grid.cell_span_km(F.col("band"), grid.band_cells(F.col("band"), radius), radius).alias("_span"))
-        )
-        reached = (
-            cell_of(reached, radius).join(crowded, ["band", "cell"], "left")
-            .withColumn("_radius", F.least("_radius", "_span"))
-            .drop("band", "cell", "_span")
-        )
+    radii = [max_km / _STEP**i for i in range(_GRIDS)]
+    size = F.element_at(F.array(*[F.lit(float(r)) for r in radii]), F.col("grid") + 1)
+    on_all_grids = lambda df: on_grid(df.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(_GRIDS - 1)))))
+
+    def on_grid(df: DataFrame) -> DataFrame:
+        b = grid.band(lat, size)
+        return df.withColumns({"band": b, "cell": grid.band_cell(lon, grid.band_cells(b, size))})
+
+    placed = on_all_grids(spots)
+    span = grid.cell_span_km(F.col("band"), grid.band_cells(F.col("band"), size), size)
+    crowded = placed.groupBy(*cell).count().where(F.col("count") >= k).select(*cell, span.alias("_span"))
+    reached = (
+        on_all_grids(sites.where(valid).select(*spot).distinct())
+        .join(crowded, cell, "left")
+        .groupBy(*spot)
+        .agg(F.least(F.lit(float(max_km)), F.min("_span")).alias("_radius"))
+    )
     finest = sum(((F.col("_radius") <= r).cast("int") for r in radii[1:]), F.lit(0))
+    # A fixed number of parts: a short list of sites has as many pairs to test as a long one may have.
     seeking = (
         reached.withColumn("grid", finest)
-        .withColumn("_at", F.explode(grid.search_cells(lat, lon, size(F.col("grid")), F.col("_radius"))))
-        .select("*", "_at.band", "_at.cell")
-        .drop("_at")
+        .withColumn("_at", F.explode(grid.search_cells(lat, lon, size, F.col("_radius"))))
+        .select(*spot, "grid", "_at.band", "_at.cell")
+        .repartition(int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cell)
     )
-    placed = cell_of(
-        spots.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(_GRIDS - 1)))), size(F.col("grid"))
-    ).withColumnsRenamed({"latitude": "station_latitude", "longitude": "station_longitude"})
+    targets = placed.withColumnsRenamed({"latitude": "station_latitude", "longitude": "station_longitude"})
     distance = g.haversine_km(lat, lon, F.col("station_latitude"), F.col("station_longitude"), EARTH_RADIUS_KM)
-    nearest = Window.partitionBy(site_id).orderBy("distance_km", station_id)
-    return (
-        seeking.join(placed, ["grid", "band", "cell"])
-        .withColumn("distance_km", distance)
-        .where(F.col("distance_km") <= max_km)
-        .withColumn("rank", F.row_number().over(nearest))
-        .where(F.col("rank") <= k)
-        .drop("grid", "band", "cell", "_radius", "station_latitude", "station_longitude")
-    )
+
+    def first_k(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        nearest = Window.partitionBy(*by).orderBy("distance_km", station_id)
+        return df.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+
+    found = seeking.join(targets.hint("merge"), cell).withColumn("distance_km", distance).where(F.col("distance_km") <= max_km)
+    of_spot = first_k(found, spot).select(*spot, station_id, "distance_km")
+    # Ranked again by site: rows of one site may lie at several spots.
+    return first_k(sites.join(of_spot, spot), [site_id]).select(*sites.columns, station_id, "distance_km", "rank")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamframe.functions import geometry as g
+from loamframe.functions import grid
 from loamframe.functions.topology import RELATIONS
 from plain_relations import parse, relate
 from loamframe.operators import cells, spatial
@@ -158,6 +159,41 @@ def test_two_stations_ascending(spark):
     assert len(rows) == 2 and rows[0]["distance_km"] <= rows[1]["distance_km"]
 
 
+def test_sites_on_one_spot_are_searched_for_once(spark):
+    spot, apart = (40.0, -100.0), (40.5, -100.0)
+    sites = [(n, *spot) for n in range(300)] + [(7, *apart), (1000, *apart), (None, *apart), (1001, None, 1.0)]
+    stations = [(f"s{n}", 40.0 + n / 100, -100.0, "X") for n in range(60)]
+    a = spark.createDataFrame(sites, "site_id int, latitude double, longitude double").coalesce(1)
+    b = spark.createDataFrame(stations, "station_triplet string, latitude double, longitude double, network_code string").coalesce(1)
+    near = spatial.nearest_stations(a, b, 100, 2)
+    # The pairs are dealt over all tasks, however few the sites came in.
+    assert "REPARTITION_BY_NUM" in near._jdf.queryExecution().executedPlan().toString()
+    found = {}
+    for r in near.collect():
+        found.setdefault(r["site_id"], []).append((r["rank"], r["station_triplet"], r["latitude"]))
+    assert len(found) == 302
+    assert sorted(found[3]) == [(1, "s0", 40.0), (2, "s1", 40.0)]
+    # One site at two spots has one ranking.
+    assert [r[0] for r in sorted(found[7])] == [1, 2] and {r[1] for r in found[7]} == {"s0", "s50"}
+    assert {r[1] for r in found[1000]} == {"s50", "s49"} or {r[1] for r in found[1000]} == {"s50", "s51"}
+    assert sorted(found[None]) == sorted(found[1000])
+
+
+def test_bound_on_the_distance_within_a_cell(spark):
+    """It holds for all corners of a cell and is hardly more than its diagonal."""
+    for size in (5.0, 60.0, 900.0):
+        for at in (-89.0, -45.3, 0.0, 30.2, 62.0, 89.5):
+            row = spark.range(1).select(F.lit(at).alias("lat"), F.lit(size).alias("size"))
+            band = grid.band(F.col("lat"), F.col("size"))
+            n = grid.band_cells(band, F.col("size"))
+            b, n, bound = row.select(band, n, grid.cell_span_km(band, n, F.col("size"))).first()
+            height = size / grid.KM_PER_DEGREE
+            edges = [max(-90.0, b * height - 90), min(90.0, (b + 1) * height - 90)]
+            far = max(haversine((p, 0.0), (q, min(180.0, 360.0 / n))) for p in edges for q in edges)
+            assert far <= bound
+            assert abs(at) > 70 or size > 100 or bound <= 1.6 * size
+
+
 def test_relations_agree_with_a_plain_version(spark):
     rng = random.Random(8)
     at = lambda: f"{rng.randrange(7)} {rng.randrange(7)}"
