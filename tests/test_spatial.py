@@ -277,6 +277,40 @@ def test_crowded_cell_is_split(spark):
     assert spatial.point_in_polygon_join(where, polys, ["key"]).count() == 40 * inside
 
 
+def test_points_of_one_spot_are_tested_once(spark, monkeypatch):
+    """The pairs to test do not grow with the points at a spot; all points get their rows."""
+    tested, look_up = [], cells.look_up
+
+    def counted(points, *rest):
+        tested.append(points.count())
+        return look_up(points, *rest)
+
+    monkeypatch.setattr(cells, "look_up", counted)
+    polys = spark.createDataFrame([(1, 10, SQUARE), (2, 20, HOLED), (3, 10, ELL)], "polygonkey int, mukey int, wkt string")
+    spots = [(0.5, 0.5), (2.0, 2.0), (3.5, 3.5), (4.1, 2.0), (-0.0, 0.0), (0.0, -0.0), (9.0, 9.0)]
+    where = [(7 * n + i, *spot) for n in range(50) for i, spot in enumerate(spots)]
+    points = spark.createDataFrame(where + [(0, 3.5, 3.5), (None, 0.5, 0.5), (None, 2.0, 2.0), (999, None, 0.5)], "point_id int, lon double, lat double")
+    inside = {0: {1, 2, 3}, 1: {1}, 2: {1, 2}, 3: set(), 4: set(), 5: set(), 6: set()}
+    touching = {0: {1, 2, 3}, 1: {1, 3}, 2: {1, 2}, 3: set(), 4: {1, 2, 3}, 5: {1, 2, 3}, 6: set()}
+    for boundary, expected in ((False, inside), (True, touching)):
+        rows = spatial.point_in_polygon_join(points, polys, ["polygonkey"], boundary).collect()
+        assert [r.asDict().keys() for r in rows[:1]] == [{"point_id": 0, "lon": 0, "lat": 0, "polygonkey": 0}.keys()]
+        both = sorted([(7 * n + i, k) for n in range(50) for i in range(7) for k in expected[i]] + [(0, k) for k in expected[2]])
+        assert sorted((r["point_id"], r["polygonkey"]) for r in rows if r["point_id"] is not None) == both
+        assert sum(r["point_id"] is None for r in rows) == len(expected[0]) + len(expected[1])
+    near = spatial.polys_within_distance(points, polys, 0.2, ["polygonkey"]).where("point_id is not null")
+    assert near.groupBy((F.col("point_id") % 7).alias("i")).count().where("i = 3").first()["count"] == 150
+    areas = {r["point_id"]: r["n_polygons"] for r in spatial.region_area(points, polys, 0.2, ["point_id"]).collect()}
+    assert areas[7] == 3 and areas[0] == 5 and areas[10] == 3 and 999 not in areas and 6 not in areas
+    units = spark.createDataFrame([(10, "a"), (20, "b"), (30, "c")], "mukey int, muname string")
+    links, hit = spatial.mapunits_at_points(points, polys, units)
+    pairs = sorted(links.where("point_id is not null").collect())
+    assert len(pairs) == len(set(pairs)) and {k for p, k in pairs if p == 0} == {10, 20} and [k for p, k in pairs if p == 8] == [10]
+    assert sorted(r["mukey"] for r in links.where("point_id is null").collect()) == [10, 20]
+    assert {r["mukey"] for r in hit.collect()} == {10, 20}
+    assert set(tested) == {6}  # both zeros are one spot
+
+
 def test_spatial_table_skips_what_lies_elsewhere(spark, tmp_path):
     rng = random.Random(6)
     shapes = [(i, f"POLYGON(({x} {y}, {x + 1} {y}, {x + 1} {y + 1}, {x} {y}))") for i in range(4000) for x, y in [(rng.randrange(-170, 170), rng.randrange(-80, 80))]]
