@@ -214,20 +214,16 @@ def linked_texts(rows: DataFrame, texts: Callable[[DataFrame], DataFrame], simil
         "nodes",
     )
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = kept(
-        below.join(nodes, ["tree", "node"])
-        .withColumn("side", mine)
-        .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tree", "node", F.least("side", "_with").alias("low"), F.greatest("side", "_with").alias("high"), "side", "rep"),
-        "members",
-    )
+    members = kept(below.join(nodes, ["tree", "node"]).select("tree", "node", "blocks", mine.alias("side"), "rep"), "members")
     known = classes.select("rep", "copies", "nodes")
-    found = kept(
+    # Texts are joined once per node they are in, and only then dealt to the pairs of its blocks.
+    dealt = (
         members.join(known, "rep").join(texts(members), "rep")
-        .groupBy("tree", "node", "low", "high")
-        .applyInPandas(_links(similarity), "rep long, other long, n long"),
-        "links",
+        .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("side", "_with"), "high": F.greatest("side", "_with")})
+        .drop("blocks", "_with")
     )
+    found = kept(dealt.groupBy("tree", "node", "low", "high").applyInPandas(_links(similarity), "rep long, other long, n long"), "links")
     labels = _components(spark, found.select(F.col("rep").alias("a"), F.col("other").alias("b")))
     linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
     grouped = classes.select("rep", "copies", "first_doc", "_digest").join(linked, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))

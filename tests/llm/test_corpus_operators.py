@@ -173,6 +173,27 @@ def test_odd_classes(spark, odd_documents, no_documents):
     assert jaccard_join.similar_classes(no_documents).count() == 0
 
 
+def test_texts_join_once_per_node(spark, monkeypatch):
+    """However many blocks a node's texts are cut into, and the counts are the same."""
+    words = [f"w{n}" for n in range(200)]
+    rows = [(n, " ".join([*words, f"x{n}", f"y{n}"])) for n in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, seen = sorted(map(tuple, jaccard_join.similar_classes(frame).collect())), []
+    linked = jaccard_join.linked_texts
+
+    def counted(signed, texts, similarity):
+        def watched(members):
+            seen.append((members.count(), members.select("tree", "node", "rep").distinct().count()))
+            return texts(members)
+
+        return linked(signed, watched, similarity)
+
+    monkeypatch.setattr(jaccard_join, "linked_texts", counted)
+    monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", 8)
+    assert sorted(map(tuple, jaccard_join.similar_classes(frame).collect())) == whole == [(n, 0, 59) for n in range(60)]
+    assert seen[0][0] == seen[0][1] > 0
+
+
 def test_prefixes_shorten_until_the_recall_is_met():
     depth = jaccard_join.prefix_depth(0.8)
     assert 1 - (1 - 0.8**depth) ** jaccard_join.TREES >= jaccard_join.RECALL > 1 - (1 - 0.8 ** (depth + 1)) ** jaccard_join.TREES
