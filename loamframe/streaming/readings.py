@@ -44,8 +44,13 @@ def start_ingest(
         known = read_or_empty(session, book, LEDGER)
         if not known.where((F.col("run") == run) & (F.col("batch") == number)).isEmpty():
             return
-        new = batch.join(known.select(F.col("file").alias("_source")).distinct(), "_source", "left_anti")
-        parsed = parse_series(new, body).select(*keep, "_source", "_feed").persist()
+        # Only the batch's own files that are recorded already go to all tasks. Rows are dealt
+        # by number: a file is a key that many rows share, and one task may read all of it.
+        arrived = batch.select("_source").distinct()
+        recorded = known.select(F.col("file").alias("_source")).join(F.broadcast(arrived), "_source", "left_semi").distinct()
+        new = batch.join(F.broadcast(recorded), "_source", "left_anti").withColumn("_row", F.monotonically_increasing_id())
+        dealt = new.repartition(int(session.conf.get("spark.sql.shuffle.partitions")), "_row")
+        parsed = parse_series(dealt, body).select(*keep, "_source", "_feed").persist()
         ingest_series_json(parsed, body, stations).write.mode("overwrite").parquet(f"{out}/run={run}/batch={number}")
         rejected_series(parsed, body, keep).write.mode("overwrite").parquet(f"{rejects}/run={run}/batch={number}")
         files = parsed.select(F.col("_source").alias("file")).distinct()
