@@ -18,10 +18,11 @@ from loamframe.constants import (
 from loamframe.functions import readings as r
 from loamframe.functions.periods import period_end, period_start
 from loamframe.functions.quantiles import exact_median
-from loamframe.functions.rows import join_on_keys
+from loamframe.functions.rows import compute_once, join_on_keys
 from loamframe.operators.aggregates import soil_summary, water_table_summary
 from loamframe.operators.selection import filter_date_range
 from loamframe.operators.spatial import nearest_stations
+from loamframe.session import scratch_path
 
 SERIES = ["station_triplet", "element_code"]
 
@@ -355,16 +356,17 @@ def drop_suspect(readings: DataFrame, keep_suspect: bool = False, original_value
 def station_series(requests: DataFrame, readings: DataFrame, duration: str = "DAILY") -> DataFrame:
     """Mean series for a table of requests (request_id, station, element, start, end).
 
-    Readings are added up per period and, for periods longer than a day, per day.
-    A request takes whole periods from the first table and only the days of its
-    broken first and last period from the second, so it meets one row per period
-    and two periods of days. Periods are met by year: a short request does not
+    Only readings of the series and days asked for are added up, per day and, for
+    periods longer than that, per period with a list of its days. A request takes
+    whole periods as they are and cuts its broken first and last period from that
+    list, so it meets one row per period and nothing is gathered per request.
+    Periods are met by year: a short request does not
     meet a long series. Requests without both dates, or that end before they
     start, have no rows; ``request_id`` names one request.
     """
     period = period_start(F.col("ts"), duration)
     valid = requests.where("start_date <= end_date").select("request_id", *SERIES, "start_date", "end_date")
-    rows = readings.where("value IS NOT NULL")
+    rows = _asked_for(valid, readings.where("value IS NOT NULL"))
     sums = [F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n")]
     by_year = valid.withColumn("_year", F.explode(F.sequence(F.year("start_date"), F.year("end_date"))))
     kept = ["request_id", *SERIES, "period", "_sum", "_n"]
@@ -374,19 +376,41 @@ def station_series(requests: DataFrame, readings: DataFrame, duration: str = "DA
         found = by_year.join(fine, [*SERIES, "_year"]).where(inside).select(*kept)
         return found.select("request_id", *SERIES, "period", F.col("_n").alias("n"), (F.col("_sum") / F.col("_n")).alias("average"))
     days = rows.groupBy(*SERIES, F.to_date("ts").alias("ts")).agg(*sums).withColumn("period", period)
-    periods = days.groupBy(*SERIES, "period").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")).withColumn("_year", F.year("period"))
+    # A period has at most 366 days: a broken one is cut from them in its request's own row.
+    listed = F.array_sort(F.collect_list(F.struct("ts", "_sum", "_n"))).alias("_days")
+    by_period = _written(days.groupBy(*SERIES, "period").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), listed), "periods")
+    periods = by_period.drop("_days").withColumn("_year", F.year("period"))
     last_day = lambda start: F.to_date(period_end(start, duration))
     whole = by_year.join(periods, [*SERIES, "_year"]).where((F.to_date("period") >= F.col("start_date")) & (last_day(F.col("period")) <= F.col("end_date")))
     ends = F.array_distinct(F.array(*[period_start(F.col(c).cast("timestamp_ntz"), duration) for c in ("start_date", "end_date")]))
     broken = valid.withColumn("period", F.explode(ends)).where(
         (F.to_date("period") < F.col("start_date")) | (last_day(F.col("period")) > F.col("end_date"))
     )
-    part = broken.join(days, [*SERIES, "period"]).where(F.col("ts").between(F.col("start_date"), F.col("end_date")))
-    edges = part.groupBy("request_id", *SERIES, "period", "start_date", "end_date").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"))
-    found = whole.select(*kept).unionByName(edges.select(*kept))
+    inside = F.filter("_days", lambda d: d["ts"].between(F.col("start_date"), F.col("end_date")))
+    added = F.aggregate(
+        inside, F.struct(F.lit(0.0).alias("_sum"), F.lit(0).cast("long").alias("_n")),
+        lambda t, d: F.struct((t["_sum"] + d["_sum"]).alias("_sum"), (t["_n"] + d["_n"]).alias("_n")),
+    )
+    part = compute_once(broken.join(by_period.select(*SERIES, "period", "_days"), [*SERIES, "period"]), "_part", added)
+    edges = part.where("_part._n > 0").select("request_id", *SERIES, "period", "_part._sum", "_part._n")
+    found = whole.select(*kept).unionByName(edges)
     return found.select("request_id", *SERIES, "period", F.col("_n").alias("n"), (F.col("_sum") / F.col("_n")).alias("average"))
 
 
+def _asked_for(requests: DataFrame, readings: DataFrame) -> DataFrame:
+    """Readings of the series that requests name, between their first and last day."""
+    asked = _written(requests.groupBy(*SERIES).agg(F.min("start_date").alias("_from"), F.max("end_date").alias("_to")), "asked")
+    return readings.join(asked, SERIES).where(F.to_date("ts").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A step of its own: worked out once, and Spark knows its size, so it sends a
+    short table to the other side of a join and never the reverse."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def second_network_variables(stations: DataFrame) -> DataFrame:
     """The four variables each second-network station may carry."""
     return stations.select(
