@@ -72,6 +72,21 @@ def valid_polygon(rings: Column) -> Column:
     return F.coalesce((F.size(rings) > 0) & F.forall(rings, good), F.lit(False))
 
 
+# A point in plain decimals, its coordinates one space apart.
+_PLAIN_POINT = r"^\s*[Pp][Oo][Ii][Nn][Tt]\s*\([ \t\r\n]*([-+]?[0-9]+(?:\.[0-9]+)? [-+]?[0-9]+(?:\.[0-9]+)?)[ \t\r\n]*\)\s*$"
+
+
+def _plain_point(wkt: Column) -> Column:
+    """The shape of a point in the usual spelling as an array of one, empty for any other text."""
+
+    def shape(said: Column) -> Column:
+        x, y = (F.substring_index(said, " ", n).try_cast("double") for n in (1, -1))
+        box = F.struct(x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax"))
+        return F.struct(F.array(F.array(F.struct(x.alias("x"), y.alias("y")))).alias("_rings"), box.alias("_box"))
+
+    return F.transform(F.filter(F.array(F.regexp_extract(wkt, _PLAIN_POINT, 1)), lambda said: said != ""), shape)
+
+
 # What a parsed outline adds to its row; a spatial table has these already.
 SHAPE_COLUMNS = ["_kind", "_rings", "_xmin", "_ymin", "_xmax", "_ymax"]
 
@@ -88,7 +103,9 @@ def with_shape(df: DataFrame, wkt: str, polygons_only: bool = False) -> DataFram
         polygon = wkt_kind(text).contains("POLYGON")
         usable = lambda rings: rings.isNotNull() & (~polygon | valid_polygon(rings))
         shape = lambda rings: F.struct(rings.alias("_rings"), bounding_box(rings).alias("_box"))
-        good = F.transform(F.filter(F.array(parse_rings(text)), usable), shape)
+        good_outline = F.transform(F.filter(F.array(parse_rings(text)), usable), shape)
+        # Most points are spelt plainly and need none of the steps for outlines.
+        good = F.transform(F.array(_plain_point(text)), lambda point: F.when(F.size(point) > 0, point).otherwise(good_outline))[0]
         columns = df.columns
         df = df.select("*", F.explode(good).alias("_shape")).select(
             *columns, wkt_kind(text).alias("_kind"), "_shape._rings", *[F.col(f"_shape._box.{c[1:]}").alias(c) for c in SHAPE_COLUMNS[2:]]

@@ -129,10 +129,13 @@ def facts(a: Column, b: Column) -> Column:
     on the boundary or outside of each: the interiors meet if one is inside both,
     a part of one lies outside the other if one is inside the first only (a shape
     of lower dimension never covers the other), and two lines share a stretch if
-    a piece's middle is on both.
+    a piece's middle is on both. Of points and a shape of higher dimension the
+    points' own places say it all.
     """
+    points = lambda s, other: (s["dim"] == 0) & (other["dim"] > 0)
+    probes = F.when(points(a, b), _probes(a, b)).when(points(b, a), _probes(b, a)).otherwise(F.concat(_probes(a, b), _probes(b, a)))
     places = F.transform(
-        F.concat(_probes(a, b), _probes(b, a)), lambda p: F.struct(p["middle"], locate(a, p["x"], p["y"]).alias("a"), locate(b, p["x"], p["y"]).alias("b"))
+        probes, lambda p: F.struct(p["middle"], locate(a, p["x"], p["y"]).alias("a"), locate(b, p["x"], p["y"]).alias("b"))
     )
 
     def found(ps: Column) -> Column:
