@@ -162,11 +162,10 @@ def token_rows(documents: DataFrame, tokenizer: str, end_id: int, key: str = "do
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe.load(tokenizer)
-        end = int(end_id).to_bytes(4, "little")
+        kind = "<u2" if max(bpe.size, end_id + 1) <= 1 << 16 else "<u4"
         for b in batches:
-            ids = (np.frombuffer(bpe.encode(said.as_py()) + end, "<u4") for said in b.column(2))
-            packed = [i.astype("<u2").tobytes() if max(bpe.size, end_id + 1) <= 1 << 16 else i.tobytes() for i in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["key", "row", "ids"])
+            ids = bpe.encode_texts(b.column(2).to_pylist(), end_id, kind)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids], names=["key", "row", "ids"])
 
     rows = documents.select(F.col(key).cast("long").alias("key"), F.monotonically_increasing_id().alias("row"), whole_text(text).alias("text"))
     return rows.mapInArrow(encode, "key long, row long, ids binary")

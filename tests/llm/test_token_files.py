@@ -34,6 +34,27 @@ def test_ids_are_those_of_the_library(library):
         assert np.frombuffer(bpe.encode(text), "<u4").tolist() == library(text), repr(text)
 
 
+def test_many_texts_at_once_look_up_distinct_pieces_only(monkeypatch, library):
+    """A chunk's equal words are looked up once, and cutting words at signs changes no id."""
+    rng = random.Random(9)
+    signs = ["a", "don't", "it's", "'s", "'.s", "x'll.", "a-b", "(c)", "d...", "B9", "9.b", "né,", "é.a", "…x", ".…", "'", "\"'s", "\n", "\n\n", " ", "  ", "\t", "\xa0", "中.文", "😀,", "x" * 90, ",", "Zz"]
+    texts = ["", "a", "\n", "a\n\nb", "", " a", "a-b.c'd", ""]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(signs) for _ in range(rng.randint(1, 9))) for _ in range(1000)]
+    whole = [np.array([*library(t), 2], "<u4") for t in texts]
+    for chunk, kind in ((8 << 20, "<u4"), (50, "<u2"), (5000, "<u4")):
+        monkeypatch.setattr("loamframe.llm.bytebpe.CHUNK_BYTES", chunk)
+        bpe = ByteBpe(FILE)
+        assert bpe.encode_texts(texts, 2, kind).to_pylist() == [ids.astype(kind).tobytes() for ids in whole]
+    assert bpe.encode_texts([], 2, "<u4").to_pylist() == []
+    bpe = ByteBpe(FILE)
+    bpe.encode_texts(["soil, soil soil. soil"] * 50, 2, "<u4")
+    assert sorted(bpe.pieces) == [b" soil", b",", b".", b"soil"]
+    spaces = [chr(c) for c in range(1 << 16) if chr(c).isspace()]
+    texts = [f"a{x}b" for x in spaces] + ["a b"] + [f"{x}a" for x in spaces] + ["", "b\n\nc", "c\n\n\nd"]
+    assert bpe._odd_ones(texts).tolist() == [bool(t) and bpe._odd(t) for t in texts]
+
+
 def test_memory_of_words_starts_anew(monkeypatch, library):
     monkeypatch.setattr("loamframe.llm.bytebpe.REMEMBERED_BYTES", 6000)
     bpe = ByteBpe(FILE)
