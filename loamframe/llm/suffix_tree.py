@@ -39,7 +39,7 @@ END = b"\t"  # white space, so never a word
 
 
 def _press(b: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=6).compress(b)
+    return zstandard.ZstdCompressor(level=12).compress(b)
 
 
 def _expand(b: bytes) -> bytes:
@@ -147,7 +147,7 @@ def _test_contexts(step: int, tokens: int, shards: int):
         context = np.concatenate([np.repeat(r[0], r[2]) for r in rows])
         times = np.concatenate([np.repeat(r[1], r[2]) for r in rows])
         follow, n, bits = (np.concatenate([r[i] for r in rows]) for i in (3, 4, 5))
-        order = np.lexsort((follow, context))
+        order = _order(np.zeros(len(context), np.int64), context, follow)
         c, f = context[order], follow[order]
         new_context = np.append(True, c[1:] != c[:-1])
         new_pair = new_context | np.append(True, f[1:] != f[:-1])
@@ -184,6 +184,21 @@ def _test_contexts(step: int, tokens: int, shards: int):
     return run
 
 
+def _order(shard: np.ndarray, context: np.ndarray, follow: np.ndarray) -> np.ndarray:
+    """Order by (shard, context, follow), none negative; rows equal in all three in any order.
+
+    Contexts are ranked, so that two sorts of one number each do it.
+    """
+    by_context = np.argsort(context)
+    c = context[by_context]
+    rank = np.empty(len(c), np.int64)
+    rank[by_context] = np.cumsum(np.append(False, c[1:] != c[:-1]))[: len(c)]
+    bits = [int(v.max()).bit_length() if len(v) else 0 for v in (shard, rank, follow)]
+    if sum(bits) > 63:
+        return np.lexsort((follow, context, shard))
+    return np.argsort((shard.astype(np.int64) << (bits[1] + bits[2])) | (rank << bits[2]) | follow)
+
+
 def _summed(gaps: np.ndarray, runs: np.ndarray) -> np.ndarray:
     """Numbers from their differences; each run begins anew."""
     start = np.cumsum(runs) - runs
@@ -230,7 +245,7 @@ class _Batch:
         shard = (context ^ (context >> 29)) * 0x9E3779B1 >> 12
         common = self.context_times[usable] * COMMON >= self.tokens
         shard = np.where(common, shard + follow, shard) % self.shards
-        order = np.lexsort((follow, context, shard))
+        order = _order(shard, context, follow)
         s, c, f = shard[order], context[order], follow[order]
         new = np.append(True, (s[1:] != s[:-1]) | (c[1:] != c[:-1]) | (f[1:] != f[:-1])) if len(s) else np.zeros(0, bool)
         return usable, order, s, c, f, new

@@ -49,6 +49,17 @@ def test_chat_is_reversible(spark):
 # -- suffix tree --------------------------------------------------------------
 
 
+def test_pairs_are_ordered_by_two_sorts():
+    rng = np.random.default_rng(4)
+    for n, width in ((0, 9), (1, 9), (5000, 40), (5000, 1 << 31)):
+        shard, follow = rng.integers(0, 7, n), rng.integers(0, width, n)
+        context = rng.integers(0, 50, n) << 40
+        order, plain = suffix_tree._order(shard, context, follow), np.lexsort((follow, context, shard))
+        assert all((x[order] == x[plain]).all() for x in (shard, context, follow))
+    wide = rng.integers(0, 1 << 62, 3000)  # too many bits for one number
+    assert (wide[suffix_tree._order(wide, wide, wide)] == np.sort(wide)).all()
+
+
 def test_base_scores_and_gain(spark):
     rows = q.suffix_tree_scoring(spark, SF).collect()
     words = {d: t.encode().lower().split() + [b"\t"] for d, t in documents(spark).items()}
