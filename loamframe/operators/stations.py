@@ -371,7 +371,7 @@ def station_series(requests: DataFrame, readings: DataFrame, duration: str = "DA
     by_year = valid.withColumn("_year", F.explode(F.sequence(F.year("start_date"), F.year("end_date"))))
     kept = ["request_id", *SERIES, "period", "_sum", "_n"]
     if duration in ("HOURLY", "DAILY"):
-        fine = rows.groupBy(*SERIES, period.alias("period")).agg(*sums).withColumn("_year", F.year("period"))
+        fine = _written(rows.groupBy(*SERIES, period.alias("period")).agg(*sums), "periods").withColumn("_year", F.year("period"))
         inside = F.to_date("period").between(F.col("start_date"), F.col("end_date"))
         found = by_year.join(fine, [*SERIES, "_year"]).where(inside).select(*kept)
         return found.select("request_id", *SERIES, "period", F.col("_n").alias("n"), (F.col("_sum") / F.col("_n")).alias("average"))
