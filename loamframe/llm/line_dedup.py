@@ -65,9 +65,10 @@ def repeated_units(units: DataFrame, common: int = COMMON) -> DataFrame:
     (kept_doc, kept_start).
 
     Counts are added up before the shuffle, so a unit in a third of all
-    documents is one row per task. Units then meet the first occurrences: those
-    of the few common digests are sent to all tasks (at most ``common`` rows by
-    their definition), the others, each a small share, by a join on the digest.
+    documents is one row per task. Every unit meets at most one first occurrence
+    and stays one row throughout: those of the few common digests are sent to all
+    tasks (at most ``common`` rows by their definition), the others, each a small
+    share, come by a join on the digest, for which common units are dealt out evenly.
     """
     digest = ["d1", "d2"]
     first = units.groupBy(*digest).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_doc", "_hash", "start")).alias("first"))
@@ -76,13 +77,14 @@ def repeated_units(units: DataFrame, common: int = COMMON) -> DataFrame:
     # The floor keeps tiny tables off this path; at most ``common`` digests can reach the bound.
     often = F.col("n") >= max(1000, -(-total // common))
     hot = F.broadcast(repeated.where(often).select(*digest, F.col("first").alias("_often")))
+    rare = repeated.where(~often).select(F.lit(False).alias("_common"), *digest, "first")
     place = F.struct("_doc", "_hash", "start")
-    near = units.join(hot, digest, "left")
-    rare = near.where(F.col("_often").isNull()).join(repeated.where(~often).select(*digest, "first"), digest)
-    names = ["_doc", "_hash", "start", "length", "words", "first"]
-    both = rare.select(*names).unionByName(near.where(F.col("_often").isNotNull()).withColumn("first", F.col("_often")).select(*names))
+    known = F.col("_often").isNotNull()
+    dealt = units.join(hot, digest, "left").withColumn("_common", known).withColumn("d1", F.when(known, F.monotonically_increasing_id()).otherwise(F.col("d1")))
+    both = dealt.join(rare, ["_common", *digest], "left").withColumn("first", F.coalesce("_often", "first"))
     # Repeated rows of the table give the same units again: they count once.
-    return both.where(place != F.col("first")).select(*names[:-1], F.col("first._doc").alias("kept_doc"), F.col("first.start").alias("kept_start")).distinct()
+    names = ["_doc", "_hash", "start", "length", "words"]
+    return both.where(place != F.col("first")).select(*names, F.col("first._doc").alias("kept_doc"), F.col("first.start").alias("kept_start")).distinct()
 
 
 def long_runs(repeated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
