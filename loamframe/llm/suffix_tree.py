@@ -316,9 +316,10 @@ def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", tex
     rows = documents.select(F.col(doc).cast("long"), whole_text(text).cast("binary"), F.coalesce(held_out, F.lit(False)))
     coded = rows.mapInArrow(lambda t: _batches(t, shards), BATCH_SQL)
     # Bucketed by batch, so the answers of each step travel to the batches and not the batches to them.
-    (coded.write.option("compression", "zstd").option("path", stored).bucketBy(shards, "batch").saveAsTable(name))
+    coded = coded.withColumn("of_words", F.col("shard") >= 0)
+    (coded.write.option("compression", "zstd").option("path", stored).partitionBy("of_words").bucketBy(shards, "batch").saveAsTable(name))
     table = spark.table(name)
-    texts = table.where("shard < 0").select("batch", "ids", "held", "sizes", "codes", "shards")
+    texts = table.where("not of_words").select("batch", "ids", "held", "sizes", "codes", "shards")
 
     def kept(df: DataFrame, schema: str, what: str) -> DataFrame:
         path = scratch_path(spark, what)
@@ -326,8 +327,10 @@ def score_texts(documents: DataFrame, held_out: Column, doc: str = "doc_id", tex
             df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(schema).parquet(path)
 
-    words = table.where("shard >= 0").select("batch", "shard", "words", "seen")
+    words = table.where("of_words").select("batch", "shard", "words", "seen")
     answers = kept(words.groupBy("shard").applyInPandas(_count_words(shards), ANSWER_SQL), ANSWER_SQL, "words")
+    # The words are numbered now and not read again: an empty write takes their folder's place.
+    spark.createDataFrame([], "none int").write.mode("overwrite").parquet(f"{stored}/of_words=true")
     sizes = answers.agg(F.sum(F.get("stats", F.lit(0))).alias("n"), F.sum(F.get("stats", F.lit(1))).alias("v")).first()
     tokens, distinct = int(sizes["n"] or 0), int(sizes["v"] or 0)
 

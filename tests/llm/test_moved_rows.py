@@ -1,6 +1,8 @@
 """What the operators move and keep on disk: rows meet once, shuffles stay small."""
 
-from loamframe.llm import line_dedup
+from pyspark.sql import functions as F
+
+from loamframe.llm import line_dedup, suffix_tree
 
 
 def joins(df):
@@ -22,3 +24,15 @@ def test_common_units_stay_one_row(spark):
     assert got == common | {(n, 0): (n - 1, 0) for n in range(1, 2400, 2)}
     assert found.count() == len(got)
     units.unpersist()
+
+
+def test_numbered_words_leave_the_disk(spark, monkeypatch):
+    places = []
+    monkeypatch.setattr(suffix_tree, "scratch_path", lambda s, name, made=suffix_tree.scratch_path: places.append(made(s, name)) or places[-1])
+    rows = [(n, f"a b c d word{n % 7} word{n % 5} e f") for n in range(60)] + [(None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = suffix_tree.score_texts(frame, F.col("doc_id") % 10 == 0)
+    assert out.count() == 61 and out.agg(F.sum("n_tokens")).first()[0] == 60 * 9 + 1
+    stored = next(p for p in places if "/tokens-" in p)
+    left = spark.read.option("recursiveFileLookup", "true").schema("batch long, words binary, codes binary").parquet(stored)
+    assert left.where("codes is not null").count() > 0 and left.where("words is not null").count() == 0
