@@ -18,6 +18,7 @@ from loamframe.session import scratch_path
 FUNCTIONS = 128
 DIGITS = 4  # hexadecimal digits kept of each minimum
 BAND_ROWS = 4
+LOOKUPS = 2  # passes over the texts to find those that meet another, each with as small a share of them on disk
 
 
 def _sets(texts: list[str], hashes: WordHashes) -> list[np.ndarray]:
@@ -191,13 +192,22 @@ def linked_fingerprints(documents: DataFrame, similarity: float = 0.8, doc: str
     signed = done.select("_row", F.col("doc_id").alias("_doc"), "_digest", "_size", F.when(F.col("_size") > 0, bands).alias("_nodes"))
 
     def texts(members: DataFrame) -> DataFrame:
-        """Only texts that meet another; equal rows are one."""
-        wanted = done.join(members.select(F.col("rep").alias("_row")).distinct(), "_row").select(F.col("_row").alias("rep"), "doc_id", "_hash")
-        said = documents.select(F.col(doc).cast("long").alias("_key"), whole_text(text).alias("_said")).withColumn("_said_hash", F.xxhash64("_said"))
-        met = said.join(wanted, F.col("_key").eqNullSafe(F.col("doc_id")) & (F.col("_said_hash") == F.col("_hash")))
+        """Only texts that meet another; equal rows are one.
+
+        All texts travel to find those, by LOOKUPS shares of their hash one after
+        the other, so that only one share is on disk at a time.
+        """
+        place = lambda key, mark: [F.coalesce(key, F.lit(0)).alias("_key"), key.isNull().alias("_none"), mark.alias("_mark")]
+        parts = ["_key", "_none", "_mark"]
+        wanted = done.join(members.select(F.col("rep").alias("_row")).distinct(), "_row").select(F.col("_row").alias("rep"), *place(F.col("doc_id"), F.col("_hash")))
+        said = documents.select(*place(F.col(doc).cast("long"), F.xxhash64(whole_text(text))), whole_text(text).alias("_said"))
         path = scratch_path(spark, "met")
-        with shuffles_removed(spark):
-            met.groupBy("rep").agg(F.min("_said").alias("text")).write.option("compression", "zstd").parquet(path)
+        for n in range(LOOKUPS):
+            share = F.pmod(F.col("_mark"), F.lit(LOOKUPS)) == n
+            # Grouped as joined, so what is found does not travel again.
+            met = said.where(share).join(wanted.where(share), parts).groupBy(*parts, "rep").agg(F.min("_said").alias("text")).select("rep", "text")
+            with shuffles_removed(spark):
+                met.write.mode("append").option("compression", "zstd").parquet(path)
         return spark.read.parquet(path)
 
     linked = jaccard_join.linked_texts(signed, texts, similarity)

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from loamframe.llm import line_dedup, suffix_tree
+from loamframe.llm import fingerprint, line_dedup, suffix_tree
+from loamframe.session import scratch_path
 
 
 def joins(df):
@@ -36,3 +37,21 @@ def test_numbered_words_leave_the_disk(spark, monkeypatch):
     stored = next(p for p in places if "/tokens-" in p)
     left = spark.read.option("recursiveFileLookup", "true").schema("batch long, words binary, codes binary").parquet(stored)
     assert left.where("codes is not null").count() > 0 and left.where("words is not null").count() == 0
+
+
+def test_shares_of_the_lookup_give_the_same(spark, monkeypatch):
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(n, f"start{n // 3} {base} end{n // 4}") for n in range(40)] + [(None, base), (None, base), (3, base), (3, base), (50, None), (51, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    read = []
+
+    def shares(n):
+        monkeypatch.setattr(fingerprint, "LOOKUPS", n)
+        monkeypatch.setattr(fingerprint, "scratch_path", lambda s, name, made=scratch_path: read.append(made(s, name)) or read[-1])
+        found = sorted(map(str, fingerprint.linked_fingerprints(frame).collect()))
+        met = spark.read.parquet(next(p for p in reversed(read) if "/met-" in p))
+        assert met.count() == met.select("rep").distinct().count() > 10
+        return found
+
+    one = shares(1)
+    assert len(one) == 46 and one == shares(2) == shares(5)
