@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+SLICE_BYTES = 1 << 18
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; only Spark opens the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,6 +38,19 @@ def tasks(spark: SparkSession, factor: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * factor)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in order, cut where another ``size`` bytes of the text in
+    ``column`` begin: what Python makes of a batch is many times its text, so a
+    task holds that of one slice only. Batches without rows are left out."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = (np.cumsum(sizes, dtype=np.int64) - sizes) // size
+        starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+        for start, end in zip(starts, starts[1:]):
+            if end > start:
+                yield b.slice(start, end - start)
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Spark removes a finished query's shuffle files at once, not when the

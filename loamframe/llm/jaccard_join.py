@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import shuffles_removed, whole_text
+from loamframe.llm.common import shuffles_removed, slices, whole_text
 from loamframe.llm.shingles import MinHash, WordHashes, normal_words, shingle_hashes
 from loamframe.session import scratch_path
 
@@ -42,7 +42,7 @@ def _signed(documents: DataFrame, doc: str, text: str, trees: int, prefix: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, minima = WordHashes(), MinHash(trees * prefix)
-        for b in batches:
+        for b in slices(batches, 1):
             words = [normal_words(t.as_py()) for t in b.column(1)]
             sets = [shingle_hashes(w, hashes) for w in words]
             digests = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import fresh, shuffles_removed, whole_text
+from loamframe.llm.common import fresh, shuffles_removed, slices, whole_text
 from loamframe.session import scratch_path
 
 MIN_WORDS = 30
@@ -45,7 +45,7 @@ def text_units(documents: DataFrame, doc: str = "doc_id", text: str = "text") ->
     points in the original), words, and a 128-bit digest as two numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2):
             rows = []
             for key, mark, said in zip(*(c.to_pylist() for c in b.columns)):
                 for start, length, words, plain in cut_units(said):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import fresh, whole_text
+from loamframe.llm.common import fresh, slices, whole_text
 from loamframe.llm.wordbpe import WordBpe
 from loamframe.session import scratch_path
 
@@ -34,7 +34,7 @@ def token_pieces(
         bpe = WordBpe.load(tokenizer)
         end = int(end_id).to_bytes(4, "little")
         step = 4 * capacity
-        for batch in batches:
+        for batch in slices(batches, 1):
             keys, out = batch.column(0).to_pylist(), []
             for key, said in zip(keys, batch.column(1)):
                 ids = bpe.encode(said.as_py()) + end

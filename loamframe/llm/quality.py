@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamframe.llm.common import whole_text
+from loamframe.llm.common import slices, whole_text
 
 BUCKETS = 1 << 18
 WIDTH = 12
@@ -65,7 +65,11 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             h = np.full(len(codes) - n + 1, n, np.uint64)
             for i in range(n):
                 h = h * _STEP + codes[i : len(codes) - n + 1 + i]
-        whole = np.flatnonzero(gaps[1 : len(codes) - n + 2] == gaps[n - 2 : len(codes) - 1]) if n > 2 else np.arange(len(h))
+        whole = gaps[1 : len(codes) - n + 2] == gaps[n - 2 : len(codes) - 1] if n > 2 else np.ones(len(h), bool)
+        # None begins in one text and ends in another: a text's features are its own.
+        across = (ends[:-1, None] - np.arange(1, n - 1)).ravel()
+        whole[across[(across >= 0) & (across < len(h))]] = False
+        whole = np.flatnonzero(whole)
         out.append(_mix(h[whole]))
         at.append(whole)
     if not out:
@@ -159,7 +163,7 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pulls, bias = shared.value
-        for b in batches:
+        for b in slices(batches, at):
             pieces = [(n, p) for n, t in enumerate(b.column(at).cast(pa.binary())) if t.is_valid for p in _pieces(t.as_py())]
             sums, counts = np.zeros(b.num_rows), np.zeros(b.num_rows)
             first = 0
