@@ -19,6 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamframe.llm.common import shuffles_removed
 from loamframe.session import scratch_path
 
 SAMPLE = 8192  # rows that decide where tiles are cut
@@ -60,6 +61,16 @@ def matrix(column: pa.ListArray, width: int) -> np.ndarray:
     return out
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers as bytes of the least width that holds them all."""
+    kind = next(k for k in ("i1", "i2", "i4", "i8") if np.iinfo(k).min <= x.min(initial=0) and x.max(initial=0) <= np.iinfo(k).max)
+    return x.astype(f"<{kind}").tobytes()
+
+
+def unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    return np.frombuffer(data, f"<i{len(data) // (rows * width)}").astype(np.int64).reshape(rows, width)
+
+
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Exact inner products of the rows of x with q; an error beyond 64 bits."""
     if float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * len(q) < EXACT:
@@ -178,8 +189,10 @@ def search(tree: Tree, q: np.ndarray, least: np.ndarray, most: np.ndarray, allow
 
 @dataclass
 class Forest:
-    """``blocks``: (tile, ids, labels, v) rows in packed order; boxes of the tiles."""
+    """``rows``: (vec_id, label, v); ``blocks``: (tile, ids, labels, v) rows in packed
+    order, v as ``packed`` bytes; boxes of the tiles."""
 
+    rows: DataFrame
     blocks: DataFrame
     width: int
     tiles: np.ndarray
@@ -208,6 +221,15 @@ def _cuts(sample: np.ndarray, tiles: int) -> tuple[np.ndarray, list[np.ndarray],
     return chosen, cuts, slices
 
 
+def _sampled(rows: DataFrame, n: int) -> DataFrame:
+    """The first SAMPLE of ``n`` rows by hash order. Every task sends the driver the
+    first ones it has, so only hashes below a bound that a quarter more pass take part."""
+    order = F.xxhash64("vec_id")
+    if n > 2 * SAMPLE:
+        rows = rows.where(order < F.lit(LEAST + 2**64 * (SAMPLE + SAMPLE // 4) // n))
+    return rows.orderBy(order, "vec_id").limit(SAMPLE).select("v")
+
+
 def build_forest(vectors: DataFrame) -> Forest | None:
     """Index of all rows of (vec_id, label, v); None without rows.
 
@@ -219,14 +241,16 @@ def build_forest(vectors: DataFrame) -> Forest | None:
     """
     spark = vectors.sparkSession
     raw = scratch_path(spark, "vectors")
-    vectors.write.parquet(raw)
+    with shuffles_removed(spark):
+        vectors.write.parquet(raw)
     rows = spark.read.parquet(raw)
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).first()
     if not stats["n"]:
         return None
     width, wanted = int(stats["width"]), min(MAX_TILES, -(-stats["n"] // BLOCK_ROWS))
-    sample = np.zeros((min(SAMPLE, stats["n"]), width), np.int64)
-    for to, r in zip(sample, rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(len(sample)).select("v").collect()):
+    found = _sampled(rows, stats["n"]).collect()
+    sample = np.zeros((len(found), width), np.int64)
+    for to, r in zip(sample, found):
         to[: len(r["v"])] = r["v"]
     coordinates, cuts, slices = _cuts(sample, wanted)
 
@@ -251,21 +275,22 @@ def build_forest(vectors: DataFrame) -> Forest | None:
                 group = group.take(pa.compute.sort_indices(group.field(0)))
                 x = matrix(group.field(2), width)
                 order = packed_order(x)
-                values = [group.field(0).to_numpy()[order], group.field(1).to_numpy()[order], x[order].ravel()]
-                box = [x.min(axis=0), x.max(axis=0)]
-                lists = [pa.array([v], pa.list_(pa.int64())) for v in [*values, *box]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(n, 1), *lists], names=["tile", "ids", "labels", "v", "low", "high"])
+                values = [group.field(0).to_numpy()[order], group.field(1).to_numpy()[order], x.min(axis=0), x.max(axis=0)]
+                ids, labels, low, high = (pa.array([v], pa.list_(pa.int64())) for v in values)
+                v = pa.array([packed(x[order])], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(n, 1), ids, labels, v, low, high], names=["tile", "ids", "labels", "v", "low", "high"])
 
     index_path = scratch_path(spark, "boxes")
     grouped = placed.groupBy("tile", F.pmod(F.xxhash64("vec_id"), blocks).alias("block")).agg(F.collect_list(F.struct("vec_id", "label", "v")).alias("rows"))
-    grouped.select("tile", "rows").mapInArrow(
-        pack, "tile long, ids array<long>, labels array<long>, v array<long>, low array<long>, high array<long>"
-    ).write.parquet(index_path)
+    with shuffles_removed(spark):
+        grouped.select("tile", "rows").mapInArrow(
+            pack, "tile long, ids array<long>, labels array<long>, v binary, low array<long>, high array<long>"
+        ).write.parquet(index_path)
     index = spark.read.parquet(index_path)
     side = lambda name, merge: [merge(F.col(name)[i]).alias(f"{name}{i}") for i in range(width)]
     boxes = index.groupBy("tile").agg(*side("low", F.min), *side("high", F.max)).orderBy("tile").collect()
     table = np.array([list(r) for r in boxes], np.int64)
-    return Forest(index.select("tile", "ids", "labels", "v"), width, table[:, 0], table[:, 1 : width + 1], table[:, width + 1 :])
+    return Forest(placed, index.select("tile", "ids", "labels", "v"), width, table[:, 0], table[:, 1 : width + 1], table[:, width + 1 :])
 
 
 def nearest(forest: Forest, asked: DataFrame, same_label: bool, k: int) -> DataFrame:
@@ -314,8 +339,8 @@ def nearest(forest: Forest, asked: DataFrame, same_label: bool, k: int) -> DataF
             for b in batches:
                 for n in range(b.num_rows):
                     anchors = b.column(0)[n].values
-                    ids, labels, v = (b.column(i)[n].values.to_numpy() for i in (1, 2, 3))
-                    tree = Tree.of(v.reshape(len(ids), width), ids, labels)
+                    ids, labels = (b.column(i)[n].values.to_numpy() for i in (1, 2))
+                    tree = Tree.of(unpacked(b.column(3)[n].as_py(), len(ids), width), ids, labels)
                     q = matrix(anchors.field(2), width)
                     least, most = intervals(q, tree.low, tree.high)
                     out = []
@@ -329,7 +354,9 @@ def nearest(forest: Forest, asked: DataFrame, same_label: bool, k: int) -> DataF
                         [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], names=["anchor_id", "window", "vec_id", "score"]
                     )
 
-        met = asking.join(forest.blocks, "tile").select("anchors", "ids", "labels", "v")
+        # Sorted, never broadcast: blocks and anchors are many times their files' size, and the
+        # driver would hold them. The side that waits for a tile's blocks is the anchors'.
+        met = forest.blocks.join(asking.hint("merge"), "tile").select("anchors", "ids", "labels", "v")
         return met.mapInArrow(run, "anchor_id long, window long, vec_id long, score long")
 
     def ranked(df: DataFrame) -> DataFrame:
@@ -337,12 +364,13 @@ def nearest(forest: Forest, asked: DataFrame, same_label: bool, k: int) -> DataF
         return df.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
     path = scratch_path(spark, "first")
-    ranked(meet(True, asked)).write.parquet(path)
+    with shuffles_removed(spark):
+        ranked(meet(True, asked)).write.parquet(path)
     first = spark.read.parquet(path)
     kth = first.groupBy("anchor_id", "window").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") >= k)
     floors = kth.groupBy("anchor_id").agg(F.map_from_entries(F.collect_list(F.struct("window", "floor"))).alias("floors"))  # a row per window
     known = F.transform("windows", lambda w: F.struct(w["id"], w["low"], w["high"], F.try_element_at("floors", w["id"]).alias("floor")))
-    rest = meet(False, asked.join(floors, "anchor_id", "left").withColumn("windows", known))
+    rest = meet(False, asked.join(floors.hint("merge"), "anchor_id", "left").withColumn("windows", known))
     return ranked(first.unionByName(rest))
 
 
@@ -365,19 +393,17 @@ def mine_hard_negatives(
     forest = build_forest(vectors)
     if forest is None:
         return spark.createDataFrame([], schema)
-    rows = forest.blocks.select(F.explode(F.sequence(F.lit(0), F.size("ids") - 1)).alias("at"), "ids", "labels", "v").select(
-        F.col("ids")[F.col("at")].alias("vec_id"), F.col("labels")[F.col("at")].alias("label"), F.slice("v", F.col("at") * forest.width + 1, F.lit(forest.width)).alias("q")
-    )
     anchors_path = scratch_path(spark, "anchors")
+    rows = forest.rows.select("vec_id", "label", F.col("v").alias("q"))
     rows.where(is_anchor).withColumnRenamed("vec_id", "anchor_id").write.parquet(anchors_path)
     anchors = spark.read.parquet(anchors_path)
     none = F.lit(None).cast("long")
     window = lambda i, low, high: F.struct(i.alias("id"), low.alias("low"), high.alias("high"), none.alias("floor"))
     anything = F.array(window(F.lit(0).cast("long"), F.lit(LEAST), F.lit(MOST)))
     positives_path = scratch_path(spark, "positives")
-    nearest(forest, anchors.withColumn("windows", anything), True, positives).select(
-        "anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")
-    ).write.parquet(positives_path)
+    first = nearest(forest, anchors.withColumn("windows", anything), True, positives)
+    with shuffles_removed(spark):
+        first.select("anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")).write.parquet(positives_path)
     found = spark.read.parquet(positives_path)
     # ceil and floor of whole numbers, beyond 64 bits where need be
     score = F.col("positive_score").cast("decimal(38,0)")
@@ -385,8 +411,8 @@ def mine_hard_negatives(
     high = F.floor(score * most_percent / 100).cast("long")
     bounded = found.withColumns({"low": low, "high": high})
     asked = bounded.where("low <= high").groupBy("anchor_id").agg(F.collect_set(window(F.col("positive_score"), F.col("low"), F.col("high"))).alias("windows"))
-    met = nearest(forest, anchors.join(asked, "anchor_id"), False, negatives)
+    met = nearest(forest, anchors.join(asked.hint("merge"), "anchor_id"), False, negatives)
     rank = F.row_number().over(Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "vec_id"))
-    return bounded.where("low <= high").join(met.withColumnRenamed("window", "positive_score"), ["anchor_id", "positive_score"]).select(
+    return bounded.where("low <= high").join(met.withColumnRenamed("window", "positive_score").hint("merge"), ["anchor_id", "positive_score"]).select(
         "anchor_id", "positive_id", rank.cast("int").alias("rank"), F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
     )
