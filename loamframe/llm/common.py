@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamframe.session import shuffles_removed  # noqa: F401
+
 
 SLICE_BYTES = 1 << 18
 
@@ -49,16 +50,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = SLICE_BYT
         for start, end in zip(starts, starts[1:]):
             if end > start:
                 yield b.slice(start, end - start)
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Spark removes a finished query's shuffle files at once, not when the
-    driver happens to collect its garbage; what the query wrote stays."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
